@@ -124,18 +124,17 @@ def _replace(
     spark: SparkSession,
     table: str,
     rows: DataFrame,
-    first: str,
-    last: str,
+    old: list[Spec],
     as_of: str | datetime | None,
 ) -> int:
     label = unique(_DAY)
     placed = _prepared(rows, as_of).withColumn("load_label", F.lit(label))
-    old = _held(spark, table, first, last)
     new = catalog.replace_partitions(spark, table, placed, old, _layout(spark, table))
     if not new:
         return 0
+    days = [s["event_date"] for s in new]
     written = spark.table(table).filter(F.col("load_label") == label)
-    return time_range(written, first, as_datetime(last) + timedelta(days=1)).count()
+    return time_range(written, min(days), as_datetime(max(days)) + timedelta(days=1)).count()
 
 
 def overwrite_day(
@@ -149,7 +148,7 @@ def overwrite_day(
     iso = as_datetime(day).date().isoformat()
     catalog.finish_swap(spark, table)
     rows = _only_day(df.withColumn("event_time", F.col("event_time").cast("timestamp")), iso)
-    return _replace(spark, table, rows, iso, iso, as_of)
+    return _replace(spark, table, rows, _held(spark, table, iso, iso), as_of)
 
 
 def swap_day(
@@ -197,7 +196,8 @@ def backfill(
     rows = time_range(src, first, last + timedelta(days=1))
     if upto is not None:
         rows = rows.filter(F.col("event_time") <= literal(rows, "event_time", upto))
-    return _replace(spark, table, rows.select(*READING_COLS), first.isoformat(), last.isoformat(), as_of)
+    held = _held(spark, table, first.isoformat(), last.isoformat())
+    return _replace(spark, table, rows.select(*READING_COLS), held, as_of)
 
 
 def expire(
@@ -211,24 +211,45 @@ def expire(
     return sorted({s["event_date"] for s in old})
 
 
-def compact_day(
-    spark: SparkSession, table: str, day: str | date, upto: str | datetime | None = None
-) -> bool:
-    """Fold the loads of one day into one partition; False if there is nothing to fold.
+def compact(
+    spark: SparkSession,
+    table: str,
+    start: str | date,
+    end: str | date,
+    upto: str | datetime | None = None,
+) -> list[str]:
+    """Fold the loads of each day of ``[start, end)`` into one partition per day, in one job;
+    returns the days that changed.
 
     Rows above the watermark ``upto`` belong to a load that has not finished. They are left out,
     and its retry writes them again.
     """
     catalog.finish_swap(spark, table)
-    iso = as_datetime(day).date().isoformat()
-    held = _held(spark, table, iso, iso)
-    if not held or (len(held) == 1 and held[0]["load_label"].startswith(_DAY)):
-        return False
-    rows = time_range(spark.table(table), iso, as_datetime(iso) + timedelta(days=1))
+    last = as_datetime(end).date() - timedelta(days=1)
+    by_day: dict[str, list[Spec]] = {}
+    for spec in _held(spark, table, as_datetime(start).date().isoformat(), last.isoformat()):
+        by_day.setdefault(spec["event_date"], []).append(spec)
+    split = {
+        day: specs
+        for day, specs in by_day.items()
+        if len(specs) > 1 or not specs[0]["load_label"].startswith(_DAY)
+    }
+    if not split:
+        return []
+    days = [F.lit(day).cast("date") for day in sorted(split)]
+    rows = spark.table(table).filter(F.col("event_date").isin(days))
     if upto is not None:
         rows = rows.filter(F.col("event_time") <= literal(rows, "event_time", upto))
-    _replace(spark, table, rows.select(*READING_COLS, "ingested_at"), iso, iso, None)
-    return True
+    old = [spec for specs in split.values() for spec in specs]
+    _replace(spark, table, rows.select(*READING_COLS, "ingested_at"), old, None)
+    return sorted(split)
+
+
+def compact_day(
+    spark: SparkSession, table: str, day: str | date, upto: str | datetime | None = None
+) -> bool:
+    """``compact`` for one day; False if there was nothing to fold."""
+    return bool(compact(spark, table, day, as_datetime(day) + timedelta(days=1), upto))
 
 
 def readings_of(spark: SparkSession, table: str, columns: Sequence[str] = READING_COLS) -> DataFrame:
