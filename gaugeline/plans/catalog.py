@@ -8,6 +8,7 @@ dies half-way leaves the table as it was.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,26 +55,44 @@ def add_partitions(spark: SparkSession, table: str, specs: Sequence[Spec], root:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {listed}")
 
 
-def write(df: DataFrame, table: str, cluster_by: dict[str, Column], overwrite: bool = False) -> None:
-    """Insert ``df`` into ``table``, its rows gathered by ``cluster_by`` so that few files result.
+@dataclass(frozen=True)
+class Layout:
+    """How rows are placed in the files of a table.
 
-    Rebalancing splits what is large and merges what is small: neither a hot device nor a hot
-    day ends up in one task, and small loads do not leave many small files.
+    ``gather`` names columns whose equal values go to the same files. An empty ``gather`` writes
+    rows from where they are, without a shuffle. ``sort`` orders rows inside a file.
     """
-    columns = df.sparkSession.table(table).columns
-    helpers = {f"_by{i}": c for i, c in enumerate(cluster_by.values())}
-    placed = df.withColumns(helpers).hint("rebalance", *helpers) if helpers else df
-    out = placed.select(*columns).write
-    (out.mode("overwrite") if overwrite else out.mode("append")).insertInto(table)
 
+    gather: dict[str, Column] = field(default_factory=dict)
+    sort: Sequence[str] = ()
+
+
+def write(df: DataFrame, table: str, layout: Layout, overwrite: bool = False) -> None:
+    """Insert ``df`` into ``table``.
 
-def stage(spark: SparkSession, table: str, df: DataFrame, cluster_by: dict[str, Column]) -> tuple[str, list[Spec]]:
+    Gathering is a rebalance: it splits what is large and merges what is small, so that neither
+    a hot device nor a hot day ends up in one task, and small loads do not leave many files.
+    """
+    columns = df.sparkSession.table(table).columns
+    placed = df
+    if layout.gather:
+        helpers = {f"_by{i}": c for i, c in enumerate(layout.gather.values())}
+        placed = df.withColumns(helpers).hint("rebalance", *helpers)
+    placed = placed.select(*columns)
+    if layout.sort:
+        placed = placed.sortWithinPartitions(*layout.sort)
+    placed.write.mode("overwrite" if overwrite else "append").insertInto(table)
+
+
+def stage(
+    spark: SparkSession, table: str, df: DataFrame, layout: Layout
+) -> tuple[str, list[Spec]]:
     """Write ``df`` with the layout of ``table`` to a new folder; its path and partitions."""
     twin = f"{table}_{unique('s')}"
     root = f"{lake_location(spark, table)}/_staged/{twin.split('.')[-1]}"
     spark.sql(f"CREATE TABLE {twin} LIKE {table} USING parquet LOCATION '{root}'")
     try:
-        write(df, twin, cluster_by)
+        write(df, twin, layout)
         specs = partitions(spark, twin) if partition_columns(spark, twin) else []
     finally:
         spark.sql(f"DROP TABLE {twin}")  # external: its files stay
@@ -85,7 +104,7 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def load_label(
-    spark: SparkSession, table: str, df: DataFrame, label: str, cluster_by: dict[str, Column]
+    spark: SparkSession, table: str, df: DataFrame, label: str, layout: Layout
 ) -> None:
     """Idempotent load: whatever an earlier attempt wrote under ``label`` is replaced.
 
@@ -94,11 +113,11 @@ def load_label(
     """
     finish_swap(spark, table)
     drop_partitions(spark, table, partitions(spark, table, load_label=label))
-    write(df.withColumn("load_label", F.lit(label)), table, cluster_by, overwrite=True)
+    write(df.withColumn("load_label", F.lit(label)), table, layout, overwrite=True)
 
 
 def swap_partition(
-    spark: SparkSession, table: str, df: DataFrame, spec: Spec, cluster_by: dict[str, Column]
+    spark: SparkSession, table: str, df: DataFrame, spec: Spec, layout: Layout
 ) -> str | None:
     """Replace one partition by one catalog statement: readers see it whole, old or new.
 
@@ -107,7 +126,7 @@ def swap_partition(
     finish_swap(spark, table)
     held = bool(partitions(spark, table, **spec))
     old = partition_location(spark, table, spec) if held else None
-    root, new = stage(spark, table, df, cluster_by)
+    root, new = stage(spark, table, df, layout)
     if new and new != [spec]:
         raise ValueError(f"rows for {new} where only {spec} may be written")
     if not new:
@@ -131,7 +150,7 @@ def replace_partitions(
     table: str,
     df: DataFrame,
     old: Iterable[Spec],
-    cluster_by: dict[str, Column],
+    layout: Layout,
 ) -> list[Spec]:
     """Write ``df`` beside the table, then put its partitions in the place of ``old``.
 
@@ -140,13 +159,14 @@ def replace_partitions(
     change of the table finishes the swap.
     """
     finish_swap(spark, table)
-    root, new = stage(spark, table, df, cluster_by)
+    root, new = stage(spark, table, df, layout)
     names = partition_columns(spark, table)
     steps = [("drop", *[s[n] for n in names]) for s in old] + [("add", *[s[n] for n in names]) for s in new]
     if not steps:
         return []
-    schema = ", ".join(f"`{n}` string" for n in ["step", *names])
-    spark.createDataFrame(steps, schema).coalesce(1).write.json(f"{root}/_swap")
+    noted = ", ".join("(" + ", ".join(f"'{v}'" for v in step) + ")" for step in steps)
+    listed = ", ".join(["step", *names])
+    spark.sql(f"SELECT * FROM VALUES {noted} AS t({listed})").coalesce(1).write.json(f"{root}/_swap")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PENDING}'='{root}')")
     _swap(spark, table, root, steps, names)
     return new
@@ -174,14 +194,16 @@ def _swap(spark: SparkSession, table: str, root: str, steps: list[tuple], names:
     spark.catalog.refreshTable(table)
 
 
-def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, cluster_by: dict[str, Column]) -> str:
+def publish_snapshot(
+    spark: SparkSession, table: str, df: DataFrame, layout: Layout
+) -> str:
     """Replace the whole content of an unpartitioned table by one catalog statement.
 
     Readers see the old rows or the new ones. The old folder is left for readers under way; its
     path is returned, to be removed when they are done.
     """
     old = table_location(spark, table)
-    root, _ = stage(spark, table, df, cluster_by)
+    root, _ = stage(spark, table, df, layout)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{root}'")
     spark.catalog.refreshTable(table)
     return old

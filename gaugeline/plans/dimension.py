@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,8 +31,8 @@ def create_dim(
     )
 
 
-def _layout(spark: SparkSession, table: str, key: str) -> dict[str, Column]:
-    return catalog.bucket_of(key, catalog.bucket_count(spark, table))
+def _layout(spark: SparkSession, table: str, key: str) -> catalog.Layout:
+    return catalog.Layout(catalog.bucket_of(key, catalog.bucket_count(spark, table)))
 
 
 def upsert(

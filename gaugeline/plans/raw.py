@@ -24,7 +24,7 @@ from ..schemas import (
 )
 from ..session import unique
 from . import catalog
-from .catalog import Spec
+from .catalog import Layout, Spec
 
 # A partition that holds the whole day, as opposed to one load's rows of it.
 _DAY = "day-"
@@ -88,9 +88,14 @@ def _prepared(df: DataFrame, as_of: str | datetime | None) -> DataFrame:
     return rows.select(*READING_COLS, "ingested_at", F.to_date("event_time").alias("event_date"))
 
 
-def _layout(spark: SparkSession, table: str) -> dict[str, Column]:
+def _layout(spark: SparkSession, table: str, gather: bool = True) -> Layout:
+    """By default rows gather by day and bucket. ``gather=False`` saves that shuffle; it suits a
+    source that is in day order already and a table without buckets."""
     buckets = catalog.bucket_count(spark, table)
-    return {"event_date": F.col("event_date"), **catalog.bucket_of("device_id", buckets)}
+    by = {"event_date": F.col("event_date"), **catalog.bucket_of("device_id", buckets)}
+    # A bucketed table sorts by itself.
+    sort = [] if buckets else ["event_date", "load_label", *SORT_KEY]
+    return Layout(by if gather else {}, sort)
 
 
 def load_batch(
@@ -99,9 +104,10 @@ def load_batch(
     df: DataFrame,
     label: str,
     as_of: str | datetime | None = None,
+    gather: bool = True,
 ) -> None:
     """Append ``df``. A second load under the same label replaces the first."""
-    catalog.load_label(spark, table, _prepared(df, as_of), label, _layout(spark, table))
+    catalog.load_label(spark, table, _prepared(df, as_of), label, _layout(spark, table, gather))
 
 
 def days_of_label(spark: SparkSession, table: str, label: str) -> list[str]:
@@ -126,10 +132,11 @@ def _replace(
     rows: DataFrame,
     old: list[Spec],
     as_of: str | datetime | None,
+    gather: bool = True,
 ) -> int:
     label = unique(_DAY)
     placed = _prepared(rows, as_of).withColumn("load_label", F.lit(label))
-    new = catalog.replace_partitions(spark, table, placed, old, _layout(spark, table))
+    new = catalog.replace_partitions(spark, table, placed, old, _layout(spark, table, gather))
     if not new:
         return 0
     days = [s["event_date"] for s in new]
@@ -184,6 +191,7 @@ def backfill(
     end: str | date,
     upto: str | datetime | None = None,
     as_of: str | datetime | None = None,
+    gather: bool = True,
 ) -> int:
     """Replace every day of ``[start, end)`` by the source's rows, in one job.
 
@@ -197,7 +205,7 @@ def backfill(
     if upto is not None:
         rows = rows.filter(F.col("event_time") <= literal(rows, "event_time", upto))
     held = _held(spark, table, first.isoformat(), last.isoformat())
-    return _replace(spark, table, rows.select(*READING_COLS), held, as_of)
+    return _replace(spark, table, rows.select(*READING_COLS), held, as_of, gather)
 
 
 def expire(

@@ -15,7 +15,7 @@ from ..operators.rollup import DEVICE_KEYS, merge_partials, rollup
 from ..schemas import BUCKETS
 from ..session import unique
 from . import catalog
-from .catalog import Spec
+from .catalog import Layout, Spec
 
 _TYPES = {"device_id": "bigint", "reading_cnt": "bigint", "value_cnt": "bigint"}
 
@@ -60,9 +60,10 @@ def create_agg(spark: SparkSession, spec: Rollup, buckets: int = BUCKETS) -> Non
     )
 
 
-def _layout(spark: SparkSession, spec: Rollup) -> dict[str, Column]:
+def _layout(spark: SparkSession, spec: Rollup) -> Layout:
     buckets = catalog.bucket_count(spark, spec.table)
-    return {spec.slot: F.col(spec.slot), **catalog.bucket_of("device_id", buckets)}
+    sort = [] if buckets else [spec.slot, "load_label", spec.time, *spec.keys]
+    return Layout({spec.slot: F.col(spec.slot), **catalog.bucket_of("device_id", buckets)}, sort)
 
 
 def _rolled(readings: DataFrame, spec: Rollup) -> DataFrame:
@@ -129,24 +130,38 @@ def rebuild_agg(spark: SparkSession, spec: Rollup, readings: DataFrame, day: str
     refresh_rollup(spark, spec, readings, [day])
 
 
-def compact_agg(spark: SparkSession, spec: Rollup, slot: str, final: Sequence[str] | None = None) -> bool:
-    """Merge the partials of one partition key into one load; False if there is nothing to merge.
+def compact_agg(
+    spark: SparkSession,
+    spec: Rollup,
+    first: str | None = None,
+    last: str | None = None,
+    final: Sequence[str] | None = None,
+) -> list[str]:
+    """Merge the partials of each partition key from ``first`` to ``last`` (both included, by
+    default all) into one load, in one job; returns the keys that changed.
 
     ``final`` lists the labels that will not be written again; by default all are.
     """
     catalog.finish_swap(spark, spec.table)
-    held: list[Spec] = catalog.partitions(spark, spec.table, **{spec.slot: slot})
-    old = [s for s in held if final is None or s["load_label"] in final]
-    if len(old) < 2:
-        return False
-    labels = [s["load_label"] for s in old]
+    by_slot: dict[str, list[Spec]] = {}
+    for held in catalog.partitions(spark, spec.table):
+        slot = held[spec.slot]
+        inside = (first is None or first <= slot) and (last is None or slot <= last)
+        if inside and (final is None or held["load_label"] in final):
+            by_slot.setdefault(slot, []).append(held)
+    split = {slot: held for slot, held in by_slot.items() if len(held) > 1}
+    if not split:
+        return []
+    old = [held for many in split.values() for held in many]
+    kind = spark.table(spec.table).schema[spec.slot].dataType
     rows = spark.table(spec.table).filter(
-        (F.col(spec.slot) == F.lit(slot)) & F.col("load_label").isin(labels)
+        F.col(spec.slot).isin([F.lit(slot).cast(kind) for slot in split])
+        & F.col("load_label").isin(sorted({held["load_label"] for held in old}))
     )
     merged = merge_partials(rows, [spec.slot, spec.time, *spec.keys], spec.measures)
     merged = merged.withColumn("load_label", F.lit(unique("merged-")))
     catalog.replace_partitions(spark, spec.table, merged, old, _layout(spark, spec))
-    return True
+    return sorted(split)
 
 
 # --- answering a query from the smallest rollup that covers it ---------------------------------

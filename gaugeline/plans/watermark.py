@@ -41,6 +41,6 @@ def set_watermark(
     row = spark.range(1).select(
         F.lit(value).alias("watermark"), moment(as_of).alias("updated_at"), F.lit(key).alias("job_key")
     )
-    old = catalog.swap_partition(spark, table, row.coalesce(1), {"job_key": key}, {})
+    old = catalog.swap_partition(spark, table, row.coalesce(1), {"job_key": key}, catalog.Layout())
     if old:
         catalog.remove_folder(spark, old)

@@ -15,6 +15,9 @@ from ..schemas import BATCH_LIMIT, READING_COLS
 # bucket of the level above, so no level yields more than 50,000 buckets (days apart).
 _WIDTHS = (86_400_000_000, 60_000_000, 50_000, 1)
 
+# A bucket of at most this many rows is simply sorted: one column, in one task.
+_SORTABLE = 1_000_000
+
 
 @dataclass(frozen=True)
 class Increment:
@@ -68,6 +71,9 @@ def increment_cutoff(
         inside = inside.filter(
             (F.col(ts) >= _micros(src, ts, start)) & (F.col(ts) < _micros(src, ts, start + width))
         )
+        if cut["n"] <= _SORTABLE:
+            oldest = inside.select(micros.alias("t")).orderBy("t").limit(left)
+            return _from_micros(oldest.agg(F.max("t")).first()[0])
     raise AssertionError("unreachable")
 
 

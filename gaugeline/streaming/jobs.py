@@ -62,7 +62,7 @@ def _run(
                 raise ErrorBudgetExceeded(f"{label}: {errors} malformed messages, limit {max_errors}")
             load(good, label)
             if quarantine is not None and errors:
-                catalog.load_label(spark, quarantine, bad, label, {"reason": F.col("reason")})
+                catalog.load_label(spark, quarantine, bad, label, catalog.Layout({"reason": F.col("reason")}))
         finally:
             parsed.unpersist()
 
@@ -113,9 +113,11 @@ def stream_rollup(
     return _run(spark, messages, load, job_key, checkpoint, max_errors, quarantine, trigger)
 
 
-def compact_stream_rollup(spark: SparkSession, spec: Rollup, slot: str) -> bool:
-    """Merge one partition key's micro-batches, except the newest micro-batch of the table: that
-    one may still run again."""
+def compact_stream_rollup(
+    spark: SparkSession, spec: Rollup, first: str | None = None, last: str | None = None
+) -> list[str]:
+    """Merge the micro-batches of each partition key, except the newest micro-batch of the
+    table: that one may still run again. Run it while the stream is paused."""
     labels = sorted({s["load_label"] for s in catalog.partitions(spark, spec.table)})
-    batches = [x for x in labels if not x.startswith("merged-")]
-    return compact_agg(spark, spec, slot, [x for x in labels if x not in batches[-1:]])
+    newest = [x for x in labels if not x.startswith("merged-")][-1:]
+    return compact_agg(spark, spec, first, last, [x for x in labels if x not in newest])

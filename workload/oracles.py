@@ -77,8 +77,8 @@ _BODIES = {
     "rollup_merge_partials": _rollup("hour"),
     "rollup_avg": f"""
         SELECT date_trunc('hour', event_time) AS event_hour, device_id, metric, {_AGGS},
-               round(sum(value) / count(value), 4) AS value_avg,
-               round(sum(value) / count(*), 4) AS avg_per_reading
+               round(sum(value) / count(value), 10) AS value_avg,
+               round(sum(value) / count(*), 10) AS avg_per_reading
         FROM readings GROUP BY ALL""",
     "mv_hourly_refresh": f"""
         SELECT date_trunc('hour', event_time) AS event_hour, device_id, metric,
@@ -87,7 +87,7 @@ _BODIES = {
         GROUP BY ALL""",
     "rollup_routed_daily": f"""
         SELECT date_trunc('day', event_time) AS event_day, metric, {_AGGS},
-               round(sum(value) / count(value), 4) AS value_avg
+               round(sum(value) / count(value), 10) AS value_avg
         FROM readings GROUP BY ALL""",
     "rollup_routed_slice": """
         SELECT date_trunc('hour', event_time) AS event_hour, device_id, count(*) AS reading_cnt,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from gaugeline import operators as ops
 from gaugeline.functions import MEASURES, time_range, today, with_avg
 from gaugeline.functions.times import as_datetime
-from gaugeline.plans import catalog, raw, rollups, watermark
+from gaugeline.plans import raw, rollups, watermark
 from gaugeline.plans import dimension as dims
 from gaugeline.plans.ingest import ingest_all, ingest_increment
 from gaugeline.operators.rollup import STREAM_KEYS
@@ -35,7 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DAY = "2024-01-05"
-SUMS = {"value_sum", "value_avg", "avg_per_reading"}
+DIGITS = {"value_sum": 4, "value_avg": 10, "avg_per_reading": 10}
 NOW = "2024-01-30 23:30:00"
 AT_ONCE = {"availableNow": True}
 
@@ -54,7 +54,7 @@ def shown(df: DataFrame) -> DataFrame:
     def one(f: T.StructField):
         if isinstance(f.dataType, T.TimestampType):
             return F.col(f.name).cast("timestamp_ntz").alias(f.name)
-        return F.round(f.name, 4).alias(f.name) if f.name in SUMS else F.col(f.name)
+        return F.round(f.name, DIGITS[f.name]).alias(f.name) if f.name in DIGITS else F.col(f.name)
 
     return df.select(*[one(f) for f in df.schema.fields])
 
@@ -424,8 +424,7 @@ def stream_rollup_minute(spark, sf_dir):
     spec = Rollup(f"{create_lake(spark)}.agg_minute", "minute", STREAM_KEYS)
     rollups.create_agg(spark, spec, buckets=0)
     run(stream_rollup(spark, source, spec, "minute", checkpoint, active(spark, sf_dir), ANY, trigger=AT_ONCE))
-    for slot in sorted({s[spec.slot] for s in catalog.partitions(spark, spec.table)}):
-        compact_stream_rollup(spark, spec, slot)
+    compact_stream_rollup(spark, spec)
     return rollups.read_agg(spark, spec).drop(spec.slot)
 
 
