@@ -13,7 +13,7 @@ def read_json_batch(spark: SparkSession, path: str | list[str], array: bool) ->
     wrong flag raises; it never drops rows.
     """
     if array:
-        files = spark.read.option("wholetext", True).text(path)
+        files = spark.read.text(path, wholetext=True)
         text = F.btrim("value", F.lit(" \t\r\n"))
         items = F.from_json("value", "array<string>", {"mode": "PERMISSIVE"})
         checked = (
