@@ -28,13 +28,18 @@ def _version(prefix: str, order: Sequence[str]) -> Column:
 
 
 def apply_changes(
-    state: DataFrame, changes: DataFrame, key: str = KEY, order: Sequence[str] = ("updated_at",)
+    state: DataFrame,
+    changes: DataFrame,
+    key: str = KEY,
+    order: Sequence[str] = ("updated_at",),
+    buckets: int = 0,
 ) -> DataFrame:
     """New state: per key the newer of the stored row and the last change.
 
     The state keeps deleted keys as rows with ``__op = 1``; otherwise an update older than the
-    delete would bring the key back. Only the changes are ranked. The state itself meets them
-    in one join, without a shuffle where it is bucketed by ``key``.
+    delete would bring the key back. Only the changes are ranked. Where the state is a table
+    with ``buckets`` buckets on ``key``, the changes are brought to its buckets: the state is
+    neither shuffled by the join nor by a write into a table bucketed alike.
     """
     columns = state.columns
     changes = changes.select(
@@ -45,6 +50,8 @@ def apply_changes(
     )
     old = state.select(F.col(key), F.struct(*columns).alias("old"))
     new = latest(changes, key, order).select(F.col(key), F.struct(*columns).alias("new"))
+    if buckets:
+        new = new.repartition(buckets, key)
     both = old.join(new, key, "full_outer")
     newer = F.col("old").isNull() | (_version("new", order) >= _version("old", order))
     pick = F.when(F.col("new").isNotNull() & newer, F.col("new")).otherwise(F.col("old"))

@@ -31,10 +31,6 @@ def create_dim(
     )
 
 
-def _layout(spark: SparkSession, table: str, key: str) -> catalog.Layout:
-    return catalog.Layout(catalog.bucket_of(key, catalog.bucket_count(spark, table)))
-
-
 def upsert(
     spark: SparkSession,
     table: str,
@@ -48,8 +44,10 @@ def upsert(
     """
     if OP not in changes.columns:
         changes = changes.withColumn(OP, F.lit(0))
-    state = apply_changes(spark.table(table), changes, key, order)
-    return catalog.publish_snapshot(spark, table, state, _layout(spark, table, key))
+    buckets = catalog.bucket_count(spark, table)
+    state = apply_changes(spark.table(table), changes, key, order, buckets)
+    # The join leaves each bucket's rows in one task, so they are written from where they are.
+    return catalog.publish_snapshot(spark, table, state, catalog.Layout())
 
 
 def read_dim(spark: SparkSession, table: str) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.measures import MEASURES, merge_exprs, partial_exprs
 from ..functions.times import GRAINS, as_datetime, bucket, bucket_name, time_range
 from ..operators.rollup import DEVICE_KEYS, merge_partials, rollup
-from ..schemas import BUCKETS
 from ..session import unique
 from . import catalog
 from .catalog import Layout, Spec
@@ -47,7 +46,9 @@ class Rollup:
         return moment.strftime("%Y-%m-%d-%H" if self.grain == "minute" else "%Y-%m-%d")
 
 
-def create_agg(spark: SparkSession, spec: Rollup, buckets: int = BUCKETS) -> None:
+def create_agg(spark: SparkSession, spec: Rollup, buckets: int = 0) -> None:
+    """A table of partials. Buckets serve joins with a dimension too large to broadcast; without
+    them a rollup is one file per partition key while it is small."""
     columns = [f"`{spec.time}` timestamp"]
     columns += [f"`{k}` {_TYPES.get(k, 'string')}" for k in spec.keys]
     columns += [f"`{m}` {_TYPES.get(m, 'double')}" for m in spec.measures]

@@ -32,7 +32,8 @@ def typed(df: DataFrame, schema: T.StructType) -> tuple[dict[str, Column], Colum
     for field in schema.fields:
         if not field.nullable:
             reasons.append(F.when(F.col(field.name).isNull(), F.lit(f"{field.name} missing")))
-            reasons.append(F.when(casts[field.name].isNull(), F.lit(f"{field.name} invalid")))
+            if not isinstance(field.dataType, T.StringType):
+                reasons.append(F.when(casts[field.name].isNull(), F.lit(f"{field.name} invalid")))
         if field.name in MAX_LENGTH:
             too_long = F.length(F.col(field.name)) > MAX_LENGTH[field.name]
             reasons.append(F.when(too_long, F.lit(f"{field.name} too long")))
@@ -46,13 +47,14 @@ def parse(lines: DataFrame, schema: T.StructType = STREAM_READING) -> DataFrame:
     field and lose the fields after it.
     """
     shape = as_strings(schema).add(_CORRUPT, T.StringType())
-    is_object = F.startswith(F.btrim("value", F.lit(" \t\r\n")), F.lit("{"))
     message = F.from_json("value", shape, {"columnNameOfCorruptRecord": _CORRUPT})
-    text = lines.select(F.col("value").alias("payload"), is_object.alias("_object"), message.alias("m"))
-    text = text.select("payload", "_object", "m.*")
+    # A generator, so that filters on the fields stay above it: pushed into the scan's filter,
+    # each field they name would parse the text once more.
+    text = lines.select(F.col("value").alias("payload"), F.inline(F.array(message)))
+    is_object = F.startswith(F.btrim("payload", F.lit(" \t\r\n")), F.lit("{"))
 
     casts, reason = typed(text, schema)
-    broken = ~F.coalesce(F.col("_object"), F.lit(False)) | F.col(_CORRUPT).isNotNull()
+    broken = ~F.coalesce(is_object, F.lit(False)) | F.col(_CORRUPT).isNotNull()
     return text.select(
         *[c.alias(name) for name, c in casts.items()],
         "payload",

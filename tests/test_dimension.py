@@ -78,14 +78,29 @@ def test_latest_prunes_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") >= 2 and "Partial" in text
 
 
-def test_the_stored_state_is_not_shuffled(spark):
+@pytest.mark.parametrize("partitions", ["8", "200"])
+def test_the_stored_state_is_not_shuffled(spark, partitions):
     table = f"{lake(spark)}.dim"
     dims.create_dim(spark, table)
     one = spark.createDataFrame([(1, "d", "s", 1.0, 2.0, True, None)], DEVICE).withColumn("__op", F.lit(0))
     dims.upsert(spark, table, one)
-    text = plan(apply_changes(spark.table(table), one))
-    scan = text.split("Scan parquet")[1]
-    assert "SelectedBucketsCount: 16 out of 16" in text
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        text = plan(apply_changes(spark.table(table), one, buckets=16))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     tree = text.split("\n\n")[0]
-    branch = tree[: tree.index("Scan parquet")].splitlines()[-4:]
-    assert scan and not any("Exchange" in line for line in branch)
+    above_scan = tree[: tree.index("Scan parquet")].splitlines()
+    join = next(i for i, line in enumerate(above_scan) if "SortMergeJoin" in line)
+    assert not any("Exchange" in line for line in above_scan[join:])
+    assert "SelectedBucketsCount: 16 out of 16" in text
+
+
+def test_one_file_per_bucket(spark):
+    table = f"{lake(spark)}.dim"
+    dims.create_dim(spark, table)
+    many = spark.range(1000).selectExpr("id device_id", "timestamp_seconds(id) updated_at")
+    for _ in range(2):
+        dims.upsert(spark, table, many)
+    assert len(spark.table(table).inputFiles()) == 16

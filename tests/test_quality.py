@@ -5,7 +5,8 @@ from gaugeline.functions import today
 from gaugeline.operators import (
     DataQualityError, Fresh, NullRatio, RowCount, enforce, fresh, null_ratio_below, publish, row_count_at_least, run_gates,
 )
-from helpers import empty, executed, readings
+from gaugeline.plans import gates, raw
+from helpers import empty, executed, plan, raw_table, readings
 
 NOW = "2024-01-02 12:00:00"
 
@@ -78,3 +79,22 @@ def test_all_gates_share_one_scan(spark):
     path = spark.conf.get("spark.checkpoint.dir") + "/gates"
     values(spark, 1, 50).write.mode("overwrite").parquet(path)
     assert executed(run_gates(spark.read.parquet(path), gates)).count("FileScan") <= 2  # initial and final plan
+
+
+@pytest.mark.parametrize("as_of", ["2024-01-03 00:30:00", "2024-01-05 12:00:00", "2024-01-01 08:00:00"])
+def test_newest_days_give_the_same_report(spark, as_of):
+    table = raw_table(spark)
+    rows = [(f"2024-01-0{d} {h:02d}:00:00", h, "m", None if h % 9 == 0 else 1.0) for d in (1, 2, 3) for h in range(24)]
+    raw.load_batch(spark, table, readings(spark, rows), "l")
+    whole = run_gates(spark.table(table), gates.daily_gates(as_of)).collect()
+    assert gates.report(spark, table, as_of).collect() == whole
+    newest = gates.newest_rows(spark, table, "2024-01-03 00:30:00")
+    assert {f.split("event_date=")[1][:10] for f in newest.inputFiles()} >= {"2024-01-03"}
+    assert "2024-01-03" in next(x for x in plan(newest).splitlines() if "PartitionFilters" in x)
+
+
+def test_an_empty_table_fails_all_gates(spark):
+    table = raw_table(spark)
+    assert [r.passed for r in gates.report(spark, table, NOW).collect()] == [False, False, False]
+    with pytest.raises(DataQualityError):
+        gates.publish_if_sound(spark, table, lambda: None, NOW)

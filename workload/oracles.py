@@ -45,6 +45,18 @@ _TIES = """
            event_time, device_id, metric, value
     FROM line_readings, c1, c2, c3"""
 
+_DQ = """
+        WITH stats AS (
+          SELECT count(*) FILTER (event_time >= TIMESTAMP '2024-01-30') AS n,
+                 count(*) FILTER (event_time >= TIMESTAMP '2024-01-30' AND value IS NULL) AS nulls,
+                 date_sub('minute', max(event_time), TIMESTAMP '2024-01-30 23:30:00') AS lag
+          FROM readings)
+        SELECT 'row_count' AS gate, CAST(n AS DOUBLE) AS observed, 1.0::DOUBLE AS max_or_min, n >= 1 AS passed FROM stats
+        UNION ALL
+        SELECT 'null_ratio', round(nulls / n, 6), 0.05::DOUBLE, coalesce(nulls / n <= 0.05, FALSE) FROM stats
+        UNION ALL
+        SELECT 'freshness', CAST(lag AS DOUBLE), 60.0::DOUBLE, coalesce(lag <= 60, FALSE) FROM stats"""
+
 _BODIES = {
     "increment_after_watermark": """
         WITH pending AS (SELECT * FROM readings WHERE event_time > TIMESTAMP '2024-01-11'),
@@ -134,17 +146,8 @@ _BODIES = {
         SELECT date_trunc('hour', event_time) AS event_hour, {_AGGS}
         FROM readings WHERE metric = 'click' AND {_RANGE} GROUP BY ALL""",
     "groupby_dims": f"SELECT device_id, metric, {_AGGS} FROM readings WHERE {_RANGE} GROUP BY ALL",
-    "dq_report": """
-        WITH stats AS (
-          SELECT count(*) FILTER (event_time >= TIMESTAMP '2024-01-30') AS n,
-                 count(*) FILTER (event_time >= TIMESTAMP '2024-01-30' AND value IS NULL) AS nulls,
-                 date_sub('minute', max(event_time), TIMESTAMP '2024-01-30 23:30:00') AS lag
-          FROM readings)
-        SELECT 'row_count' AS gate, CAST(n AS DOUBLE) AS observed, 1.0::DOUBLE AS max_or_min, n >= 1 AS passed FROM stats
-        UNION ALL
-        SELECT 'null_ratio', round(nulls / n, 6), 0.05::DOUBLE, coalesce(nulls / n <= 0.05, FALSE) FROM stats
-        UNION ALL
-        SELECT 'freshness', CAST(lag AS DOUBLE), 60.0::DOUBLE, coalesce(lag <= 60, FALSE) FROM stats""",
+    "dq_report": _DQ,
+    "dq_table_report": _DQ,
     "stream_raw_readings": _GOOD,
     "stream_rollup_minute": f"""
         SELECT date_trunc('minute', event_time) AS event_minute, r.device_id, metric, site_code, {_AGGS}

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline import operators as ops
-from gaugeline.functions import MEASURES, time_range, today, with_avg
+from gaugeline.functions import MEASURES, time_range, with_avg
 from gaugeline.functions.times import as_datetime
-from gaugeline.plans import raw, rollups, watermark
+from gaugeline.plans import gates, raw, rollups, watermark
 from gaugeline.plans import dimension as dims
 from gaugeline.plans.ingest import ingest_all, ingest_increment
 from gaugeline.operators.rollup import STREAM_KEYS
@@ -233,7 +233,7 @@ def rollup_avg(spark, sf_dir):
 
 def hourly_table(spark: SparkSession, measures=MEASURES) -> Rollup:
     spec = Rollup(f"{create_lake(spark)}.agg_hourly", "hour", measures=measures)
-    rollups.create_agg(spark, spec, buckets=0)
+    rollups.create_agg(spark, spec)
     return spec
 
 
@@ -277,7 +277,7 @@ def rollup_routed_slice(spark, sf_dir):
     src = views.readings(spark, sf_dir)
     hourly = hourly_table(spark)
     minute = Rollup(f"{hourly.table}_minute", "minute")
-    rollups.create_agg(spark, minute, buckets=0)
+    rollups.create_agg(spark, minute)
     for spec in (hourly, minute):
         rollups.load_agg(spark, spec, src, "a")
     return rollups.rollup_query(
@@ -380,15 +380,17 @@ def groupby_dims(spark, sf_dir):
 
 @query
 def dq_report(spark, sf_dir):
-    gates = [
-        ops.RowCount(1, today(NOW)),
-        ops.NullRatio("value", 0.05, today(NOW)),
-        ops.Fresh("event_time", 60, as_of=NOW),
-    ]
-    report = ops.run_gates(views.readings(spark, sf_dir), gates)
+    report = ops.run_gates(views.readings(spark, sf_dir), gates.daily_gates(NOW))
     return report.withColumn("observed", F.round("observed", 6))
 
 
+@query
+def dq_table_report(spark, sf_dir):
+    """The same gates on the stored table, which read its newest day only."""
+    table = raw_table(spark, views.readings(spark, sf_dir))
+    return gates.report(spark, table, NOW).withColumn("observed", F.round("observed", 6))
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
@@ -422,7 +424,7 @@ def stream_rollup_minute(spark, sf_dir):
     """Folded per micro-batch, then all but the newest micro-batch merged hour by hour."""
     source, checkpoint = topic(spark, sf_dir)
     spec = Rollup(f"{create_lake(spark)}.agg_minute", "minute", STREAM_KEYS)
-    rollups.create_agg(spark, spec, buckets=0)
+    rollups.create_agg(spark, spec)
     run(stream_rollup(spark, source, spec, "minute", checkpoint, active(spark, sf_dir), ANY, trigger=AT_ONCE))
     compact_stream_rollup(spark, spec)
     return rollups.read_agg(spark, spec).drop(spec.slot)
