@@ -19,16 +19,21 @@ def _ranking(measure: str) -> Column:
 
 
 def site_topn(
-    fact: DataFrame, dim: DataFrame, metric: str, n: int, measure: str = "value_sum"
+    fact: DataFrame, dim: DataFrame | None, metric: str, n: int, measure: str = "value_sum"
 ) -> DataFrame:
     """The ``n`` devices of each site with the largest measure within one metric.
 
     The fact, readings or a rollup, is folded to one row per device before it meets the
     dimension, and each task keeps ``n`` rows per site before the shuffle to the ranking.
+    ``dim`` is None for a rollup that holds the site already; devices without one are left out.
     """
     one_metric = fact.filter(F.col("metric") == metric)
-    per_device = presummed(one_metric, ["device_id"], [measure])
-    per_site = per_device.join(dim.select("device_id", "site_code"), "device_id")
+    if dim is None:
+        sited = one_metric.filter(F.col("site_code").isNotNull())
+        per_site = presummed(sited, ["site_code", "device_id"], [measure])
+    else:
+        per_device = presummed(one_metric, ["device_id"], [measure])
+        per_site = per_device.join(dim.select("device_id", "site_code"), "device_id")
     order = Window.partitionBy("site_code").orderBy(_ranking(measure), "device_id")
     return (
         per_site.withColumn("rank", F.row_number().over(order))

@@ -165,6 +165,19 @@ def compact_agg(
     return sorted(split)
 
 
+def partials_between(
+    spark: SparkSession, spec: Rollup, start: str | date | datetime, end: str | date | datetime
+) -> DataFrame:
+    """Partials of ``[start, end)``, read from that range's partitions only."""
+    rows = time_range(spark.table(spec.table), start, end, ts=spec.time)
+    if spec.grain != "minute":
+        return rows
+    last = as_datetime(end) - timedelta(microseconds=1)
+    return rows.filter(
+        F.col(spec.slot).between(spec.slot_key(as_datetime(start)), spec.slot_key(last))
+    )
+
+
 # --- answering a query from the smallest rollup that covers it ---------------------------------
 
 _AVG = {"value_avg": ("value_sum", "value_cnt"), "avg_per_reading": ("value_sum", "reading_cnt")}
@@ -187,7 +200,7 @@ def _whole(moment: datetime, grain: str) -> bool:
 
 def route(
     rollups: Iterable[Rollup],
-    grain: str,
+    grain: str | None,
     dims: Sequence[str],
     measures: Sequence[str],
     start: str | date | datetime,
@@ -195,10 +208,11 @@ def route(
 ) -> Rollup | None:
     """The coarsest rollup that holds the dimensions and measures, is at least as fine as
     ``grain`` and has the range on its bucket borders; None means the readings themselves."""
+    coarsest = len(GRAINS) if grain is None else GRAINS.index(grain)
     first, last = as_datetime(start), as_datetime(end)
     for spec in sorted(rollups, key=lambda r: (-GRAINS.index(r.grain), len(r.keys))):
         if (
-            GRAINS.index(spec.grain) <= GRAINS.index(grain)
+            GRAINS.index(spec.grain) <= coarsest
             and set(dims) <= set(spec.keys)
             and set(_needed(measures)) <= set(spec.measures)
             and _whole(first, spec.grain)
@@ -212,27 +226,24 @@ def rollup_query(
     spark: SparkSession,
     readings: DataFrame,
     rollups: Iterable[Rollup],
-    grain: str,
+    grain: str | None,
     dims: Sequence[str],
     measures: Sequence[str],
     start: str | date | datetime,
     end: str | date | datetime,
 ) -> DataFrame:
     """Group-by per time bucket and dimension over ``[start, end)``, from the rollup that
-    ``route`` picks. The answer is the same as from the readings."""
+    ``route`` picks; without a ``grain``, one bucket for the whole range. The answer is the same
+    as from the readings."""
     needed = _needed(measures)
     spec = route(rollups, grain, dims, measures, start, end)
     if spec is None:
         rows, ts, aggs = time_range(readings, start, end), "event_time", partial_exprs(needed)
     else:
-        rows = time_range(spark.table(spec.table), start, end, ts=spec.time)
-        if spec.grain == "minute":
-            last = as_datetime(end) - timedelta(microseconds=1)
-            rows = rows.filter(
-                F.col(spec.slot).between(spec.slot_key(as_datetime(start)), spec.slot_key(last))
-            )
+        rows = partials_between(spark, spec, start, end)
         ts, aggs = spec.time, merge_exprs(needed)
-    by = bucket(ts, grain).alias(bucket_name(grain))
-    folded = rows.groupBy(by, *dims).agg(*aggs)
+    by = [] if grain is None else [bucket(ts, grain).alias(bucket_name(grain))]
+    folded = rows.groupBy(*by, *dims).agg(*aggs)
     ratios = [F.try_divide(*_AVG[m]).alias(m) if m in _AVG else F.col(m) for m in measures]
-    return folded.select(bucket_name(grain), *dims, *ratios)
+    keys = dims if grain is None else [bucket_name(grain), *dims]
+    return folded.select(*keys, *ratios)

@@ -110,6 +110,8 @@ MINUTE = Rollup("t.minute", "minute", ("device_id", "metric", "site_code"))
         ("day", ["metric"], ["value_sum"], "2024-01-01 05:30:01", "2024-01-03", None),
         ("minute", ["metric"], ["value_sum"], "2024-01-01", "2024-01-03 00:00:00.000001", None),
         ("day", ["serial"], ["value_sum"], "2024-01-01", "2024-01-03", None),
+        (None, ["metric"], ["value_min"], "2024-01-01", "2024-01-03", DAY),
+        (None, ["metric"], ["value_sum"], "2024-01-01 07:00:00", "2024-01-03", HOUR),
     ],
 )
 def test_route(grain, dims, measures, start, end, expected):
@@ -127,6 +129,7 @@ def test_routed_answers_equal_the_readings(spark, some):
         ("day", "2024-01-01 05:00:00", "2024-01-03 17:00:00"),
         ("hour", "2024-01-01 05:21:00", "2024-01-03 17:02:00"),
         ("hour", "2024-01-01 05:21:07", "2024-01-03 17:02:00"),
+        (None, "2024-01-01 05:21:00", "2024-01-03 17:02:00"),
     ]:
         args = (grain, ["metric"], measures, start, end)
         routed = rollups.rollup_query(spark, some, specs, *args)

@@ -57,6 +57,16 @@ _DQ = """
         UNION ALL
         SELECT 'freshness', CAST(lag AS DOUBLE), 60.0::DOUBLE, coalesce(lag <= 60, FALSE) FROM stats"""
 
+_SITE_TOPN = """
+        WITH per_device AS (
+          SELECT d.site_code, r.device_id, round(sum(value), 4) AS value_sum
+          FROM readings r JOIN device d ON r.device_id = d.device_id
+          WHERE metric = 'purchase' GROUP BY ALL)
+        SELECT site_code, CAST(rn AS INTEGER) AS rank, device_id, value_sum
+        FROM (SELECT *, row_number() OVER (PARTITION BY site_code
+                ORDER BY value_sum DESC NULLS LAST, device_id) AS rn FROM per_device)
+        WHERE rn <= 3"""
+
 _BODIES = {
     "increment_after_watermark": """
         WITH pending AS (SELECT * FROM readings WHERE event_time > TIMESTAMP '2024-01-11'),
@@ -129,15 +139,13 @@ _BODIES = {
         SELECT region, is_active, metric, {_AGGS}
         FROM readings r JOIN device d ON r.device_id = d.device_id
         JOIN site s ON d.site_code = s.site_code GROUP BY ALL""",
-    "site_topn": """
-        WITH per_device AS (
-          SELECT d.site_code, r.device_id, round(sum(value), 4) AS value_sum
-          FROM readings r JOIN device d ON r.device_id = d.device_id
-          WHERE metric = 'purchase' GROUP BY ALL)
-        SELECT site_code, CAST(rn AS INTEGER) AS rank, device_id, value_sum
-        FROM (SELECT *, row_number() OVER (PARTITION BY site_code
-                ORDER BY value_sum DESC NULLS LAST, device_id) AS rn FROM per_device)
-        WHERE rn <= 3""",
+    "site_topn": _SITE_TOPN,
+    "site_topn_stored": _SITE_TOPN,
+    "site_groupby_routed": f"""
+        SELECT site_code, metric, count(*) AS reading_cnt, round(sum(value), 4) AS value_sum,
+               max(value) AS value_max
+        FROM readings r LEFT JOIN device d ON r.device_id = d.device_id
+        WHERE {_RANGE} GROUP BY ALL""",
     "topn_devices": f"""
         SELECT device_id, round(sum(value), 4) AS value_sum FROM readings
         WHERE metric = 'view' AND {_RANGE}

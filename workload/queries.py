@@ -360,6 +360,30 @@ def site_topn(spark, sf_dir):
     return ops.site_topn(views.readings(spark, sf_dir), views.device(spark, sf_dir), "purchase", 3)
 
 
+def site_table(spark: SparkSession, sf_dir: str) -> Rollup:
+    """Readings with their site, folded per day and stored."""
+    spec = Rollup(f"{create_lake(spark)}.agg_site", "day", STREAM_KEYS)
+    rollups.create_agg(spark, spec)
+    enriched = ops.enrich(views.readings(spark, sf_dir), views.device(spark, sf_dir))
+    rollups.load_agg(spark, spec, enriched, "a")
+    return spec
+
+
+@query
+def site_topn_stored(spark, sf_dir):
+    """Precomputed per site, device, metric and day; ranked when read."""
+    return ops.site_topn(spark.table(site_table(spark, sf_dir).table), None, "purchase", 3)
+
+
+@query
+def site_groupby_routed(spark, sf_dir):
+    """A join query answered without the join, by the rollup that holds the site."""
+    return rollups.rollup_query(
+        spark, views.readings(spark, sf_dir), [site_table(spark, sf_dir)], None,
+        ["site_code", "metric"], ["reading_cnt", "value_sum", "value_max"], "2024-01-03", "2024-01-28",
+    )
+
+
 @query
 def topn_devices(spark, sf_dir):
     return ops.topn(views.readings(spark, sf_dir), "device_id", "view", 10, "2024-01-03", "2024-01-28")
