@@ -116,7 +116,9 @@ def days_of_label(spark: SparkSession, table: str, label: str) -> list[str]:
 
 def _held(spark: SparkSession, table: str, first: str, last: str) -> list[Spec]:
     """Partitions of the days ``first`` to ``last``, both included."""
-    return [s for s in catalog.partitions(spark, table) if first <= s["event_date"] <= last]
+    one_day = {"event_date": first} if first == last else {}
+    held = catalog.partitions(spark, table, **one_day)
+    return [s for s in held if first <= s["event_date"] <= last]
 
 
 def _only_day(df: DataFrame, day: str) -> DataFrame:
