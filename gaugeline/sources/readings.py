@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import as_datetime, as_text, literal, time_range
@@ -15,6 +15,9 @@ from ..schemas import BATCH_LIMIT, READING_COLS
 # bucket of the level above, so no level yields more than 50,000 buckets (days apart).
 _WIDTHS = (86_400_000_000, 60_000_000, 50_000, 1)
 
+# Days after the low watermark that are looked at first; None is all of the source.
+_SPANS = (1, 64, None)
+
 # A bucket of at most this many rows is simply sorted: one column, in one task.
 _SORTABLE = 1_000_000
 
@@ -39,44 +42,55 @@ def increment_cutoff(
 
     An ordered limit would gather ``limit`` rows of every partition in one task. Counting rows
     per time bucket and narrowing to the bucket that holds the ``limit``-th row needs only one
-    column and partial counts, whatever the limit.
+    column and partial counts, whatever the limit. The first looks go no further than a span
+    after ``low``: the filter keeps the rest of a long history unread.
     """
-    pending = time_range(src, start=low, ts=ts).filter(F.col(ts) > literal(src, ts, low)).select(ts)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-
     if limit is None:
-        newest = pending.agg(F.max(micros)).first()[0]
+        newest = _above(src, low, None, ts).agg(F.max(micros)).first()[0]
         return None if newest is None else _from_micros(newest)
 
-    left, inside = limit, pending
-    for width in _WIDTHS:
-        counts = (
-            inside.select(micros.alias("t"))
-            .groupBy(F.floor(F.col("t") / width).cast("bigint").alias("b"))
-            .agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("newest"))
-        )
-        upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("b")))
-        # The last bucket is the answer when the limit is never reached.
-        cut = (
-            upto.withColumn("short", F.col("upto") < left)
-            .orderBy("short", F.when(F.col("short"), -F.col("b")).otherwise(F.col("b")))
-            .first()
-        )
-        if cut is None:
-            return None
-        if cut["upto"] <= left or width == 1:
+    for days in _SPANS:
+        inside = _above(src, low, days, ts)
+        cut = _bucket_of_nth(inside, micros, _WIDTHS[0], limit)
+        if cut is not None and cut["upto"] >= limit:
+            break
+    if cut is None:
+        return None
+
+    left = limit
+    for width, finer in zip(_WIDTHS, (*_WIDTHS[1:], None)):
+        if cut["upto"] <= left or finer is None:
             return _from_micros(cut["newest"])
         left -= cut["upto"] - cut["n"]
-        start = cut["b"] * width
-        inside = inside.filter(
-            (F.col(ts) >= _micros(src, ts, start)) & (F.col(ts) < _micros(src, ts, start + width))
-        )
+        start, end = (_micros(src, ts, cut["b"] + add) for add in (0, width))
+        inside = inside.filter((F.col(ts) >= start) & (F.col(ts) < end))
         if cut["n"] <= _SORTABLE:
             oldest = inside.select(micros.alias("t")).orderBy("t").limit(left)
             return _from_micros(oldest.agg(F.max("t")).first()[0])
+        cut = _bucket_of_nth(inside, micros, finer, left)
     raise AssertionError("unreachable")
 
 
+def _above(src: DataFrame, low: str | datetime, days: int | None, ts: str) -> DataFrame:
+    """Times above ``low``, up to ``days`` days after it."""
+    end = None if days is None else as_datetime(low) + timedelta(days=days)
+    return time_range(src, low, end, ts=ts).filter(F.col(ts) > literal(src, ts, low)).select(ts)
+
+
+def _bucket_of_nth(times: DataFrame, micros: Column, width: int, nth: int) -> Row | None:
+    """The bucket with the ``nth`` oldest row, or the last one if there are fewer rows: its start
+    ``b``, rows ``n``, rows ``upto`` its end, and ``newest`` row."""
+    counts = (
+        times.select(micros.alias("t"))
+        .groupBy((F.col("t") - F.pmod("t", F.lit(width))).alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("newest"))
+    )
+    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("b")))
+    short = F.col("upto") < nth
+    return upto.orderBy(short, F.when(short, -F.col("b")).otherwise(F.col("b"))).first()
+
+
 def _from_micros(value: int) -> str:
     return as_text(datetime(1970, 1, 1) + timedelta(microseconds=value))
 

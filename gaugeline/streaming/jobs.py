@@ -9,7 +9,8 @@ Batch ids start again at 0 with a new checkpoint; a new checkpoint needs a new `
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import re
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ..operators.joins import enrich
 from ..plans import catalog
 from ..plans.raw import load_batch
 from ..plans.rollups import Rollup, compact_agg, load_agg
+from ..schemas import LABEL_CHARS
 from ..sources.conform import parse, split
 
 # Pacing and tolerance of the continuous load.
@@ -30,10 +32,24 @@ class ErrorBudgetExceeded(RuntimeError):
     """A micro-batch holds more malformed messages than tolerated; nothing of it was written."""
 
 
+# Labels that compaction and refresh give; no stream may be called so.
+_RESERVED = ("merged", "day")
+
+
 def batch_label(job_key: str, batch_id: int) -> str:
     return f"{job_key}-{batch_id:012d}"
 
 
+def _newest_batches(labels: Iterable[str]) -> set[str]:
+    """The label of each stream's newest micro-batch."""
+    newest: dict[str, str] = {}
+    for label in labels:
+        job_key, _, number = label.rpartition("-")
+        if job_key not in _RESERVED and len(number) == 12 and number.isdigit():
+            newest[job_key] = max(label, newest.get(job_key, label))
+    return set(newest.values())
+
+
 def create_quarantine(spark: SparkSession, table: str) -> None:
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} (reason string, payload string, load_label string) "
@@ -51,6 +67,9 @@ def _run(
     quarantine: str | None,
     trigger: Mapping[str, object],
 ) -> StreamingQuery:
+    if job_key in _RESERVED or not re.fullmatch(f"[{LABEL_CHARS}]+", job_key):
+        raise ValueError(f"job key {job_key!r}: use letters, digits, _ and -, and none of {_RESERVED}")
+
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(job_key, batch_id)
         # Read by the count and by the writes; its size is bounded by the source's row limit.
@@ -116,8 +135,7 @@ def stream_rollup(
 def compact_stream_rollup(
     spark: SparkSession, spec: Rollup, first: str | None = None, last: str | None = None
 ) -> list[str]:
-    """Merge the micro-batches of each partition key, except the newest micro-batch of the
-    table: that one may still run again. Run it while the stream is paused."""
-    labels = sorted({s["load_label"] for s in catalog.partitions(spark, spec.table)})
-    newest = [x for x in labels if not x.startswith("merged-")][-1:]
-    return compact_agg(spark, spec, first, last, [x for x in labels if x not in newest])
+    """Merge the micro-batches of each partition key, except the newest micro-batch of each
+    stream: that one may still run again. Run it while the stream is paused."""
+    labels = {s["load_label"] for s in catalog.partitions(spark, spec.table)}
+    return compact_agg(spark, spec, first, last, sorted(labels - _newest_batches(labels)))

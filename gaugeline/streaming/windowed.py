@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.measures import MEASURES, partial_exprs
+from ..operators.joins import enrich
 from ..operators.rollup import STREAM_KEYS
 from ..sources.conform import conform
 from .jobs import EVERY
@@ -23,9 +24,12 @@ def stream_rollup_bounded(
     path: str,
     checkpoint: str,
     delay: str = "10 minutes",
+    dim: DataFrame | None = None,
     trigger: Mapping[str, object] = EVERY,
 ) -> StreamingQuery:
     good, _ = conform(messages)
+    if dim is not None:
+        good = enrich(good, dim)
     minute = F.window("event_time", "1 minute")
     folded = (
         good.withWatermark("event_time", delay)

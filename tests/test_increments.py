@@ -11,6 +11,7 @@ from gaugeline.plans.ingest import ingest_all, ingest_increment
 from gaugeline.sources import increment_cutoff, read_increment
 from gaugeline.sources import readings as source
 from helpers import at, content, lake, raw_table, readings, rows_of
+from helpers import plan as plan_text
 
 FLOOR = "1970-01-01"
 
@@ -32,15 +33,17 @@ def test_ties_at_limit(spark):
     assert rows_of(first.rows.union(second.rows)) == rows_of(src)
 
 
-@pytest.mark.parametrize("sortable", [0, 10, 1_000_000])
+@pytest.mark.parametrize("sortable, gap", [(0, 0), (10, 0), (0, 30), (1_000_000, 90)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_cutoff_is_the_nth_oldest(spark, monkeypatch, sortable, seed):
+def test_cutoff_is_the_nth_oldest(spark, monkeypatch, sortable, gap, seed):
+    """Times before and after 1970, many close together, some after a gap of days."""
     monkeypatch.setattr(source, "_SORTABLE", sortable)
     rng = Random(seed)
     base = at("1969-12-31 23:59:50")
     spans = [3 * 86400 * 10**6, 90 * 10**6, 200_000, 20]
     times = sorted(
-        base + timedelta(microseconds=rng.randrange(rng.choice(spans))) for _ in range(300)
+        base + timedelta(days=rng.choice((0, gap)), microseconds=rng.randrange(rng.choice(spans)))
+        for _ in range(300)
     )
     df = spark.createDataFrame([(as_text(t),) for t in times], "t string")
     df = df.select(F.col("t").cast("timestamp").alias("event_time"))
@@ -52,6 +55,18 @@ def test_cutoff_is_the_nth_oldest(spark, monkeypatch, sortable, seed):
     assert increment_cutoff(df, times[-1], 5) is None
 
 
+def test_a_long_history_is_left_unread(spark, monkeypatch):
+    """A full first day answers; rows behind it are filtered out at the scan."""
+    path = spark.conf.get("spark.checkpoint.dir") + "/history"
+    rows = [(f"20{y}-01-01 00:00:0{s}", 1, "m", 1.0) for y in (23, 24, 25) for s in range(1, 6)]
+    readings(spark, rows).write.mode("overwrite").parquet(path)
+    seen = []
+    real = source._bucket_of_nth
+    monkeypatch.setattr(source, "_bucket_of_nth", lambda df, *a: seen.append(plan_text(df)) or real(df, *a))
+    assert increment_cutoff(spark.read.parquet(path), "2023-01-01", 5) == "2023-01-01 00:00:05.000000"
+    assert len(seen) == 1 and "LessThan(event_time,2023-01-02" in seen[0]
+
+
 def test_zone_less_source(spark):
     src = readings(spark, [("2024-01-01 00:00:01", 1, "m", 1.0), ("2024-01-02 00:00:01", 1, "m", 2.0)])
     src = src.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))

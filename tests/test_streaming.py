@@ -133,9 +133,22 @@ def test_bounded_rollup_emits_passed_minutes(spark):
     for batch in (rows(1), rows(30), rows(31), rows(2), rows(50)):  # minute 2 comes too late
         topic.send(batch)
     out = str(topic.root / "out")
-    stream_rollup_bounded(topic.source(), out, topic.checkpoint, "10 minutes", ONCE).awaitTermination()
-    got = sorted(str(r.event_minute)[14:16] for r in spark.read.parquet(out).collect())
-    assert got == ["01", "30", "31"]
+    dim = spark.createDataFrame([(1, "home")], "device_id bigint, site_code string")
+    stream_rollup_bounded(topic.source(), out, topic.checkpoint, "10 minutes", dim, ONCE).awaitTermination()
+    stored = spark.read.parquet(out).collect()
+    got = sorted(str(r.event_minute)[14:16] for r in stored)
+    assert got == ["01", "30", "31"] and {r.site_code for r in stored} == {"home"}
+
+
+def test_newest_batch_of_each_stream():
+    labels = ["a-000000000001", "a-000000000010", "b-000000000002", "merged-123456789012", "day-000000000009", "x"]
+    assert jobs._newest_batches(labels) == {"a-000000000010", "b-000000000002"}
+
+
+def test_job_keys_are_safe(spark):
+    for key in ("day", "a/b", ""):
+        with pytest.raises(ValueError):
+            stream_raw(spark, Topic(spark).source(), "t", key, "/nowhere")
 
 
 def test_show_pause_resume_stop(spark):

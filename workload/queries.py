@@ -458,7 +458,7 @@ def stream_rollup_minute(spark, sf_dir):
 def stream_rollup_windowed(spark, sf_dir):
     source, checkpoint = topic(spark, sf_dir)
     out = f"{checkpoint}_out"
-    run(stream_rollup_bounded(source, out, checkpoint, "10 minutes", AT_ONCE))
+    run(stream_rollup_bounded(source, out, checkpoint, "10 minutes", trigger=AT_ONCE))
     return spark.read.parquet(out).drop("site_code")
 
 
