@@ -1,5 +1,5 @@
 from .dimension import apply_changes, latest, serving
-from .joins import colocated_join, enrich, groupby_dims, hot_keys, with_device
+from .joins import colocated_join, enrich, enriched_rollup, groupby_dims, hot_keys, with_device
 from .quality import (
     DataQualityError,
     Fresh,
@@ -24,6 +24,7 @@ __all__ = [
     "colocated_join",
     "enforce",
     "enrich",
+    "enriched_rollup",
     "fresh",
     "groupby_dims",
     "hot_keys",

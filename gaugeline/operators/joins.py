@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import MEASURES, measures_of, merge_exprs
+from ..functions.times import bucket_name
 from ..schemas import BUCKETS
-from .rollup import presummed
+from .rollup import STREAM_KEYS, merge_partials, presummed, rollup
 
 KEY = "device_id"
 
@@ -45,7 +46,7 @@ def colocated_join(
     share: float = 1 / (2 * BUCKETS),
     hot: list | None = None,
 ) -> DataFrame:
-    """Join of two tables bucketed alike, without a shuffle and without hot tasks.
+    """Join with a large dimension bucketed like the fact, without a shuffle and without hot tasks.
 
     A bucket is one task, so a device with a third of all rows would hold one task back. Devices
     above ``share`` of the rows are joined apart: their rows stay in scan order and meet a
@@ -54,15 +55,18 @@ def colocated_join(
     """
     if hot is None:
         hot = hot_keys(fact, key, share)
+    bucketed = dim.hint("merge")
     if not hot:
-        return fact.join(dim, key, how)
+        return fact.join(bucketed, key, how)
     is_hot = F.col(key).isin(hot)
-    cold_rows = fact.filter(~is_hot | F.col(key).isNull()).join(dim, key, how)
+    cold_rows = fact.filter(~is_hot | F.col(key).isNull()).join(bucketed, key, how)
     hot_rows = fact.filter(is_hot).join(F.broadcast(dim.filter(is_hot)), key, how)
     return cold_rows.unionByName(hot_rows)
 
 
-def enrich(readings: DataFrame, dim: DataFrame, attributes: Sequence[str] = ("site_code",)) -> DataFrame:
+def enrich(
+    readings: DataFrame, dim: DataFrame, attributes: Sequence[str] = ("site_code",)
+) -> DataFrame:
     """Readings with device attributes attached before any rollup.
 
     A left join: a reading of an unknown device stays. An attribute that the reading already
@@ -76,6 +80,28 @@ def enrich(readings: DataFrame, dim: DataFrame, attributes: Sequence[str] = ("si
     return joined.drop(*[f"_dim_{a}" for a in attributes])
 
 
+def enriched_rollup(
+    readings: DataFrame,
+    dim: DataFrame,
+    grain: str,
+    keys: Sequence[str] = STREAM_KEYS,
+    measures: Sequence[str] = MEASURES,
+) -> DataFrame:
+    """``rollup(enrich(readings, dim))``, folded before the join.
+
+    The attributes belong to the device, so a device's readings share them. Folding first means
+    that the join sees one row per bucket, device and metric, hot device or not.
+    """
+    own = [k for k in keys if k in readings.columns]
+    attributes = [k for k in keys if k not in readings.columns or k == "site_code"]
+    folded = rollup(readings, grain, dict.fromkeys([KEY, *own]), measures)
+    enriched = enrich(folded, dim, attributes)
+    if KEY in keys and not set(own) & set(attributes):
+        return enriched.select(bucket_name(grain), *keys, *measures)
+    # A site that some readings carry and others get from the dimension is one group.
+    return merge_partials(enriched, [bucket_name(grain), *keys], measures)
+
+
 def groupby_dims(
     fact: DataFrame,
     dims: Iterable[tuple[DataFrame, str]],

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import MEASURES, merge_exprs, partial_exprs
 from ..functions.times import GRAINS, as_datetime, bucket, bucket_name, time_range
+from ..operators.joins import enriched_rollup
 from ..operators.rollup import DEVICE_KEYS, merge_partials, rollup
 from ..session import unique
 from . import catalog
@@ -67,14 +68,24 @@ def _layout(spark: SparkSession, spec: Rollup) -> Layout:
     return Layout({spec.slot: F.col(spec.slot), **catalog.bucket_of("device_id", buckets)}, sort)
 
 
-def _rolled(readings: DataFrame, spec: Rollup) -> DataFrame:
-    rolled = rollup(readings, spec.grain, spec.keys, spec.measures)
+def _rolled(readings: DataFrame, spec: Rollup, dim: DataFrame | None) -> DataFrame:
+    if dim is None:
+        rolled = rollup(readings, spec.grain, spec.keys, spec.measures)
+    else:
+        rolled = enriched_rollup(readings, dim, spec.grain, spec.keys, spec.measures)
     return rolled.withColumn(spec.slot, spec.slot_of(spec.time))
 
 
-def load_agg(spark: SparkSession, spec: Rollup, readings: DataFrame, label: str) -> None:
-    """Add a batch of new readings to the rollup. The same label twice counts once."""
-    rolled = _rolled(readings, spec)
+def load_agg(
+    spark: SparkSession,
+    spec: Rollup,
+    readings: DataFrame,
+    label: str,
+    dim: DataFrame | None = None,
+) -> None:
+    """Add a batch of new readings to the rollup. The same label twice counts once. ``dim``
+    supplies keys that the readings lack, such as the site."""
+    rolled = _rolled(readings, spec, dim)
     catalog.load_label(spark, spec.table, rolled, label, _layout(spark, spec))
 
 
@@ -107,7 +118,11 @@ def _days_filter(days: Sequence[str], ts: str) -> Column:
 
 
 def refresh_rollup(
-    spark: SparkSession, spec: Rollup, readings: DataFrame, days: Iterable[str | date]
+    spark: SparkSession,
+    spec: Rollup,
+    readings: DataFrame,
+    days: Iterable[str | date],
+    dim: DataFrame | None = None,
 ) -> None:
     """Recompute the given days of the rollup from the readings; all other days stay.
 
@@ -120,15 +135,21 @@ def refresh_rollup(
     rows = readings.filter(_days_filter(listed, "event_time"))
     if "event_date" in readings.columns:
         rows = rows.filter(F.col("event_date").isin([as_datetime(d).date() for d in listed]))
-    rolled = _rolled(rows, spec).withColumn("load_label", F.lit(unique("day-")))
+    rolled = _rolled(rows, spec, dim).withColumn("load_label", F.lit(unique("day-")))
     slots = _slots(spec, listed)
     old = [s for s in catalog.partitions(spark, spec.table) if s[spec.slot] in slots]
     catalog.replace_partitions(spark, spec.table, rolled, old, _layout(spark, spec))
 
 
-def rebuild_agg(spark: SparkSession, spec: Rollup, readings: DataFrame, day: str | date) -> None:
+def rebuild_agg(
+    spark: SparkSession,
+    spec: Rollup,
+    readings: DataFrame,
+    day: str | date,
+    dim: DataFrame | None = None,
+) -> None:
     """Recompute one day."""
-    refresh_rollup(spark, spec, readings, [day])
+    refresh_rollup(spark, spec, readings, [day], dim)
 
 
 def compact_agg(

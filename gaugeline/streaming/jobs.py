@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.joins import enrich
 from ..plans import catalog
 from ..plans.raw import load_batch
 from ..plans.rollups import Rollup, compact_agg, load_agg
@@ -127,7 +126,7 @@ def stream_rollup(
     carry none."""
 
     def load(good: DataFrame, label: str) -> None:
-        load_agg(spark, spec, good if dim is None else enrich(good, dim), label)
+        load_agg(spark, spec, good, label, dim)
 
     return _run(spark, messages, load, job_key, checkpoint, max_errors, quarantine, trigger)
 

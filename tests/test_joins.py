@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeline.operators import colocated_join, enrich, groupby_dims, hot_keys, rollup, site_topn, topn, with_device
+from gaugeline.operators import colocated_join, enrich, enriched_rollup, groupby_dims, hot_keys, rollup, site_topn, topn, with_device
 from gaugeline.plans import dimension as dims
 from gaugeline.plans import raw
 from gaugeline.schemas import DEVICE
@@ -108,6 +108,23 @@ def test_unknown_devices_survive_enrichment(spark):
     assert got == {1: "own", 7: None}
 
 
+def test_enriched_rollup_equals_enrich_then_rollup(spark, fact, dim):
+    keys = ("device_id", "metric", "site_code")
+    left, right = facts(spark, fact), dims.read_dim(spark, dim)
+    part = left.withColumn("site_code", F.when(F.col("value") < 30, F.lit("s1")))  # some carry a site
+    for rows in (left, part):
+        for some_keys in (keys, ("metric", "site_code")):
+            got = enriched_rollup(rows, right, "day", some_keys)
+            expected = rollup(enrich(rows, right), "day", some_keys)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.select(got.columns).collect()))
+
+
+def test_enriched_rollup_folds_before_the_join(spark, fact, dim):
+    text = plan(enriched_rollup(facts(spark, fact), dims.read_dim(spark, dim), "hour"))
+    tree = text.split("\n\n")[0]
+    assert tree.index("Join") < tree.index("HashAggregate") < tree.index("Scan parquet")
+
+
 def test_groupby_dims_equals_join_then_group(spark, fact, dim):
     left, right = facts(spark, fact), dims.read_dim(spark, dim)
     sites = spark.createDataFrame([(f"s{i}", f"r{i % 2}") for i in range(4)], "site_code string, region string")

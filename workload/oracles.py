@@ -132,6 +132,9 @@ _BODIES = {
         SELECT date_trunc('minute', event_time) AS event_minute, r.device_id, metric, site_code, {_AGGS}
         FROM readings r LEFT JOIN device d ON r.device_id = d.device_id AND d.is_active
         GROUP BY ALL""",
+    "denormalized_readings": """
+        SELECT r.*, site_code
+        FROM readings r LEFT JOIN device d ON r.device_id = d.device_id AND d.is_active""",
     "site_metric_groupby": f"""
         SELECT site_code, metric, {_AGGS}
         FROM readings r JOIN device d ON r.device_id = d.device_id GROUP BY ALL""",

@@ -334,8 +334,12 @@ def active(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def denormalized_rollup(spark, sf_dir):
-    enriched = ops.enrich(views.readings(spark, sf_dir), active(spark, sf_dir))
-    return ops.rollup(enriched, "minute", ("device_id", "metric", "site_code"))
+    return ops.enriched_rollup(views.readings(spark, sf_dir), active(spark, sf_dir), "minute")
+
+
+@query
+def denormalized_readings(spark, sf_dir):
+    return ops.enrich(views.readings(spark, sf_dir), active(spark, sf_dir))
 
 
 @query
@@ -364,8 +368,7 @@ def site_table(spark: SparkSession, sf_dir: str) -> Rollup:
     """Readings with their site, folded per day and stored."""
     spec = Rollup(f"{create_lake(spark)}.agg_site", "day", STREAM_KEYS)
     rollups.create_agg(spark, spec)
-    enriched = ops.enrich(views.readings(spark, sf_dir), views.device(spark, sf_dir))
-    rollups.load_agg(spark, spec, enriched, "a")
+    rollups.load_agg(spark, spec, views.readings(spark, sf_dir), "a", views.device(spark, sf_dir))
     return spec
 
 
