@@ -1,15 +1,19 @@
-"""Incremental load of a source into the raw table."""
+"""Loads into the raw table: increments of a source, and JSON batch files."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.times import as_datetime, as_text
 from ..schemas import BATCH_LIMIT, WATERMARK_FLOOR
+from ..sources.conform import parse, split
+from ..sources.json_batch import read_json_batch
 from ..sources.readings import read_increment
 from .raw import label_for, load_batch
+from .rejects import check_budget, keep_rejects
 from .watermark import get_watermark, set_watermark
 
 
@@ -52,3 +56,36 @@ def ingest_all(
     while (high := ingest_increment(spark, src, table, control, job_key, limit, as_of)) is not None:
         passed.append(high)
     return passed
+
+
+def load_json(
+    spark: SparkSession,
+    table: str,
+    path: str | list[str],
+    array: bool,
+    name: str = "json",
+    max_errors: int = 0,
+    quarantine: str | None = None,
+    as_of: str | datetime | None = None,
+) -> str:
+    """Load a batch of JSON files, all of it or nothing; returns its label.
+
+    The label comes from the content: the same messages sent again replace their first load,
+    in whatever order and files they come. More than ``max_errors`` malformed messages fail the
+    load; fewer go to ``quarantine``.
+    """
+    parsed = parse(read_json_batch(spark, path, array))
+    digest = F.xxhash64("payload")
+    told = parsed.agg(
+        F.count_if(F.col("reason").isNotNull()).alias("errors"),
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.bit_xor(digest), F.lit(0)).alias("mixed"),
+        F.coalesce(F.sum(digest.cast("decimal(38,0)")), F.lit(0)).alias("added"),
+    ).first()
+    label = label_for(name, f"{told['n']}_{told['mixed']}_{told['added']}")
+    check_budget(label, told["errors"], max_errors)
+    good, bad = split(parsed)
+    load_batch(spark, table, good, label, as_of)
+    if quarantine is not None and told["errors"]:
+        keep_rejects(spark, quarantine, bad, label)
+    return label

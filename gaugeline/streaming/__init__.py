@@ -1,5 +1,6 @@
+from ..plans.rejects import ErrorBudgetExceeded, create_quarantine
 from .control import StreamJob
-from .jobs import ErrorBudgetExceeded, compact_stream_rollup, create_quarantine, stream_raw, stream_rollup
+from .jobs import compact_stream_rollup, stream_raw, stream_rollup
 from .windowed import stream_rollup_bounded
 
 __all__ = [

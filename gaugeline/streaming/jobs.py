@@ -13,11 +13,11 @@ import re
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import catalog
 from ..plans.raw import load_batch
+from ..plans.rejects import check_budget, keep_rejects
 from ..plans.rollups import Rollup, compact_agg, load_agg
 from ..schemas import LABEL_CHARS
 from ..sources.conform import parse, split
@@ -27,10 +27,6 @@ EVERY = {"processingTime": "10 seconds"}
 MAX_ERRORS = 100
 
 
-class ErrorBudgetExceeded(RuntimeError):
-    """A micro-batch holds more malformed messages than tolerated; nothing of it was written."""
-
-
 # Labels that compaction and refresh give; no stream may be called so.
 _RESERVED = ("merged", "day")
 
@@ -49,13 +45,6 @@ def _newest_batches(labels: Iterable[str]) -> set[str]:
     return set(newest.values())
 
 
-def create_quarantine(spark: SparkSession, table: str) -> None:
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} (reason string, payload string, load_label string) "
-        "USING parquet OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (load_label)"
-    )
-
-
 def _run(
     spark: SparkSession,
     messages: DataFrame,
@@ -76,11 +65,10 @@ def _run(
         try:
             good, bad = split(parsed)
             errors = bad.count()
-            if errors > max_errors:
-                raise ErrorBudgetExceeded(f"{label}: {errors} malformed messages, limit {max_errors}")
+            check_budget(label, errors, max_errors)
             load(good, label)
             if quarantine is not None and errors:
-                catalog.load_label(spark, quarantine, bad, label, catalog.Layout({"reason": F.col("reason")}))
+                keep_rejects(spark, quarantine, bad, label)
         finally:
             parsed.unpersist()
 

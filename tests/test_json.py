@@ -4,8 +4,11 @@ from tempfile import mkdtemp
 
 import pytest
 
+from gaugeline.plans.ingest import load_json
+from gaugeline.plans.rejects import ErrorBudgetExceeded, create_quarantine
 from gaugeline.sources import conform, jdbc_options, kafka_options, read_json_batch
 from gaugeline.sources.topic import read_stream
+from helpers import raw_table
 
 RECORDS = [
     {"event_time": "2024-01-01T00:00:00Z", "device_id": 1, "metric": "power_kw", "value": 1.5, "site_code": "s"},
@@ -77,6 +80,26 @@ def test_an_odd_value_costs_the_value_only(spark, value, expected):
     assert bad.count() == 0 and good.first().value == expected
 
 
+def test_a_batch_sent_twice_counts_once(spark):
+    table = raw_table(spark)
+    first = load_json(spark, table, files(json.dumps(RECORDS)), array=True)
+    again = load_json(spark, table, files(json.dumps(RECORDS[2:]), json.dumps(RECORDS[:2])), array=True)
+    assert first == again and spark.table(table).count() == 3
+    other = load_json(spark, table, files(json.dumps(RECORDS + RECORDS[:1])), array=True)
+    assert other != first and spark.table(table).count() == 7
+
+
+def test_a_batch_with_bad_rows_loads_nothing_beyond_the_budget(spark):
+    table = raw_table(spark)
+    create_quarantine(spark, f"{table}_bad")
+    path = files("\n".join([*map(json.dumps, RECORDS), "junk", '{"metric": "m"}']))
+    with pytest.raises(ErrorBudgetExceeded, match="2 malformed messages, limit 0"):
+        load_json(spark, table, path, array=False)
+    assert spark.table(table).count() == 0
+    load_json(spark, table, path, array=False, max_errors=2, quarantine=f"{table}_bad")
+    assert (spark.table(table).count(), spark.table(f"{table}_bad").count()) == (3, 2)
+
+
 def test_topic_options():
     options = kafka_options("b:9092", "t", 500, 3, groupIdPrefix="x")
     assert options == {

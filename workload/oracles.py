@@ -84,6 +84,7 @@ _BODIES = {
     "json_conform": _GOOD,
     "json_rejects": _REJECTS,
     "json_batch_lines": _GOOD,
+    "json_load": _GOOD,
     "backfill_replaces_day": _days_replaced(_IS_DAY),
     "backfill_empty_day": f"SELECT * FROM readings WHERE NOT ({_IS_DAY})",
     "backfill_range": _days_replaced(

@@ -14,7 +14,7 @@ from gaugeline.functions import MEASURES, time_range, with_avg
 from gaugeline.functions.times import as_datetime
 from gaugeline.plans import gates, raw, rollups, watermark
 from gaugeline.plans import dimension as dims
-from gaugeline.plans.ingest import ingest_all, ingest_increment
+from gaugeline.plans.ingest import ingest_all, ingest_increment, load_json
 from gaugeline.operators.rollup import STREAM_KEYS
 from gaugeline.plans.rollups import Rollup
 from gaugeline.schemas import READING_COLS, WATERMARK_FLOOR
@@ -38,6 +38,8 @@ DAY = "2024-01-05"
 DIGITS = {"value_sum": 4, "value_avg": 10, "avg_per_reading": 10}
 NOW = "2024-01-30 23:30:00"
 AT_ONCE = {"availableNow": True}
+# The messages hold malformed ones in proportion, so the error budget is set aside.
+ANY = 2**62
 
 
 def query(fn: Query) -> Query:
@@ -124,6 +126,19 @@ def json_batch_lines(spark, sf_dir):
     return good.select(*READING_COLS)
 
 
+@query
+def json_load(spark, sf_dir):
+    """Batch files loaded, then the same messages sent again in other files."""
+    folder = f"{shared_root(spark)}/{unique('json_')}"
+    sent = views.messages(spark, sf_dir).select("value")
+    sent.write.text(f"{folder}/a")
+    sent.repartition(3).write.text(f"{folder}/b")
+    table = raw_table(spark)
+    for part in ("a", "b"):
+        load_json(spark, table, f"{folder}/{part}", array=False, max_errors=ANY)
+    return rows_of(spark, table)
+
+
 # --- loads and table maintenance ---------------------------------------------------------------
 
 
@@ -434,10 +449,6 @@ def run(stream) -> None:
     stream.awaitTermination()
 
 
-# The messages hold malformed ones in proportion, so the budget is set aside here.
-ANY = 2**62
-
-
 @query
 def stream_raw_readings(spark, sf_dir):
     source, checkpoint = topic(spark, sf_dir)
