@@ -81,8 +81,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     0: bad time, 1: text as value, 2: no device, 3: cut off, 4: NULL as value.
     """
-    events = _table(spark, sf_dir, "events", EVENTS)
-    k = F.get_json_object("props", "$.k").cast("int")
+    how = F.get_json_object("props", "$.k").cast("int")
+    # A generator, so that the number is taken from the text once per row.
+    events = _table(spark, sf_dir, "events", EVENTS).select(
+        "*", F.inline(F.array(F.struct(how.alias("k"))))
+    )
+    k = F.col("k")
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     number = F.concat(F.lit(', "value": '), F.col("value").cast("string"))
     text = F.concat(
