@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.measures import MEASURES, measures_of, merge_exprs, partial_exprs
 from ..functions.times import GRAINS, bucket, bucket_name, time_range

@@ -9,14 +9,14 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import moment
+from ..schemas import WATERMARK, ddl
 from . import catalog
 
 
 def create_control(spark: SparkSession, table: str) -> None:
     """One partition per job: jobs do not touch each other's row."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} (watermark string, updated_at timestamp, job_key string) "
-        "USING parquet PARTITIONED BY (job_key)"
+        f"CREATE TABLE IF NOT EXISTS {table} ({ddl(WATERMARK)}) USING parquet PARTITIONED BY (job_key)"
     )
 
 

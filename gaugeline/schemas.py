@@ -14,7 +14,7 @@ READING = T.StructType(
 )
 
 # The stream's shape: a reading plus the optional site it was taken at.
-STREAM_READING = T.StructType(READING.fields + [T.StructField("site_code", T.StringType())])
+STREAM_READING = T.StructType([*READING.fields, T.StructField("site_code", T.StringType())])
 
 DEVICE = T.StructType(
     [
@@ -28,6 +28,9 @@ DEVICE = T.StructType(
     ]
 )
 
+# A change of a device: the row, and whether to upsert (0) or delete (1) it.
+DEVICE_CHANGE = T.StructType([*DEVICE.fields, T.StructField("__op", T.IntegerType(), False)])
+
 WATERMARK = T.StructType(
     [
         T.StructField("job_key", T.StringType(), False),

@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from gaugeline.operators import apply_changes, latest, serving
 from gaugeline.plans import dimension as dims
-from gaugeline.schemas import DEVICE
+from gaugeline.schemas import DEVICE, DEVICE_CHANGE
+from gaugeline.sources import conform
 from helpers import lake, plan
 
 STATE = "device_id bigint, site_code string, updated_at timestamp, seq bigint, __op int"
@@ -28,11 +29,17 @@ BATCHES = {
     "delete then insert again": ([[(1, "a", T1, 1, 0)], [(1, None, T2, 1, 1)], [(1, "c", T3, 1, 0)]], [(1, "c")]),
     "delete of an unknown key": ([[(9, None, T1, 1, 1)]], []),
     "old update after a newer delete": ([[(1, None, T3, 1, 1)], [(1, "a", T2, 1, 0)]], []),
-    "tie on time goes to the higher sequence": ([[(1, "a", T1, 2, 0), (1, "b", T1, 1, 0)], [(1, "c", T1, 1, 0)]], [(1, "a")]),
+    "tie on time goes to the higher sequence": (
+        [[(1, "a", T1, 2, 0), (1, "b", T1, 1, 0)], [(1, "c", T1, 1, 0)]],
+        [(1, "a")],
+    ),
     "no time is oldest": ([[(1, "a", T1, 1, 0)], [(1, "z", None, 9, 0)]], [(1, "a")]),
     "any time beats no time": ([[(1, "z", None, 9, 0)], [(1, "a", T1, 1, 0)]], [(1, "a")]),
     "same version again replaces": ([[(1, "a", T1, 1, 0)], [(1, "b", T1, 1, 0)]], [(1, "b")]),
-    "several changes in one batch": ([[(1, "a", T1, 1, 0), (1, "d", T4, 1, 0), (1, "c", T3, 1, 1), (2, "x", T1, 1, 0)]], [(1, "d"), (2, "x")]),
+    "several changes in one batch": (
+        [[(1, "a", T1, 1, 0), (1, "d", T4, 1, 0), (1, "c", T3, 1, 1), (2, "x", T1, 1, 0)]],
+        [(1, "d"), (2, "x")],
+    ),
 }
 
 
@@ -104,3 +111,20 @@ def test_one_file_per_bucket(spark):
     for _ in range(2):
         dims.upsert(spark, table, many)
     assert len(spark.table(table).inputFiles()) == 16
+
+
+def test_changes_from_a_message_feed(spark):
+    table = f"{lake(spark)}.dim"
+    dims.create_dim(spark, table)
+    sent = [
+        '{"device_id": 1, "device_name": "a", "site_code": "s", "latitude": 1.5, "is_active": true, '
+        '"updated_at": "2024-01-01T00:00:00Z", "__op": 0}',
+        '{"device_id": 2, "site_code": "s", "updated_at": "2024-01-01T00:00:00Z", "__op": 0}',
+        '{"device_id": 2, "updated_at": "2024-01-02T00:00:00Z", "__op": 1}',
+        '{"device_id": 3, "site_code": "s"}',
+    ]
+    good, bad = conform(spark.createDataFrame([(x,) for x in sent], "value string"), DEVICE_CHANGE)
+    dims.upsert(spark, table, good)
+    row = dims.read_dim(spark, table).collect()
+    assert [(r.device_id, r.device_name, r.latitude, r.is_active) for r in row] == [(1, "a", 1.5, True)]
+    assert [r.reason for r in bad.collect()] == ["__op missing"]

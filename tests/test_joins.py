@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeline.operators import colocated_join, enrich, enriched_rollup, groupby_dims, hot_keys, rollup, site_topn, topn, with_device
+from gaugeline.operators import (
+    colocated_join, enrich, enriched_rollup, groupby_dims, hot_keys, rollup, site_topn, topn, with_device,
+)
 from gaugeline.plans import dimension as dims
 from gaugeline.plans import raw
 from gaugeline.schemas import DEVICE

@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import today
 from gaugeline.operators import (
-    DataQualityError, Fresh, NullRatio, RowCount, enforce, fresh, null_ratio_below, publish, row_count_at_least, run_gates,
+    DataQualityError, Fresh, NullRatio, RowCount, enforce, fresh, null_ratio_below, publish, row_count_at_least,
+    run_gates,
 )
 from gaugeline.plans import gates, raw
 from helpers import empty, executed, plan, raw_table, readings

@@ -153,7 +153,8 @@ def test_job_keys_are_safe(spark):
 
 def test_show_pause_resume_stop(spark):
     topic, table = Topic(spark), raw_table(spark)
-    job = StreamJob(lambda: stream_raw(spark, topic.source(), table, "raw", topic.checkpoint, trigger={"processingTime": "0 seconds"}))
+    now = {"processingTime": "0 seconds"}
+    job = StreamJob(lambda: stream_raw(spark, topic.source(), table, "raw", topic.checkpoint, trigger=now))
     assert job.show() == {"state": "NEW"}
     topic.send(rows(1))
     job.resume().processAllAvailable()

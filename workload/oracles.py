@@ -51,7 +51,8 @@ _DQ = """
                  count(*) FILTER (event_time >= TIMESTAMP '2024-01-30' AND value IS NULL) AS nulls,
                  date_sub('minute', max(event_time), TIMESTAMP '2024-01-30 23:30:00') AS lag
           FROM readings)
-        SELECT 'row_count' AS gate, CAST(n AS DOUBLE) AS observed, 1.0::DOUBLE AS max_or_min, n >= 1 AS passed FROM stats
+        SELECT 'row_count' AS gate, CAST(n AS DOUBLE) AS observed, 1.0::DOUBLE AS max_or_min, n >= 1 AS passed
+        FROM stats
         UNION ALL
         SELECT 'null_ratio', round(nulls / n, 6), 0.05::DOUBLE, coalesce(nulls / n <= 0.05, FALSE) FROM stats
         UNION ALL
@@ -160,6 +161,10 @@ _BODIES = {
     "groupby_dims": f"SELECT device_id, metric, {_AGGS} FROM readings WHERE {_RANGE} GROUP BY ALL",
     "dq_report": _DQ,
     "dq_table_report": _DQ,
+    "published_after_gates": """
+        SELECT date_trunc('day', event_time) AS event_day, device_id, count(*) AS reading_cnt,
+               max(value) AS value_max
+        FROM readings GROUP BY ALL""",
     "stream_raw_readings": _GOOD,
     "stream_rollup_minute": f"""
         SELECT date_trunc('minute', event_time) AS event_minute, r.device_id, metric, site_code, {_AGGS}

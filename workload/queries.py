@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline import operators as ops
-from gaugeline.functions import MEASURES, time_range, with_avg
-from gaugeline.functions.times import as_datetime
-from gaugeline.plans import gates, raw, rollups, watermark
+from gaugeline.functions import MEASURES, time_range, today, with_avg
+from gaugeline.plans import catalog, gates, raw, rollups, watermark
 from gaugeline.plans import dimension as dims
 from gaugeline.plans.ingest import ingest_all, ingest_increment, load_json
 from gaugeline.operators.rollup import STREAM_KEYS
@@ -433,6 +431,28 @@ def dq_table_report(spark, sf_dir):
     return gates.report(spark, table, NOW).withColumn("observed", F.round("observed", 6))
 
 
+@query
+def published_after_gates(spark, sf_dir):
+    """A whole run: increments into the raw table, the gates, and only then the rollup."""
+    src = views.readings(spark, sf_dir)
+    table = raw_table(spark)
+    watermark.create_control(spark, f"{table}_control")
+    passed = ingest_all(spark, src, table, f"{table}_control", "readings", limit=-(-src.count() // 2))
+    spec = hourly_table(spark)
+    stored = raw.readings_of(spark, table)
+    days = {spec["event_date"] for spec in catalog.partitions(spark, table)}
+    checks = [
+        ops.RowCount(1, today(passed[-1])),
+        ops.NullRatio("value", 0.5, today(passed[-1])),
+        ops.Fresh("event_time", 60, as_of=passed[-1]),
+    ]
+    newest = gates.newest_rows(spark, table, passed[-1])
+    ops.publish(newest, checks, lambda: rollups.refresh_rollup(spark, spec, stored, days), table)
+    return rollups.rollup_query(
+        spark, stored, [spec], "day", ["device_id"], ["reading_cnt", "value_max"], "2024-01-01", "2024-02-01"
+    )
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
