@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import MEASURES, merge_exprs, partial_exprs
 from ..functions.times import GRAINS, as_datetime, bucket, bucket_name, time_range
 from ..operators.joins import enriched_rollup
-from ..operators.rollup import DEVICE_KEYS, merge_partials, rollup
+from ..operators.rollup import DEVICE_KEYS, merge_partials, presummed, rollup
 from ..session import unique
 from . import catalog
 from .catalog import Layout, Spec
@@ -263,8 +263,11 @@ def rollup_query(
     else:
         rows = partials_between(spark, spec, start, end)
         ts, aggs = spec.time, merge_exprs(needed)
-    by = [] if grain is None else [bucket(ts, grain).alias(bucket_name(grain))]
-    folded = rows.groupBy(*by, *dims).agg(*aggs)
+    if grain is None:
+        keys = list(dims)
+        folded = presummed(rows, keys, needed)
+    else:
+        keys = [bucket_name(grain), *dims]
+        folded = rows.groupBy(bucket(ts, grain).alias(bucket_name(grain)), *dims).agg(*aggs)
     ratios = [F.try_divide(*_AVG[m]).alias(m) if m in _AVG else F.col(m) for m in measures]
-    keys = dims if grain is None else [bucket_name(grain), *dims]
     return folded.select(*keys, *ratios)

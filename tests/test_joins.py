@@ -6,6 +6,7 @@ from gaugeline.operators import (
 )
 from gaugeline.plans import dimension as dims
 from gaugeline.plans import raw
+from gaugeline.plans.rollups import rollup_query
 from gaugeline.schemas import DEVICE
 from helpers import executed, lake, plan, readings
 
@@ -96,6 +97,7 @@ def test_a_grouped_bucketed_table_is_not_read_by_bucket(spark, fact):
         rollup(facts(spark, fact), "hour"),
         topn(facts(spark, fact), "device_id", "m", 3),
         groupby_dims(facts(spark, fact), [], ["device_id"]),
+        rollup_query(spark, facts(spark, fact), [], None, ["device_id"], ["value_sum"], "2024-01-01", "2024-02-01"),
     ):
         assert "Bucketed: true" not in plan(df)
 
