@@ -13,6 +13,7 @@ import re
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import catalog
@@ -60,8 +61,10 @@ def _run(
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(job_key, batch_id)
-        # Read by the count and by the writes; its size is bounded by the source's row limit.
-        parsed = parse(batch).persist()
+        # Read by the count and by the writes. Its size is bounded by the source's row limit, and
+        # only rejects keep their text.
+        rejected = F.when(F.col("reason").isNotNull(), F.col("payload"))
+        parsed = parse(batch).withColumn("payload", rejected).persist()
         try:
             good, bad = split(parsed)
             errors = bad.count()
