@@ -159,3 +159,10 @@ def test_topn_ties_go_to_the_lower_device(spark):
 
 def test_site_topn_limits_each_task(spark, fact, dim):
     assert "WindowGroupLimit" in plan(site_topn(facts(spark, fact), dims.read_dim(spark, dim), "m", 2))
+
+
+def test_a_colocated_join_does_not_turn_into_a_broadcast(spark, fact, dim):
+    """Also below the broadcast limit: the caller asked for the bucketed join."""
+    text = plan(colocated_join(facts(spark, fact), dims.read_dim(spark, dim), hot=[]))
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert text.count("SelectedBucketsCount: 16 out of 16") == 2
