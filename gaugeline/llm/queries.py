@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import bpe, exact_dedup, language
+from . import bpe, exact_dedup, language, mixing, snapshots, url_rules
 from .common import remainder, table
 
 
@@ -31,7 +31,32 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_byte_bpe, op5_exact_dedup)}
+RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    listed = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {listed} AS r(host, path, verdict)")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op8_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return snapshots.render(table(spark, sf_dir, "conversations"))
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_language_id, op3_byte_bpe, op5_exact_dedup, op7_url_rules, op8_chat_snapshots, op10_source_mix)
+}
+
+_RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
 
 ORACLES = {
     "op5_exact_dedup": r"""
@@ -41,4 +66,95 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM n WINDOW w AS (PARTITION BY text_sha256)""",
+    "op7_url_rules": rf"""
+        WITH rules(rule_host, rule_path, verdict) AS (VALUES {_RULE_ROWS}),
+        p AS (
+            SELECT page_id,
+                   translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        m AS (
+            SELECT DISTINCT host, path, rule_host || rule_path AS rule, verdict,
+                   row_number() OVER (PARTITION BY host, path
+                                      ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS place
+            FROM (SELECT DISTINCT host, path FROM p) q
+            JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+        SELECT page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM p LEFT JOIN m ON m.host = p.host AND m.path = p.path AND m.place = 1""",
+    "op8_chat_snapshots": r"""
+        WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+        c AS (
+            SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn, role, text) AS said
+            FROM t GROUP BY conv_id),
+        kept AS (
+            SELECT min(conv_id) AS conv_id, count(*) AS copies, said FROM c
+            WHERE NOT EXISTS (SELECT 1 FROM c AS d WHERE d.said[1] = c.said[1] AND len(d.said) > len(c.said)
+                              AND d.said[1:len(c.said)] = c.said)
+            GROUP BY said)
+        SELECT conv_id, len(said) AS n_turns, copies,
+               list_aggregate(list_transform(said, lambda s: '<|im_start|>'
+                   || replace(replace(coalesce(s.role, 'unknown'), '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>')
+                   || chr(10)
+                   || replace(replace(coalesce(s.text, ''), '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>')
+                   || '<|im_end|>' || chr(10)), 'string_agg', '') AS chat
+        FROM kept""",
+    "op10_source_mix": rf"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce('s' || source, 'n') AS key,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   ('0x' || substr(md5('17/' || doc_id), 1, 8))::BIGINT AS draw
+            FROM documents),
+        s AS (
+            SELECT key, any_value(source) AS source, sum(size)::BIGINT AS source_size,
+                   row_number() OVER (ORDER BY any_value(source) NULLS LAST) AS place
+            FROM d GROUP BY key),
+        w AS (SELECT *, [3.0, 1.0, 2.0][(place - 1) % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS most FROM s),
+        l AS (
+            SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER (
+                        ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                   / sum(weight) OVER (ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM w),
+        t AS (
+            SELECT key, source_size, place,
+                   least(most, coalesce(min(CASE WHEN level * weight <= most THEN level END) OVER () * weight, most)) AS target,
+                   greatest(1, ceil(source_size / {mixing.SHARD}.0))::BIGINT AS shards
+            FROM l),
+        -- Highest quotients, written out: every quotient that can win is listed and ranked.
+        q AS (
+            SELECT key, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, place, k) AS place,
+                   floor(sum(target) OVER (PARTITION BY k) / {mixing.BLOCK} + 0.5) AS seats, k
+            FROM t, LATERAL (SELECT unnest(range(0, (source_size * 2 // {mixing.BLOCK} + 100)::BIGINT)) AS k) WHERE target > 0),
+        ss AS (
+            SELECT key, count(*) AS source_seats FROM q
+            WHERE place <= (SELECT floor(sum(target) / {mixing.BLOCK} + 0.5) FROM t) GROUP BY key),
+        e AS (SELECT d.*, source_size, target, shards, draw % shards AS shard, coalesce(source_seats, 0) AS source_seats
+              FROM d JOIN t USING (key) LEFT JOIN ss USING (key)),
+        c AS (SELECT key, shard, source_seats, sum(size)::BIGINT AS words FROM e GROUP BY ALL),
+        cq AS (
+            SELECT key, shard, source_seats,
+                   row_number() OVER (PARTITION BY key ORDER BY words::DOUBLE / (2 * k + 1) DESC, shard, k) AS place
+            FROM c, LATERAL (SELECT unnest(range(0, (words * 2 // {mixing.BLOCK} + 100)::BIGINT)) AS k) WHERE words > 0),
+        cs AS (SELECT key, shard, count(*) AS quota FROM cq WHERE place <= source_seats GROUP BY key, shard),
+        b AS (
+            SELECT c.key, c.shard, words, coalesce(quota, 0) AS quota, ceil(words / {mixing.BLOCK}.0)::BIGINT AS blocks,
+                   ('0x' || substr(md5('17/order/' || c.key || '/' || c.shard), 1, 8))::BIGINT AS turn
+            FROM c LEFT JOIN cs ON cs.key = c.key AND cs.shard = c.shard),
+        f AS (
+            SELECT *, least(quota // greatest(blocks, 1), 2) AS each,
+                   CASE WHEN quota >= 2 * blocks THEN 0 ELSE quota % greatest(blocks, 1) END AS more,
+                   [1000000007, 1000000009, 1000000021, 1000000033][turn % 4 + 1] AS step
+            FROM b),
+        p AS (
+            SELECT *, sum(size) OVER (PARTITION BY key, shard ORDER BY draw, doc_id ROWS UNBOUNDED PRECEDING)::BIGINT AS stop
+            FROM e),
+        g AS (
+            SELECT p.doc_id,
+                   sum((least((b + 1) * {mixing.BLOCK}, stop) - greatest(b * {mixing.BLOCK}, stop - size))
+                       * (each + CASE WHEN (b * (step % blocks) + turn) % blocks < more THEN 1 ELSE 0 END))::BIGINT AS taken
+            FROM p JOIN f ON f.key = p.key AND f.shard = p.shard,
+                 LATERAL (SELECT unnest(range((stop - size) // {mixing.BLOCK}, (stop - 1) // {mixing.BLOCK} + 1)) AS b)
+            WHERE size > 0 GROUP BY p.doc_id)
+        SELECT p.doc_id, size::BIGINT AS size, source_size, target, coalesce(taken, 0) AS taken
+        FROM p LEFT JOIN g ON g.doc_id = p.doc_id""",
 }
