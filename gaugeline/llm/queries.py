@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import bpe, exact_dedup, language, mixing, snapshots, url_rules
+from . import bpe, exact_dedup, language, mixing, ppm, snapshots, url_rules
 from .common import remainder, table
 
 
@@ -21,6 +21,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return ppm.score(table(spark, sf_dir, "documents"), remainder("doc_id", 10) == 0)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return bpe.digests(table(spark, sf_dir, "documents"))
@@ -53,7 +58,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op3_byte_bpe, op5_exact_dedup, op7_url_rules, op8_chat_snapshots, op10_source_mix)
+    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op5_exact_dedup, op7_url_rules, op8_chat_snapshots, op10_source_mix)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
