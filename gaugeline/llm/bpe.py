@@ -14,6 +14,7 @@ import base64
 import gc
 import hashlib
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import public_tokenizers
@@ -189,13 +190,15 @@ def _parts(token: bytes) -> set[bytes]:
 
 
 class Encoder:
-    """Whole texts. ``max_pieces`` bounds the memo of pre-tokens seen."""
+    """Whole texts. The memo holds the pre-tokens seen of late, at most twice ``max_pieces``."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, max_pieces: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, max_pieces: int = 300_000):
         self.transducer = Transducer(ranks)
+        self.stream = Utf8Stream(self.transducer.bytes_of)
         self.find = regex.compile(pattern).findall
         self.max_pieces = max_pieces
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> list[int]:
         pieces, out = self.pieces, []
@@ -203,8 +206,9 @@ class Encoder:
             tokens = pieces.get(piece)
             if tokens is None:
                 if len(pieces) >= self.max_pieces:
-                    pieces.clear()
-                tokens = pieces[piece] = self.transducer.encode(piece.encode())
+                    self.older, self.pieces = pieces, {}
+                    pieces = self.pieces
+                tokens = pieces[piece] = self.older.get(piece) or self.transducer.encode(piece.encode())
             out += tokens
         return out
 
@@ -223,6 +227,12 @@ class Utf8Stream:
         self.steps: dict[bytes, dict[int, tuple[str, bytes]]] = {}
         self.kept = 0
         self.begun = b""
+        # Steps that begin and end between characters, which are nearly all.
+        self.whole = {}
+        for token, data in bytes_of.items():
+            if self.split(data) == len(data):
+                with suppress(UnicodeDecodeError):
+                    self.whole[token] = data.decode()
 
     @staticmethod
     def split(data: bytes) -> int:
@@ -252,6 +262,10 @@ class Utf8Stream:
         return step
 
     def feed(self, tokens: list[int]) -> str:
+        if not self.begun:
+            texts = list(map(self.whole.get, tokens))
+            if None not in texts:
+                return "".join(texts)
         out, begun = [], self.begun
         row = self.steps.get(begun)
         for token in tokens:
@@ -312,7 +326,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(data.value, pattern)
-        stream = Utf8Stream(encoder.transducer.bytes_of)
+        stream = encoder.stream
         for batch in batches:
             for piece in slices(batch, at):
                 n, ids_sha, text_sha, ids, texts = [], [], [], [], []
