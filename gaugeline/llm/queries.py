@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import bpe, exact_dedup, language, mixing, ppm, snapshots, url_rules
+from . import bpe, exact_dedup, language, mixing, ppm, snapshots, toxicity, url_rules
 from .common import remainder, table
 
 
@@ -31,6 +31,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = remainder("doc_id", 3) == 1
+    model = toxicity.learn(docs.where(~out), table(spark, sf_dir, "labels").where(~out))
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted", "spans")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
@@ -58,7 +66,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op5_exact_dedup, op7_url_rules, op8_chat_snapshots, op10_source_mix)
+    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op4_toxicity, op5_exact_dedup, op7_url_rules, op8_chat_snapshots, op10_source_mix)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
