@@ -81,7 +81,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of each word, and the number of words before each text (plus the end).
+    """64-bit hash of each word, and the number of words before each text (plus the end)."""
+    return placed_words(data, starts)[:2]
+
+
+def placed_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``words``, and where each word begins.
 
     Words are runs of bytes other than ``SPACE``, cut at the ends of texts. The hash sums the
     mixed (byte, place) pairs of a word, so it needs no loop over words.
@@ -94,10 +99,10 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     heads = np.flatnonzero(first)
     before = np.searchsorted(heads, starts)
     if not heads.size:
-        return np.zeros(0, np.uint64), before
+        return np.zeros(0, np.uint64), before, heads
     kept = np.flatnonzero(inside)
     which = np.cumsum(first, dtype=np.int64)[kept] - 1
     place = (kept - heads[which]).astype(np.uint64)
     code = mixed((place << np.uint64(8) | data[kept]) * _FOLD + _FOLD)
     runs = np.flatnonzero(first[kept])
-    return mixed(np.add.reduceat(code, runs)), before
+    return mixed(np.add.reduceat(code, runs)), before, heads

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import bpe, exact_dedup, language, mixing, near_dedup, ppm, snapshots, toxicity, url_rules
+from . import bpe, exact_dedup, language, mixing, near_dedup, ppm, sketches, snapshots, toxicity, url_rules
 from .common import remainder, table
 
 
@@ -64,6 +64,11 @@ def op8_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.render(table(spark, sf_dir, "conversations"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return sketches.compare(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -71,7 +76,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op4_toxicity, op5_exact_dedup, op6_near_dedup, op7_url_rules, op8_chat_snapshots, op10_source_mix)
+    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op4_toxicity, op5_exact_dedup, op6_near_dedup, op7_url_rules, op8_chat_snapshots, op9_fingerprints, op10_source_mix)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
