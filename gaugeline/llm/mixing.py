@@ -42,7 +42,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, limit: flo
     everything = share * F.sum("source_size").over(Window.partitionBy())
     passed = weighed.withColumn("level", (everything - full) / others)
     open_ = F.when(F.col("level") * F.col("weight") <= F.col("most"), F.col("level"))
-    level = F.min(open_).over(Window.partitionBy())
+    # Past the source at which the level fits, levels only fall: they count full what isn't.
+    level = F.max(open_).over(Window.partitionBy())
     target = F.least("most", F.coalesce(level * F.col("weight"), F.col("most")))
     return passed.withColumn("target", target).select("key", "source_size", "target", "place")
 

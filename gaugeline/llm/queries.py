@@ -157,7 +157,7 @@ ORACLES = {
             FROM w),
         t AS (
             SELECT key, source_size, place,
-                   least(most, coalesce(min(CASE WHEN level * weight <= most THEN level END) OVER () * weight, most)) AS target,
+                   least(most, coalesce(max(CASE WHEN level * weight <= most THEN level END) OVER () * weight, most)) AS target,
                    greatest(1, ceil(source_size / {mixing.SHARD}.0))::BIGINT AS shards
             FROM l),
         -- Highest quotients, written out: every quotient that can win is listed and ranked.
