@@ -196,9 +196,12 @@ def keep_identified(df: DataFrame, min_coverage: float = 0.3, text: str = "text"
     the language found. A missing language is filled in. If nothing is labelled, texts with a
     letter stay.
     """
-    model = learn(df, text, lang)
-    named = identify(df, model, text)
+    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    inner = df.toDF(*names.values())
+    model = learn(inner, names[text], names[lang])
     if not model.languages:
         return df.where(F.col(text).rlike(r"\p{L}"))
+    named = identify(inner, model, names[text])
     good = named.where((F.col("lang_pred") != UNDETERMINED) & (F.col("lang_coverage") >= min_coverage))
-    return good.withColumn(lang, F.coalesce(lang, "lang_pred")).select(*df.columns)
+    good = good.withColumn(names[lang], F.coalesce(names[lang], "lang_pred"))
+    return good.select(*[F.col(v).alias(k) for k, v in names.items()])

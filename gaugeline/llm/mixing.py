@@ -81,17 +81,17 @@ def spans(
     share: float = 1.5,
     limit: int = 2,
     seed: int = 17,
+    row: str | None = None,
 ) -> DataFrame:
     """id, row, size, source_size, target and spans (array of from, words, times) of each row.
 
-    ``row`` is a ``row`` column of ``df`` if it has one, else given here. ``spans`` lists the parts
-    of a document, from its first word (1) on, and how often the mix takes each: 0 to ``limit``.
+    ``row`` is the column of that name, else a number given here. ``spans`` lists the parts of a document, from its first word (1) on, and how often the mix takes each: 0 to ``limit``.
     A text without words has no spans. Null text counts as empty, null source is a source of its
     own; repeated rows are dealt each. Same rows, same seed: same spans.
     """
-    row = F.col("row") if "row" in df.columns else F.monotonically_increasing_id()
+    number = F.col(row) if row else F.monotonically_increasing_id()
     sized = written(df.select(
-        F.col(doc_id).alias("id"), row.alias("row"), F.col(source).alias("source"),
+        F.col(doc_id).alias("id"), number.alias("row"), F.col(source).alias("source"),
         F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("key"),
         F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         _hash(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).alias("draw"),
@@ -153,7 +153,7 @@ def mixed_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", chars:
     names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     rows = written(df.toDF(*names.values()).withColumn("row", F.monotonically_increasing_id()))
     body = F.col(names[text])
-    chosen = spans(rows, names[doc_id], names[text], names[options.pop("source", "source")], **options)
+    chosen = spans(rows, names[doc_id], names[text], names[options.pop("source", "source")], row="row", **options)
     most = F.array_max(F.col("spans.times"))
     copies = chosen.where(F.size("spans") > 0).where(most > 0).select("row", "spans", F.explode(F.sequence(F.lit(1).cast("long"), most)).alias("copy"))
     whole = rows.join(copies, "row")

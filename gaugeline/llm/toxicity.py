@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from .common import slices
 
 #: Bounds of the sample of labelled documents that the classifier is fitted on.
-TOXIC_SAMPLE, CLEAN_SAMPLE = 3_000, 6_000
+TOXIC_SAMPLE, CLEAN_SAMPLE = 1_500, 3_000
 #: Documents at or above this score are predicted toxic; spans are tokens at or above the other.
 THRESHOLD, SPAN = 0.7, 0.5
 _PREFIXES = range(3, 9)
