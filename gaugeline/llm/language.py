@@ -30,7 +30,7 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """n-grams of lower-cased letters, words two spaces apart; where each text starts; a mask
     that is false for those that run over the end of a text."""
     letters = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}]+", "  ")
-    data, starts = flat(pc.binary_join_element_wise(" ", letters, " ", ""))
+    data, starts = flat(pc.binary_join_element_wise("  ", letters, "  ", ""))
     grams = np.zeros(data.size, np.uint32)
     for i in range(GRAM):
         grams <<= np.uint32(8)
