@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import MAX_LENGTH
+
 OP = "__op"  # 0 upsert, 1 delete
 KEY = "device_id"
 
@@ -23,6 +25,18 @@ def latest(changes: DataFrame, key: str = KEY, order: Sequence[str] = ("updated_
     return changes.withColumn("_n", F.row_number().over(window)).filter("_n = 1").drop("_n")
 
 
+def sound_changes(changes: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
+    """Changes that can be applied, and the others as ``reason`` and ``payload`` (JSON)."""
+    reasons = [
+        F.when(F.col(key).isNull(), F.lit(f"{key} missing")),
+        F.when(F.col(OP).isNull() | ~F.col(OP).isin(0, 1), F.lit(f"{OP} invalid")),
+        *[F.when(F.length(c) > n, F.lit(f"{c} too long")) for c, n in MAX_LENGTH.items() if c in changes.columns],
+    ]
+    reason = F.coalesce(*reasons)
+    bad = changes.filter(reason.isNotNull())
+    return changes.filter(reason.isNull()), bad.select(reason.alias("reason"), F.to_json(F.struct(*changes.columns)).alias("payload"))
+
+
 def _version(prefix: str, order: Sequence[str]) -> Column:
     return F.struct(*[F.col(f"{prefix}.{c}") for c in order])
 

@@ -25,17 +25,23 @@ def with_device(fact: DataFrame, dim: DataFrame, how: str = "inner", key: str =
     return fact.join(dim, key, how)
 
 
-def hot_keys(fact: DataFrame, key: str = KEY, share: float = 1 / (2 * BUCKETS)) -> list:
-    """Keys that hold more than ``share`` of all rows; there are fewer than ``1 / share``."""
+def hot_keys(fact: DataFrame, key: str = KEY, buckets: int = BUCKETS) -> list:
+    """Keys that hold more than half of what a bucket holds on average, found in one pass; there
+    are fewer than ``2 * buckets``."""
     extra = ["event_date"] if "event_date" in fact.columns else []
     # Days are counted apart first: grouping a table bucketed by key on the key alone would
     # count a hot key in one task.
     counts = fact.groupBy(key, *extra).agg(F.count(F.lit(1)).alias("n"))
     if extra:
         counts = counts.groupBy(key).agg(F.sum("n").alias("n"))
-    total = fact.count()
-    hot = counts.filter((F.col("n") > share * total) & F.col(key).isNotNull())
-    return [row[key] for row in hot.select(key).collect()]
+    # One row per key: kept, so that the total and the hot keys need one pass over the fact.
+    counts = counts.persist()
+    try:
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        hot = counts.filter((F.col("n") > total / (2 * buckets)) & F.col(key).isNotNull())
+        return [row[key] for row in hot.select(key).collect()]
+    finally:
+        counts.unpersist()
 
 
 def colocated_join(
@@ -43,18 +49,19 @@ def colocated_join(
     dim: DataFrame,
     how: str = "inner",
     key: str = KEY,
-    share: float = 1 / (2 * BUCKETS),
+    buckets: int = BUCKETS,
     hot: list | None = None,
 ) -> DataFrame:
     """Join with a large dimension bucketed like the fact, without a shuffle and without hot tasks.
 
     A bucket is one task, so a device with a third of all rows would hold one task back. Devices
-    above ``share`` of the rows are joined apart: their rows stay in scan order and meet a
-    broadcast of their dimension rows, fewer than ``1 / share`` since ``key`` is unique in
-    ``dim``. All other rows take the co-located join. Pass ``hot`` where the keys are known.
+    with more rows than half a bucket of the ``buckets`` that the tables have are joined apart:
+    their rows stay in scan order and meet a broadcast of their dimension rows, fewer than
+    ``2 * buckets`` since ``key`` is unique in ``dim``. All other rows take the co-located join.
+    Pass ``hot`` where the keys are known.
     """
     if hot is None:
-        hot = hot_keys(fact, key, share)
+        hot = hot_keys(fact, key, buckets)
     bucketed = dim.hint("merge")
     if not hot:
         return fact.join(bucketed, key, how)
@@ -112,7 +119,9 @@ def groupby_dims(
 
     ``dims`` is a list of ``(dimension, join column)``, applied in order, so that a later one may
     join on a column of an earlier one. The fact is first folded to its own group and join
-    columns: the joins then see partials and not readings, which also removes hot devices.
+    columns: the joins then see partials and not readings, which also removes hot devices. Where
+    a row has a column already, from the fact or an earlier dimension, that value wins over the
+    same column of a dimension, which fills in NULLs.
     """
     dims = list(dims)
     own = [c for c in dict.fromkeys([*[k for _, k in dims], *keys]) if c in fact.columns]
@@ -121,5 +130,7 @@ def groupby_dims(
     if not dims:
         return folded
     for dim, key in dims:
-        folded = folded.join(dim, key)
+        both = [c for c in dim.columns if c in folded.columns and c != key]
+        folded = folded.join(dim.withColumnsRenamed({c: f"_dim_{c}" for c in both}), key)
+        folded = folded.withColumns({c: F.coalesce(c, f"_dim_{c}") for c in both}).drop(*[f"_dim_{c}" for c in both])
     return folded.groupBy(*keys).agg(*merge_exprs(wanted))

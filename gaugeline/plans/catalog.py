@@ -55,6 +55,12 @@ def add_partitions(spark: SparkSession, table: str, specs: Sequence[Spec], root:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {listed}")
 
 
+def move_partitions(spark: SparkSession, table: str, specs: Sequence[Spec], root: str) -> None:
+    """Let partitions that are there point to their folders below ``root``."""
+    for s in specs:
+        spark.sql(f"ALTER TABLE {table} PARTITION ({_literal(s)}) SET LOCATION '{path_of(root, s)}'")
+
+
 @dataclass(frozen=True)
 class Layout:
     """How rows are placed in the files of a table.
@@ -106,14 +112,28 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 def load_label(
     spark: SparkSession, table: str, df: DataFrame, label: str, layout: Layout
 ) -> None:
-    """Idempotent load: whatever an earlier attempt wrote under ``label`` is replaced.
+    """Idempotent load, all of it or nothing: what an earlier attempt wrote under ``label`` is
+    replaced, and stays if this attempt fails.
 
-    The overwrite is dynamic (a table option), so it touches only this label's partitions, and
-    also clears files that a dead attempt left without a catalog entry.
+    Without an earlier attempt the rows are written in place: the partitions enter the catalog
+    together, after the files. The overwrite is dynamic (a table option), so it also clears files
+    that a dead attempt left without a catalog entry. Otherwise they are written beside the table,
+    and the label's partitions then point to them.
     """
     finish_swap(spark, table)
-    drop_partitions(spark, table, partitions(spark, table, load_label=label))
-    write(df.withColumn("load_label", F.lit(label)), table, layout, overwrite=True)
+    rows = df.withColumn("load_label", F.lit(label))
+    held = partitions(spark, table, load_label=label)
+    if not held:
+        write(rows, table, layout, overwrite=True)
+        return
+    before = [partition_location(spark, table, spec) for spec in held]
+    root, new = stage(spark, table, rows, layout)
+    steps = [("drop", s) for s in held if s not in new]
+    steps += [("move" if s in held else "add", s) for s in new]
+    _noted_swap(spark, table, root, steps)
+    # No reader needs the files of an attempt that was never finished.
+    for path in before:
+        remove_folder(spark, path)
 
 
 def swap_partition(
@@ -160,16 +180,20 @@ def replace_partitions(
     """
     finish_swap(spark, table)
     root, new = stage(spark, table, df, layout)
-    names = partition_columns(spark, table)
-    steps = [("drop", *[s[n] for n in names]) for s in old] + [("add", *[s[n] for n in names]) for s in new]
+    _noted_swap(spark, table, root, [("drop", s) for s in old] + [("add", s) for s in new])
+    return new
+
+
+def _noted_swap(spark: SparkSession, table: str, root: str, steps: list[tuple[str, Spec]]) -> None:
+    """Note what is to be changed, then change it. Each step can be done again."""
     if not steps:
-        return []
-    noted = ", ".join("(" + ", ".join(f"'{v}'" for v in step) + ")" for step in steps)
-    listed = ", ".join(["step", *names])
-    spark.sql(f"SELECT * FROM VALUES {noted} AS t({listed})").coalesce(1).write.json(f"{root}/_swap")
+        return
+    names = partition_columns(spark, table)
+    schema = ", ".join(f"`{n}` string" for n in ["step", *names])
+    rows = [(step, *[spec[n] for n in names]) for step, spec in steps]
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").json(f"{root}/_swap")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PENDING}'='{root}')")
-    _swap(spark, table, root, steps, names)
-    return new
+    _swap(spark, table, root, steps)
 
 
 def finish_swap(spark: SparkSession, table: str) -> None:
@@ -179,17 +203,14 @@ def finish_swap(spark: SparkSession, table: str) -> None:
         root = rows[0]["value"]
         names = partition_columns(spark, table)
         schema = ", ".join(f"`{n}` string" for n in ["step", *names])
-        steps = [tuple(r) for r in spark.read.schema(schema).json(f"{root}/_swap").collect()]
-        _swap(spark, table, root, steps, names)
+        rows_ = spark.read.schema(schema).json(f"{root}/_swap").collect()
+        _swap(spark, table, root, [(step, dict(zip(names, values))) for step, *values in map(tuple, rows_)])
 
 
-def _swap(spark: SparkSession, table: str, root: str, steps: list[tuple], names: list[str]) -> None:
-    specs = {
-        kind: [dict(zip(names, values)) for step, *values in steps if step == kind]
-        for kind in ("drop", "add")
-    }
-    drop_partitions(spark, table, specs["drop"])
-    add_partitions(spark, table, specs["add"], root)
+def _swap(spark: SparkSession, table: str, root: str, steps: list[tuple[str, Spec]]) -> None:
+    drop_partitions(spark, table, [s for step, s in steps if step == "drop"])
+    move_partitions(spark, table, [s for step, s in steps if step == "move"], root)
+    add_partitions(spark, table, [s for step, s in steps if step == "add"], root)
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{_PENDING}')")
     spark.catalog.refreshTable(table)
 

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dimension import KEY, OP, apply_changes, serving
+from ..operators.dimension import KEY, OP, apply_changes, serving, sound_changes
 from ..schemas import BUCKETS, DEVICE, ddl
 from ..session import lake_location
 from . import catalog
+from .raw import label_for
+from .rejects import keep_rejects
 
 
 def create_dim(
@@ -37,15 +39,25 @@ def upsert(
     changes: DataFrame,
     key: str = KEY,
     order: Sequence[str] = ("updated_at",),
+    quarantine: str | None = None,
 ) -> str:
     """Apply a batch of upserts (``__op`` 0) and deletes (1). Applying it twice changes nothing.
 
-    Readers see the table before or after the batch. Returns the folder of the version before.
+    A change without a key, with a text that is too long or another ``__op`` goes to
+    ``quarantine``; without that table it fails the batch. Readers see the table before or after
+    the batch. Returns the folder of the version before.
     """
     if OP not in changes.columns:
         changes = changes.withColumn(OP, F.lit(0))
+    good, bad = sound_changes(changes, key)
+    digest = F.xxhash64("payload")
+    told = bad.agg(F.count("*"), F.coalesce(F.bit_xor(digest), F.lit(0)), F.min("reason")).first()
+    if told[0] and quarantine is None:
+        raise ValueError(f"{told[0]} changes cannot be applied, for one: {told[2]}")
+    if told[0]:
+        keep_rejects(spark, quarantine, bad, label_for("changes", f"{told[0]}_{told[1]}"))
     buckets = catalog.bucket_count(spark, table)
-    state = apply_changes(spark.table(table), changes, key, order, buckets)
+    state = apply_changes(spark.table(table), good, key, order, buckets)
     # The join leaves each bucket's rows in one task, so they are written from where they are.
     return catalog.publish_snapshot(spark, table, state, catalog.Layout())
 

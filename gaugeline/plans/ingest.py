@@ -12,8 +12,9 @@ from ..schemas import BATCH_LIMIT, WATERMARK_FLOOR
 from ..sources.conform import parse, split
 from ..sources.json_batch import read_json_batch
 from ..sources.readings import read_increment
+from . import labels
 from .raw import label_for, load_batch
-from .rejects import check_budget, keep_rejects
+from .rejects import check_budget, keep_rejects, need_quarantine
 from .watermark import get_watermark, set_watermark
 
 
@@ -70,10 +71,11 @@ def load_json(
 ) -> str:
     """Load a batch of JSON files, all of it or nothing; returns its label.
 
-    The label comes from the content: the same messages sent again replace their first load,
-    in whatever order and files they come. More than ``max_errors`` malformed messages fail the
-    load; fewer go to ``quarantine``.
+    The label comes from the content: the same messages sent again change nothing, in whatever
+    order and files they come, also after the table was compacted. More than ``max_errors``
+    malformed messages fail the load; fewer go to ``quarantine``, without which none is tolerated.
     """
+    need_quarantine(max_errors, quarantine)
     parsed = parse(read_json_batch(spark, path, array))
     digest = F.xxhash64("payload")
     told = parsed.agg(
@@ -84,8 +86,10 @@ def load_json(
     ).first()
     label = label_for(name, f"{told['n']}_{told['mixed']}_{told['added']}")
     check_budget(label, told["errors"], max_errors)
+    if labels.finished(spark, table, [label]):
+        return label
     good, bad = split(parsed)
-    load_batch(spark, table, good, label, as_of)
-    if quarantine is not None and told["errors"]:
+    if told["errors"]:
         keep_rejects(spark, quarantine, bad, label)
+    load_batch(spark, table, good, label, as_of, done=True)
     return label

@@ -23,11 +23,13 @@ from ..schemas import (
     ddl,
 )
 from ..session import unique
-from . import catalog
+from . import catalog, labels
 from .catalog import Layout, Spec
 
-# A partition that holds the whole day, as opposed to one load's rows of it.
+# A partition that holds the whole day, as opposed to one load's rows of it; one that holds several
+# micro-batches of a stream.
 _DAY = "day-"
+FOLDED = "part"
 
 
 def buckets_for(bytes_per_day: float, bytes_per_bucket: float = 512 * 2**20) -> int:
@@ -105,9 +107,18 @@ def load_batch(
     label: str,
     as_of: str | datetime | None = None,
     gather: bool = True,
+    done: bool = False,
 ) -> None:
-    """Append ``df``. A second load under the same label replaces the first."""
+    """Append ``df``. A second load under the same label replaces the first, all of it or nothing.
+
+    ``done`` finishes the label: the same label again changes nothing, also after its rows were
+    compacted or backfilled.
+    """
+    if labels.finished(spark, table, [label]):
+        return
     catalog.load_label(spark, table, _prepared(df, as_of), label, _layout(spark, table, gather))
+    if done:
+        labels.finish(spark, table, label)
 
 
 def days_of_label(spark: SparkSession, table: str, label: str) -> list[str]:
@@ -135,15 +146,21 @@ def _replace(
     old: list[Spec],
     as_of: str | datetime | None,
     gather: bool = True,
-) -> int:
-    label = unique(_DAY)
+    prefix: str = _DAY,
+) -> list[Spec]:
+    label = unique(prefix)
     placed = _prepared(rows, as_of).withColumn("load_label", F.lit(label))
-    new = catalog.replace_partitions(spark, table, placed, old, _layout(spark, table, gather))
-    if not new:
+    return catalog.replace_partitions(spark, table, placed, old, _layout(spark, table, gather))
+
+
+def _rows_in(spark: SparkSession, table: str, specs: list[Spec]) -> int:
+    """Rows of partitions just written, which share a label: the files tell, no column is read."""
+    if not specs:
         return 0
-    days = [s["event_date"] for s in new]
-    written = spark.table(table).filter(F.col("load_label") == label)
-    return time_range(written, min(days), as_datetime(max(days)) + timedelta(days=1)).count()
+    days = sorted(s["event_date"] for s in specs)
+    held = F.col("event_date").between(F.lit(days[0]).cast("date"), F.lit(days[-1]).cast("date"))
+    held &= F.col("load_label") == specs[0]["load_label"]
+    return spark.table(table).filter(held).count()
 
 
 def overwrite_day(
@@ -157,7 +174,7 @@ def overwrite_day(
     iso = as_datetime(day).date().isoformat()
     catalog.finish_swap(spark, table)
     rows = _only_day(df.withColumn("event_time", F.col("event_time").cast("timestamp")), iso)
-    return _replace(spark, table, rows, _held(spark, table, iso, iso), as_of)
+    return _rows_in(spark, table, _replace(spark, table, rows, _held(spark, table, iso, iso), as_of))
 
 
 def swap_day(
@@ -207,7 +224,7 @@ def backfill(
     if upto is not None:
         rows = rows.filter(F.col("event_time") <= literal(rows, "event_time", upto))
     held = _held(spark, table, first.isoformat(), last.isoformat())
-    return _replace(spark, table, rows.select(*READING_COLS), held, as_of, gather)
+    return _rows_in(spark, table, _replace(spark, table, rows.select(*READING_COLS), held, as_of, gather))
 
 
 def expire(
@@ -231,14 +248,19 @@ def compact(
     """Fold the loads of each day of ``[start, end)`` into one partition per day, in one job;
     returns the days that changed.
 
-    Rows above the watermark ``upto`` belong to a load that has not finished. They are left out,
-    and its retry writes them again.
+    Finished loads are folded; an open one, which may be sent again, stays as it is. ``upto`` is
+    the watermark of increments into the table: with it, open loads are folded up to there; rows
+    above it belong to an increment whose retry writes them again, and are left out.
     """
     catalog.finish_swap(spark, table)
     last = as_datetime(end).date() - timedelta(days=1)
+    held = _held(spark, table, as_datetime(start).date().isoformat(), last.isoformat())
+    names = {s["load_label"] for s in held}
+    done = labels.finished(spark, table, names) | {n for n in names if n.startswith((_DAY, FOLDED))}
     by_day: dict[str, list[Spec]] = {}
-    for spec in _held(spark, table, as_datetime(start).date().isoformat(), last.isoformat()):
-        by_day.setdefault(spec["event_date"], []).append(spec)
+    for spec in held:
+        if upto is not None or spec["load_label"] in done:
+            by_day.setdefault(spec["event_date"], []).append(spec)
     split = {
         day: specs
         for day, specs in by_day.items()
@@ -249,7 +271,10 @@ def compact(
     days = [F.lit(day).cast("date") for day in sorted(split)]
     rows = spark.table(table).filter(F.col("event_date").isin(days))
     if upto is not None:
-        rows = rows.filter(F.col("event_time") <= literal(rows, "event_time", upto))
+        below = F.col("event_time") <= literal(rows, "event_time", upto)
+        rows = rows.filter(F.col("load_label").isin(sorted(done)) | below)
+    elif names - done:
+        rows = rows.filter(~F.col("load_label").isin(sorted(names - done)))
     old = [spec for specs in split.values() for spec in specs]
     _replace(spark, table, rows.select(*READING_COLS, "ingested_at"), old, None)
     return sorted(split)
@@ -262,6 +287,18 @@ def compact_day(
     return bool(compact(spark, table, day, as_datetime(day) + timedelta(days=1), upto))
 
 
+def fold_raw(spark: SparkSession, table: str, fan: int) -> None:
+    """Fold the finished micro-batches of each day, ``fan`` or more, into one part, and parts that
+    have become as many into a greater one. Safe while the stream that loads the table runs it."""
+    while (found := labels.mergeable(spark, table, "event_date", fan, FOLDED)) is not None:
+        kind, old = found
+        rows = spark.table(table).filter(
+            F.col("event_date").isin([F.lit(day).cast("date") for day in sorted({s["event_date"] for s in old})])
+            & F.col("load_label").isin(sorted({s["load_label"] for s in old}))
+        )
+        _replace(spark, table, rows.select(*READING_COLS, "ingested_at"), old, None, prefix=f"{FOLDED}{kind + 1}-")
+
+
 def readings_of(spark: SparkSession, table: str, columns: Sequence[str] = READING_COLS) -> DataFrame:
     """Rows of the table with the day, which range filters need."""
     return spark.table(table).select(*columns, "event_date")

@@ -17,6 +17,12 @@ def check_budget(label: str, errors: int, max_errors: int) -> None:
         raise ErrorBudgetExceeded(f"{label}: {errors} malformed messages, limit {max_errors}")
 
 
+def need_quarantine(max_errors: int, quarantine: str | None) -> None:
+    """Malformed messages are tolerated only where they are kept."""
+    if max_errors and quarantine is None:
+        raise ValueError(f"up to {max_errors} malformed messages are tolerated: name a quarantine table for them")
+
+
 def create_quarantine(spark: SparkSession, table: str) -> None:
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} (reason string, payload string, load_label string) "

@@ -10,10 +10,14 @@ from ..schemas import MAX_LENGTH, STREAM_READING, as_strings
 
 _CORRUPT = "_corrupt"
 
+# A date and a time, zero-padded. The cast alone would also take a time without a date, as of
+# today, or a year alone: the same message would be another reading on another day.
+_ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
+
 
 def _cast(name: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampType):
-        return F.try_to_timestamp(F.col(name))
+        return F.when(F.col(name).rlike(_ISO), F.try_to_timestamp(F.col(name)))
     if isinstance(dtype, T.DoubleType):
         # "NaN" and "Infinity" are not JSON numbers, though the cast would take them.
         number = F.col(name).try_cast("double")

@@ -15,12 +15,6 @@ from ..schemas import BATCH_LIMIT, READING_COLS
 # bucket of the level above, so no level yields more than 50,000 buckets (days apart).
 _WIDTHS = (86_400_000_000, 60_000_000, 50_000, 1)
 
-# Days after the low watermark that are looked at first; None is all of the source.
-_SPANS = (1, 64, None)
-
-# A bucket of at most this many rows is simply sorted: one column, in one task.
-_SORTABLE = 1_000_000
-
 
 @dataclass(frozen=True)
 class Increment:
@@ -42,19 +36,20 @@ def increment_cutoff(
 
     An ordered limit would gather ``limit`` rows of every partition in one task. Counting rows
     per time bucket and narrowing to the bucket that holds the ``limit``-th row needs only one
-    column and partial counts, whatever the limit. The first looks go no further than a span
-    after ``low``: the filter keeps the rest of a long history unread.
+    column and partial counts, whatever the limit. Where no more than ``limit`` rows are left, as
+    in steady state, the first count is the only one. A limit of 0 finds nothing.
     """
+    if limit is not None and limit < 0:
+        raise ValueError(f"limit {limit} is negative")
+    if limit == 0:
+        return None
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    inside = _above(src, low, ts)
     if limit is None:
-        newest = _above(src, low, None, ts).agg(F.max(micros)).first()[0]
+        newest = inside.agg(F.max(micros)).first()[0]
         return None if newest is None else _from_micros(newest)
 
-    for days in _SPANS:
-        inside = _above(src, low, days, ts)
-        cut = _bucket_of_nth(inside, micros, _WIDTHS[0], limit)
-        if cut is not None and cut["upto"] >= limit:
-            break
+    cut = _bucket_of_nth(inside, micros, _WIDTHS[0], limit)
     if cut is None:
         return None
 
@@ -65,17 +60,13 @@ def increment_cutoff(
         left -= cut["upto"] - cut["n"]
         start, end = (_micros(src, ts, cut["b"] + add) for add in (0, width))
         inside = inside.filter((F.col(ts) >= start) & (F.col(ts) < end))
-        if cut["n"] <= _SORTABLE:
-            oldest = inside.select(micros.alias("t")).orderBy("t").limit(left)
-            return _from_micros(oldest.agg(F.max("t")).first()[0])
         cut = _bucket_of_nth(inside, micros, finer, left)
     raise AssertionError("unreachable")
 
 
-def _above(src: DataFrame, low: str | datetime, days: int | None, ts: str) -> DataFrame:
-    """Times above ``low``, up to ``days`` days after it."""
-    end = None if days is None else as_datetime(low) + timedelta(days=days)
-    return time_range(src, low, end, ts=ts).filter(F.col(ts) > literal(src, ts, low)).select(ts)
+def _above(src: DataFrame, low: str | datetime, ts: str) -> DataFrame:
+    """Times above ``low``."""
+    return time_range(src, low, None, ts=ts).filter(F.col(ts) > literal(src, ts, low)).select(ts)
 
 
 def _bucket_of_nth(times: DataFrame, micros: Column, width: int, nth: int) -> Row | None:

@@ -5,8 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans.labels import batch_label
+
+
+def _lag(source: dict[str, Any]) -> dict[str, Any]:
+    """The source's own figures, and rows that came in faster than they were handled, a second."""
+    told = dict(source["metrics"] or {})
+    coming, done = source.get("inputRowsPerSecond"), source.get("processedRowsPerSecond")
+    if coming is not None and done is not None:
+        told["rowsPerSecondBehind"] = max(0.0, coming - done)
+    return told
+
 
 class StreamJob:
     """A stream that can be paused and resumed; its checkpoint keeps the offsets in between.
@@ -15,8 +28,10 @@ class StreamJob:
     ``lambda: stream_raw(spark, source, table, key, checkpoint)``.
     """
 
-    def __init__(self, start: Callable[[], StreamingQuery]):
+    def __init__(self, start: Callable[[], StreamingQuery], quarantine: str | None = None):
+        """``quarantine`` is the table of the job's rejects, which ``show`` counts."""
         self._start = start
+        self._quarantine = quarantine
         self._query: StreamingQuery | None = None
         self._stopped = False
 
@@ -38,7 +53,9 @@ class StreamJob:
         self._stopped = True
 
     def show(self) -> dict[str, Any]:
-        """State, progress of the last micro-batch, and the error that ended the query, if any."""
+        """State, progress and lag of the last micro-batch, messages set aside so far, and the error
+        that ended the query, if any. ``lag`` is what the source tells of messages not yet read: for
+        a topic the offsets behind the latest."""
         query = self._query
         if query is None:
             return {"state": "NEW"}
@@ -53,5 +70,12 @@ class StreamJob:
             "batch_id": last["batchId"] if last else None,
             "input_rows": last["numInputRows"] if last else 0,
             "sources": [s["endOffset"] for s in last["sources"]] if last else [],
+            "lag": [_lag(s) for s in last["sources"]] if last else [],
+            "rejects": None if self._quarantine is None else self._rejects(query.name),
             "error": None if error is None else str(error),
         }
+
+    def _rejects(self, job_key: str) -> int:
+        first, last = batch_label(job_key, 0), batch_label(job_key, 10**12 - 1)
+        table = SparkSession.active().table(self._quarantine)
+        return table.filter(F.col("load_label").between(first, last)).count()

@@ -2,7 +2,8 @@
 
 Each micro-batch is written under its own load label. A micro-batch that runs again after a
 failure has the same messages and the same label, so it replaces its first attempt. Late rows
-are kept: a rollup holds partials per micro-batch, which merge when read.
+are kept: a rollup holds partials per micro-batch, which merge when read. A micro-batch runs only
+when those before it are committed, so the job notes them as finished and folds them as it goes.
 
 Batch ids start again at 0 with a new checkpoint; a new checkpoint needs a new ``job_key``.
 """
@@ -10,16 +11,17 @@ Batch ids start again at 0 with a new checkpoint; a new checkpoint needs a new `
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans import catalog
-from ..plans.raw import load_batch
-from ..plans.rejects import check_budget, keep_rejects
-from ..plans.rollups import Rollup, compact_agg, load_agg
+from ..plans import labels
+from ..plans.labels import batch_label
+from ..plans.raw import fold_raw, load_batch
+from ..plans.rejects import check_budget, keep_rejects, need_quarantine
+from ..plans.rollups import Rollup, compact_agg, fold_agg, load_agg
 from ..schemas import LABEL_CHARS
 from ..sources.conform import parse, split
 
@@ -28,39 +30,35 @@ EVERY = {"processingTime": "10 seconds"}
 MAX_ERRORS = 100
 
 
-# Labels that compaction and refresh give; no stream may be called so.
-_RESERVED = ("merged", "day")
+# A partition is folded with others of its kind when there are so many: micro-batches into one
+# part, parts into a greater part. So a day or hour has fewer than this of each kind, however long
+# the stream runs, and a row is rewritten once per kind.
+FOLD = 16
 
-
-def batch_label(job_key: str, batch_id: int) -> str:
-    return f"{job_key}-{batch_id:012d}"
-
-
-def _newest_batches(labels: Iterable[str]) -> set[str]:
-    """The label of each stream's newest micro-batch."""
-    newest: dict[str, str] = {}
-    for label in labels:
-        job_key, _, number = label.rpartition("-")
-        if job_key not in _RESERVED and len(number) == 12 and number.isdigit():
-            newest[job_key] = max(label, newest.get(job_key, label))
-    return set(newest.values())
+# Labels that compaction, folding and refresh give; no stream may be called so.
+_RESERVED = re.compile(r"merged|day|part\d+")
 
 
 def _run(
     spark: SparkSession,
     messages: DataFrame,
+    table: str,
     load: Callable[[DataFrame, str], None],
+    fold: Callable[[], None],
     job_key: str,
     checkpoint: str,
     max_errors: int,
     quarantine: str | None,
     trigger: Mapping[str, object],
 ) -> StreamingQuery:
-    if job_key in _RESERVED or not re.fullmatch(f"[{LABEL_CHARS}]+", job_key):
-        raise ValueError(f"job key {job_key!r}: use letters, digits, _ and -, and none of {_RESERVED}")
+    if _RESERVED.fullmatch(job_key) or not re.fullmatch(f"[{LABEL_CHARS}]+", job_key):
+        raise ValueError(f"job key {job_key!r}: use letters, digits, _ and -, and not merged, day or part")
+    need_quarantine(max_errors, quarantine)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(job_key, batch_id)
+        if batch_id:
+            labels.finish(spark, table, job_key, batch_id - 1)
         # Read by the count and by the writes. Its size is bounded by the source's row limit, and
         # only rejects keep their text.
         rejected = F.when(F.col("reason").isNotNull(), F.col("payload"))
@@ -69,11 +67,13 @@ def _run(
             good, bad = split(parsed)
             errors = bad.count()
             check_budget(label, errors, max_errors)
-            load(good, label)
-            if quarantine is not None and errors:
+            if errors:
                 keep_rejects(spark, quarantine, bad, label)
+            load(good, label)
         finally:
             parsed.unpersist()
+        if batch_id and batch_id % FOLD == 0:
+            fold()
 
     return (
         messages.writeStream.queryName(job_key)
@@ -99,7 +99,10 @@ def stream_raw(
     def load(good: DataFrame, label: str) -> None:
         load_batch(spark, table, good.drop("site_code"), label)
 
-    return _run(spark, messages, load, job_key, checkpoint, max_errors, quarantine, trigger)
+    def fold() -> None:
+        fold_raw(spark, table, FOLD)
+
+    return _run(spark, messages, table, load, fold, job_key, checkpoint, max_errors, quarantine, trigger)
 
 
 def stream_rollup(
@@ -119,13 +122,33 @@ def stream_rollup(
     def load(good: DataFrame, label: str) -> None:
         load_agg(spark, spec, good, label, dim)
 
-    return _run(spark, messages, load, job_key, checkpoint, max_errors, quarantine, trigger)
+    def fold() -> None:
+        fold_agg(spark, spec, FOLD)
+
+    return _run(spark, messages, spec.table, load, fold, job_key, checkpoint, max_errors, quarantine, trigger)
+
+
+def stream_rejects(
+    spark: SparkSession,
+    messages: DataFrame,
+    quarantine: str,
+    job_key: str,
+    checkpoint: str,
+    max_errors: int = MAX_ERRORS,
+    trigger: Mapping[str, object] = EVERY,
+) -> StreamingQuery:
+    """Keep the stream's malformed messages, and fail beyond the budget; for a job that reads the
+    same messages but cannot set them aside itself."""
+
+    def nothing(*args: object) -> None:
+        pass
+
+    return _run(spark, messages, quarantine, nothing, nothing, job_key, checkpoint, max_errors, quarantine, trigger)
 
 
 def compact_stream_rollup(
     spark: SparkSession, spec: Rollup, first: str | None = None, last: str | None = None
 ) -> list[str]:
-    """Merge the micro-batches of each partition key, except the newest micro-batch of each
-    stream: that one may still run again. Run it while the stream is paused."""
-    labels = {s["load_label"] for s in catalog.partitions(spark, spec.table)}
-    return compact_agg(spark, spec, first, last, sorted(labels - _newest_batches(labels)))
+    """Merge what is finished in each partition key; a micro-batch that may still run again stays.
+    Run it while the stream is paused: a table has one writer at a time."""
+    return compact_agg(spark, spec, first, last)

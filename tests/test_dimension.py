@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.operators import apply_changes, latest, serving
 from gaugeline.plans import dimension as dims
+from gaugeline.plans.rejects import create_quarantine
 from gaugeline.schemas import DEVICE, DEVICE_CHANGE
 from gaugeline.sources import conform
 from helpers import lake, plan
@@ -128,3 +129,22 @@ def test_changes_from_a_message_feed(spark):
     row = dims.read_dim(spark, table).collect()
     assert [(r.device_id, r.device_name, r.latitude, r.is_active) for r in row] == [(1, "a", 1.5, True)]
     assert [r.reason for r in bad.collect()] == ["__op missing"]
+
+
+def test_changes_that_cannot_be_applied(spark):
+    """They fail the batch, or are set aside once however often the batch comes."""
+    lake_ = lake(spark)
+    table, bad = f"{lake_}.dim", f"{lake_}.bad"
+    dims.create_dim(spark, table, spark.createDataFrame([], STATE).drop("__op").schema)
+    create_quarantine(spark, bad)
+    batch = changes(
+        spark,
+        [(1, "a", T1, 1, 0), (None, "a", T1, 1, 0), (5, "b", T1, 1, None), (6, "c", T1, 1, 2), (7, "s" * 33, T1, 1, 0), (8, "s" * 32, T1, 1, 0)],
+    )
+    with pytest.raises(ValueError, match="4 changes cannot be applied"):
+        dims.upsert(spark, table, batch, order=ORDER)
+    assert spark.table(table).count() == 0
+    for _ in range(3):
+        dims.upsert(spark, table, batch, order=ORDER, quarantine=bad)
+        assert spark.table(table).count() == 2
+    assert sorted(r.reason for r in spark.table(bad).collect()) == ["__op invalid"] * 2 + ["device_id missing", "site_code too long"]

@@ -33,11 +33,10 @@ def test_ties_at_limit(spark):
     assert rows_of(first.rows.union(second.rows)) == rows_of(src)
 
 
-@pytest.mark.parametrize("sortable, gap", [(0, 0), (10, 0), (0, 30), (1_000_000, 90)])
+@pytest.mark.parametrize("gap", [0, 30, 90])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_cutoff_is_the_nth_oldest(spark, monkeypatch, sortable, gap, seed):
+def test_cutoff_is_the_nth_oldest(spark, gap, seed):
     """Times before and after 1970, many close together, some after a gap of days."""
-    monkeypatch.setattr(source, "_SORTABLE", sortable)
     rng = Random(seed)
     base = at("1969-12-31 23:59:50")
     spans = [3 * 86400 * 10**6, 90 * 10**6, 200_000, 20]
@@ -55,16 +54,24 @@ def test_cutoff_is_the_nth_oldest(spark, monkeypatch, sortable, gap, seed):
     assert increment_cutoff(df, times[-1], 5) is None
 
 
-def test_a_long_history_is_left_unread(spark, monkeypatch):
-    """A full first day answers; rows behind it are filtered out at the scan."""
-    path = spark.conf.get("spark.checkpoint.dir") + "/history"
-    rows = [(f"20{y}-01-01 00:00:0{s}", 1, "m", 1.0) for y in (23, 24, 25) for s in range(1, 6)]
-    readings(spark, rows).write.mode("overwrite").parquet(path)
+def test_steady_state_takes_one_count(spark, monkeypatch):
+    """Where no more than the limit is left, the first count is the only job before the read."""
+    src = readings(spark, [(f"2024-01-0{d} 00:00:0{s}", 1, "m", 1.0) for d in (1, 2, 3) for s in range(1, 6)])
     seen = []
     real = source._bucket_of_nth
     monkeypatch.setattr(source, "_bucket_of_nth", lambda df, *a: seen.append(plan_text(df)) or real(df, *a))
-    assert increment_cutoff(spark.read.parquet(path), "2023-01-01", 5) == "2023-01-01 00:00:05.000000"
-    assert len(seen) == 1 and "LessThan(event_time,2023-01-02" in seen[0]
+    for low, limit, jobs in (("2024-01-02 00:00:02", 100, 1), ("2024-01-02 00:00:02", 8, 1), ("2024-01-03 00:00:05", 5, 1), ("2024-01-01", 5, 1)):
+        seen.clear()
+        increment_cutoff(src, low, limit)
+        assert len(seen) == jobs
+
+
+def test_limits_that_ask_for_nothing(spark):
+    src = readings(spark, [("2024-01-01 00:00:01", 1, "m", 1.0)])
+    step = read_increment(src, FLOOR, 0)
+    assert step.high is None and step.rows.count() == 0
+    with pytest.raises(ValueError, match="negative"):
+        read_increment(src, FLOOR, -1)
 
 
 def test_zone_less_source(spark):

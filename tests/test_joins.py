@@ -166,3 +166,23 @@ def test_a_colocated_join_does_not_turn_into_a_broadcast(spark, fact, dim):
     text = plan(colocated_join(facts(spark, fact), dims.read_dim(spark, dim), hot=[]))
     assert "SortMergeJoin" in text and "Exchange" not in text
     assert text.count("SelectedBucketsCount: 16 out of 16") == 2
+
+
+def test_ranks_do_not_depend_on_the_size_of_values(spark):
+    rows = [("2024-01-01 00:00:00", 1, "m", 1e-9), ("2024-01-01 00:00:00", 2, "m", 4e-7), ("2024-01-01 00:00:00", 3, "m", -5e9)]
+    got = [r.device_id for r in topn(readings(spark, rows), "device_id", "m", 3).collect()]
+    assert got == [2, 1, 3]
+
+
+def test_a_column_of_fact_and_dimension(spark):
+    fact = spark.createDataFrame([(1, "own", 1.0), (1, None, 2.0), (2, None, 4.0)], "device_id bigint, site_code string, value double")
+    dim = spark.createDataFrame([(1, "dim"), (2, "dim")], "device_id bigint, site_code string")
+    got = groupby_dims(fact, [(dim, "device_id")], ["site_code"], ["value_sum"]).collect()
+    assert {r.site_code: r.value_sum for r in got} == {"own": 1.0, "dim": 6.0}
+
+
+@pytest.mark.parametrize("buckets", [16, 64])
+def test_what_is_hot_depends_on_the_buckets(spark, buckets):
+    """A device with half a bucket's share of the rows."""
+    rows = spark.range(12800).select(F.when(F.col("id") < 12800 // buckets, -1).otherwise(F.col("id")).alias("device_id"))
+    assert hot_keys(rows, buckets=buckets) == [-1] and hot_keys(rows, buckets=buckets // 4) == []

@@ -50,16 +50,22 @@ def test_the_wrong_flag_raises(spark):
 
 BAD = {
     '{"event_time": "soon", "device_id": 1, "metric": "m"}': "event_time invalid",
-    '{"event_time": "2024-01-01", "metric": "m", "value": 1}': "device_id missing",
-    '{"event_time": "2024-01-01", "device_id": null, "metric": "m"}': "device_id missing",
-    '{"event_time": "2024-01-01", "device_id": "x1", "metric": "m"}': "device_id invalid",
-    '{"event_time": "2024-01-01", "device_id": 1.5, "metric": "m"}': "device_id invalid",
-    '{"event_time": "2024-01-01", "device_id": 1}': "metric missing",
-    '{"event_time": "2024-01-01", "device_id": 1, "metric": "%s"}' % ("m" * 65): "metric too long",
-    '{"event_time": "2024-01-01", "device_id": 1, "metric": "m", "site_code": "%s"}' % ("s" * 33): "site_code too long",
+    '{"event_time": "12:30", "device_id": 1, "metric": "m"}': "event_time invalid",
+    '{"event_time": "T12:30:01", "device_id": 1, "metric": "m"}': "event_time invalid",
+    '{"event_time": "2024", "device_id": 1, "metric": "m"}': "event_time invalid",
+    '{"event_time": "2024-01-01", "device_id": 1, "metric": "m"}': "event_time invalid",
+    '{"event_time": "2024-1-1 1:2:3", "device_id": 1, "metric": "m"}': "event_time invalid",
+    '{"event_time": "2024-13-01 01:02:03", "device_id": 1, "metric": "m"}': "event_time invalid",
+    '{"event_time": "2024-01-01T00:00:00Z", "metric": "m", "value": 1}': "device_id missing",
+    '{"event_time": "2024-01-01T00:00:00Z", "device_id": null, "metric": "m"}': "device_id missing",
+    '{"event_time": "2024-01-01T00:00:00Z", "device_id": "x1", "metric": "m"}': "device_id invalid",
+    '{"event_time": "2024-01-01T00:00:00Z", "device_id": 1.5, "metric": "m"}': "device_id invalid",
+    '{"event_time": "2024-01-01T00:00:00Z", "device_id": 1}': "metric missing",
+    '{"event_time": "2024-01-01T00:00:00Z", "device_id": 1, "metric": "%s"}' % ("m" * 65): "metric too long",
+    '{"event_time": "2024-01-01T00:00:00Z", "device_id": 1, "metric": "m", "site_code": "%s"}' % ("s" * 33): "site_code too long",
     "not JSON": "not a JSON object",
-    '{"event_time": "2024-01-01", "device_id": 1, "metric": "m"': "not a JSON object",
-    '[{"event_time": "2024-01-01", "device_id": 1, "metric": "m"}]': "not a JSON object",
+    '{"event_time": "2024-01-01T00:00:00Z", "device_id": 1, "metric": "m"': "not a JSON object",
+    '[{"event_time": "2024-01-01T00:00:00Z", "device_id": 1, "metric": "m"}]': "not a JSON object",
     "7": "not a JSON object",
     "": "not a JSON object",
 }
@@ -75,7 +81,7 @@ def test_rejects_and_their_reasons(spark):
 @pytest.mark.parametrize("value, expected", [('"n/a"', None), ('"2.5"', 2.5), ('"NaN"', None), ('"Infinity"', None),
                                              ("1e3", 1000.0), ("true", None), ('{"a": 1}', None), ('""', None)])
 def test_an_odd_value_costs_the_value_only(spark, value, expected):
-    text = '{"value": %s, "event_time": "2024-01-01", "device_id": 1, "metric": "m"}' % value
+    text = '{"value": %s, "event_time": "2024-01-01T00:00:00Z", "device_id": 1, "metric": "m"}' % value
     good, bad = conform(spark.createDataFrame([(text,)], "value string"))
     assert bad.count() == 0 and good.first().value == expected
 

@@ -70,18 +70,31 @@ def test_random_operations(spark, monkeypatch, seed, buckets):
 
     def die_in(change):
         with monkeypatch.context() as m:
-            m.setattr(catalog, rng.choice(["add_partitions", "drop_partitions"]), die)
+            m.setattr(catalog, rng.choice(["add_partitions", "drop_partitions", "move_partitions", "stage", "write"]), die)
             try:
                 change()
             except Died:
                 pass
 
-    steps = [grow, grow, ingest, ingest, ingest_and_die, backfill, compact, arrive_late,
+    def json_batch():
+        """A batch of its own, sent again and again; its days lie after all others."""
+        sent.append(rng.randrange(3))
+        day = readings(spark, [(f"2024-02-0{sent[-1] + 1} 00:00:00", 7, "json", 1.0)])
+        raw.load_batch(spark, table, day, f"json{sent[-1]}", done=True)
+
+    def compact_json():
+        raw.compact(spark, table, "2024-02-01", "2024-02-10")
+
+    sent = []
+    steps = [json_batch, compact_json, lambda: die_in(json_batch), lambda: die_in(ingest), grow, grow, ingest, ingest, ingest_and_die, backfill, compact, arrive_late,
              lambda: die_in(backfill), lambda: die_in(compact)]
     grow()
-    for _ in range(14):
+    for _ in range(18):
         rng.choice(steps)()
-    ingest_all(spark, source(), table, control, "job", 10)
+    for label in set(sent):  # what died is sent again
+        raw.load_batch(spark, table, readings(spark, [(f"2024-02-0{label + 1} 00:00:00", 7, "json", 1.0)]), f"json{label}", done=True)
+    rows += [(f"2024-02-0{label + 1} 00:00:00", 7, "json", 1.0) for label in set(sent)]
+    ingest_all(spark, source().filter("metric <> 'json'"), table, control, "job", 10)
     if late_day:
         raw.backfill(spark, table, source(), late_day, DAYS[1], upto=mark())
     catalog.finish_swap(spark, table)

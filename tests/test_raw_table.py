@@ -82,7 +82,7 @@ def test_compaction_folds_labels_and_keeps_rows(spark):
     table = raw_table(spark)
     src = two_days(spark)
     for i in range(3):
-        raw.load_batch(spark, table, src.filter(F.minute("event_time") % 3 == i), f"l{i}")
+        raw.load_batch(spark, table, src.filter(F.minute("event_time") % 3 == i), f"l{i}", done=True)
     assert len(catalog.partitions(spark, table)) == 6
     assert raw.compact(spark, table, D1, D3) == [D1, D2]
     assert len(catalog.partitions(spark, table)) == 2
@@ -181,3 +181,56 @@ def test_rows_are_sorted_inside_files(spark, gather):
 def test_buckets_grow_with_the_volume():
     assert raw.buckets_for(1e9) == 16
     assert raw.buckets_for(1.1e12) == 4096
+
+
+def test_a_failing_resend_keeps_the_first_load(spark, monkeypatch):
+    table = raw_table(spark)
+    raw.load_batch(spark, table, two_days(spark), "l")
+    before = content(spark, table)
+    bad = two_days(spark).union(readings(spark, [(f"{D3} 00:00:00", None, "m", 1.0)]))
+    with pytest.raises(Exception, match="device_id missing"):
+        raw.load_batch(spark, table, bad, "l")
+    assert content(spark, table) == before
+
+
+@pytest.mark.parametrize("step", ["stage", "drop_partitions", "move_partitions", "add_partitions", "remove_folder"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_resend_that_dies_leaves_one_of_both_loads(spark, monkeypatch, step, after):
+    table = raw_table(spark)
+    first, second = two_days(spark), readings(spark, timed_rows(D2, 4, device=7) + timed_rows(D3, 5, device=7))
+    raw.load_batch(spark, table, first, "l")
+    real = getattr(catalog, step)
+
+    def die(*args):
+        if after:
+            real(*args)
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(catalog, step, die)
+        with pytest.raises(RuntimeError, match="died"):
+            raw.load_batch(spark, table, second, "l")
+    catalog.finish_swap(spark, table)
+    expected = first if step == "stage" else second
+    assert content(spark, table) == rows_of(expected)
+    raw.load_batch(spark, table, second, "l")
+    assert content(spark, table) == rows_of(second)
+
+
+def test_a_finished_load_is_not_repeated(spark):
+    table = raw_table(spark)
+    raw.load_batch(spark, table, two_days(spark), "l", done=True)
+    raw.compact(spark, table, D1, D3)
+    raw.load_batch(spark, table, two_days(spark), "l", done=True)
+    assert content(spark, table) == rows_of(two_days(spark))
+
+
+def test_compaction_leaves_open_loads(spark):
+    table = raw_table(spark)
+    for label in ("a", "b"):
+        raw.load_batch(spark, table, readings(spark, timed_rows(D1, 5, device=ord(label))), label, done=True)
+    raw.load_batch(spark, table, readings(spark, timed_rows(D1, 5)), "open")
+    assert raw.compact_day(spark, table, D1)
+    raw.load_batch(spark, table, readings(spark, timed_rows(D1, 6)), "open")
+    assert spark.table(table).count() == 16
+    assert {s["load_label"] == "open" for s in catalog.partitions(spark, table)} == {True, False}

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -6,8 +7,9 @@ from pyspark.sql import functions as F
 from gaugeline.functions import MEASURES, with_avg
 from gaugeline.operators import merge_partials, rollup, rollup_up, timeseries
 from gaugeline.plans import catalog, raw, rollups
+from gaugeline.plans import dimension as dims
 from gaugeline.plans.rollups import Rollup
-from helpers import lake, plan, raw_table, readings
+from helpers import at, lake, plan, raw_table, readings
 
 
 def rounded(df):
@@ -91,35 +93,80 @@ def test_refresh_changes_only_its_days(spark, some):
     assert rollups.read_agg(spark, spec).filter(F.col("event_date") == "2024-01-01").count() == 0
 
 
-HOUR = Rollup("t.hour", "hour", measures=("reading_cnt", "value_sum", "value_max"))
-DAY = Rollup("t.day", "day")
-MINUTE = Rollup("t.minute", "minute", ("device_id", "metric", "site_code"))
+HOUR = Rollup("t.hour", "hour", measures=("reading_cnt", "value_sum", "value_max"), complete=True)
+DAY = Rollup("t.day", "day", complete=True)
+MINUTE = Rollup("t.minute", "minute", ("device_id", "metric", "site_code"), complete=True)
 
 
 @pytest.mark.parametrize(
     "grain, dims, measures, start, end, expected",
     [
-        ("day", ["metric"], ["value_sum"], "2024-01-01", "2024-01-03", DAY),
-        ("day", ["metric"], ["value_sum"], "2024-01-01 05:00:00", "2024-01-03", HOUR),
-        ("hour", ["metric"], ["value_max"], "2024-01-01", "2024-01-03", HOUR),
-        ("hour", ["metric"], ["value_min"], "2024-01-01", "2024-01-03", MINUTE),
-        ("hour", ["metric"], ["value_avg"], "2024-01-01", "2024-01-03", MINUTE),
-        ("hour", ["metric"], ["avg_per_reading"], "2024-01-01", "2024-01-03", HOUR),
-        ("day", ["site_code"], ["value_sum"], "2024-01-01", "2024-01-03", MINUTE),
-        ("day", ["metric"], ["value_sum"], "2024-01-01 05:30:00", "2024-01-03", MINUTE),
-        ("day", ["metric"], ["value_sum"], "2024-01-01 05:30:01", "2024-01-03", None),
-        ("minute", ["metric"], ["value_sum"], "2024-01-01", "2024-01-03 00:00:00.000001", None),
-        ("day", ["serial"], ["value_sum"], "2024-01-01", "2024-01-03", None),
-        (None, ["metric"], ["value_min"], "2024-01-01", "2024-01-03", DAY),
-        (None, ["metric"], ["value_sum"], "2024-01-01 07:00:00", "2024-01-03", HOUR),
+        ("day", ["metric"], ["value_sum"], "2024-01-01", "2024-01-03", [(DAY, "01 00:00", "03 00:00")]),
+        ("day", ["metric"], ["value_sum"], "2024-01-01 05:00:00", "2024-01-03", [(DAY, "02 00:00", "03 00:00"), (HOUR, "01 05:00", "02 00:00")]),
+        ("hour", ["metric"], ["value_max"], "2024-01-01", "2024-01-03", [(HOUR, "01 00:00", "03 00:00")]),
+        ("hour", ["metric"], ["value_min"], "2024-01-01", "2024-01-03", [(MINUTE, "01 00:00", "03 00:00")]),
+        ("hour", ["metric"], ["value_avg"], "2024-01-01", "2024-01-03", [(MINUTE, "01 00:00", "03 00:00")]),
+        ("hour", ["metric"], ["avg_per_reading"], "2024-01-01", "2024-01-03", [(HOUR, "01 00:00", "03 00:00")]),
+        ("day", ["site_code"], ["value_sum"], "2024-01-01", "2024-01-03", [(MINUTE, "01 00:00", "03 00:00")]),
+        ("hour", ["metric"], ["value_sum"], "2024-01-01 05:30:00", "2024-01-01 07:30:30",
+         [(HOUR, "01 06:00", "01 07:00"), (MINUTE, "01 05:30", "01 06:00"), (MINUTE, "01 07:00", "01 07:30"), (None, "01 07:30", "01 07:30:30")]),
+        ("day", ["serial"], ["value_sum"], "2024-01-01", "2024-01-03", [(None, "01 00:00", "03 00:00")]),
+        (None, ["metric"], ["value_min"], "2024-01-01", "2024-01-03", [(DAY, "01 00:00", "03 00:00")]),
+        (None, ["metric"], ["value_sum"], "2024-01-03", "2024-01-03", []),
     ],
 )
-def test_route(grain, dims, measures, start, end, expected):
-    assert rollups.route([HOUR, DAY, MINUTE], grain, dims, measures, start, end) == expected
+def test_route(spark, grain, dims, measures, start, end, expected):
+    got = rollups.route(spark, [HOUR, DAY, MINUTE], grain, dims, measures, start, end)
+    assert got == [(spec, at(f"2024-01-{a}"), at(f"2024-01-{b}")) for spec, a, b in expected]
+
+
+def test_an_unknown_rollup_is_not_trusted(spark, some):
+    """Loaded up to a day only: the rest comes from the readings."""
+    spec = agg(spark)
+    rollups.load_agg(spark, spec, some.filter("event_time < '2024-01-02'"), "a")
+    args = ("day", ["metric"], ["reading_cnt"], "2024-01-01", "2024-01-05")
+    assert rounded(rollups.rollup_query(spark, some, [spec], *args)) == rounded(rollups.rollup_query(spark, some, [], *args))
+
+
+def test_stale_days_are_answered_by_the_readings(spark, some):
+    table = raw_table(spark)
+    raw.load_batch(spark, table, some, "l")
+    device = spark.createDataFrame([(i, f"s{i % 2}") for i in range(5)], "device_id bigint, site_code string")
+    dim = f"{table}_dim"
+    dims.create_dim(spark, dim)
+    dims.upsert(spark, dim, device)
+    spec = Rollup(f"{table}_agg", "day", ("site_code", "metric"))
+    rollups.create_agg(spark, spec)
+    days = raw.days_of_label(spark, table, "l")
+
+    def refresh(which):
+        rollups.refresh_rollup(
+            spark, spec, raw.readings_of(spark, table), which, dims.read_dim(spark, dim), table, dim
+        )
+
+    def check(expected_fresh, **asked):
+        rows, now = raw.readings_of(spark, table), dims.read_dim(spark, dim)
+        args = ("day", ["site_code"], [*MEASURES, "value_avg"], "2024-01-01 10:30:00", "2024-01-05")
+        routed = rollups.rollup_query(spark, rows, [spec], *args, source=table, dim=now, dim_table=dim, **asked)
+        assert rounded(routed) == rounded(rollups.rollup_query(spark, rows, [], *args, dim=now, **asked))
+        assert rollups.fresh_days(spark, spec, table, "2024-01-01", "2024-01-05", dim) == expected_fresh
+
+    check([])
+    refresh(days[:3])
+    check(days[:3])
+    check(days[:3], where={"metric": ["a"], "site_code": ["s1"]})
+    raw.overwrite_day(spark, table, some.filter("to_date(event_time) = '2024-01-02'").limit(3), "2024-01-02")
+    check([days[0], days[2]])
+    refresh(["2024-01-02"])
+    check(days[:3])
+    dims.upsert(spark, dim, device.withColumn("site_code", F.lit("moved")))
+    check([])
+    with pytest.raises(ValueError, match="site_code"):
+        rollups.rollup_query(spark, some, [], "day", ["site_code"], ["value_sum"], "2024-01-01", "2024-01-05")
 
 
 def test_routed_answers_equal_the_readings(spark, some):
-    specs = [agg(spark, "hour"), agg(spark, "day"), agg(spark, "minute")]
+    specs = [replace(agg(spark, grain), complete=True) for grain in ("hour", "day", "minute")]
     for spec in specs:
         rollups.load_agg(spark, spec, some.filter(F.col("device_id") < 3), "a")
         rollups.load_agg(spark, spec, some.filter(F.col("device_id") >= 3), "b")
@@ -137,7 +184,7 @@ def test_routed_answers_equal_the_readings(spark, some):
 
 
 def test_minute_rollup_reads_only_the_hours_asked_for(spark, some):
-    spec = agg(spark, "minute")
+    spec = replace(agg(spark, "minute"), complete=True)
     rollups.load_agg(spark, spec, some, "a")
     df = rollups.rollup_query(
         spark, some, [spec], "minute", ["metric"], ["value_sum"], "2024-01-01 05:00:00", "2024-01-01 07:00:00"

@@ -40,6 +40,11 @@ class Topic:
         return read_stream(self.spark, "text", {"path": str(self.root / "in"), "maxFilesPerTrigger": "1"})
 
 
+def quarantine(spark, table):
+    create_quarantine(spark, f"{table}_bad")
+    return f"{table}_bad"
+
+
 def rows(minute, n=3, device=1):
     return [(f"2024-01-01 00:{minute:02d}:{s:02d}", device, "m", float(s)) for s in range(n)]
 
@@ -48,7 +53,7 @@ def test_resumes_from_its_checkpoint(spark):
     topic, table = Topic(spark), raw_table(spark)
 
     def run():
-        stream_raw(spark, topic.source(), table, "raw", topic.checkpoint, trigger=ONCE).awaitTermination()
+        stream_raw(spark, topic.source(), table, "raw", topic.checkpoint, 0, trigger=ONCE).awaitTermination()
 
     topic.send(rows(1))
     topic.send(rows(2))
@@ -98,9 +103,9 @@ def test_a_replayed_batch_counts_once(spark, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(jobs, "load_agg", load_and_die)
         with pytest.raises(Exception, match="died after the write"):
-            stream_rollup(spark, topic.source(), spec, "j", topic.checkpoint, trigger=ONCE).awaitTermination()
+            stream_rollup(spark, topic.source(), spec, "j", topic.checkpoint, None, 0, trigger=ONCE).awaitTermination()
     assert rollups.read_agg(spark, spec).first().reading_cnt == 3
-    stream_rollup(spark, topic.source(), spec, "j", topic.checkpoint, trigger=ONCE).awaitTermination()
+    stream_rollup(spark, topic.source(), spec, "j", topic.checkpoint, None, 0, trigger=ONCE).awaitTermination()
     assert rollups.read_agg(spark, spec).first().reading_cnt == 3
 
 
@@ -112,7 +117,7 @@ def test_late_rows_enter_the_rollup(spark):
     sent = [rows(1), rows(50), rows(1, 5), rows(2, device=9)]
     for batch in sent:
         topic.send(batch)
-    stream_rollup(spark, topic.source(), spec, "j", topic.checkpoint, dim, trigger=ONCE).awaitTermination()
+    stream_rollup(spark, topic.source(), spec, "j", topic.checkpoint, dim, 0, trigger=ONCE).awaitTermination()
     expected = rollup(readings(spark, sum(sent, [])), "minute")
 
     def seen(df):
@@ -134,37 +139,83 @@ def test_bounded_rollup_emits_passed_minutes(spark):
         topic.send(batch)
     out = str(topic.root / "out")
     dim = spark.createDataFrame([(1, "home")], "device_id bigint, site_code string")
-    stream_rollup_bounded(topic.source(), out, topic.checkpoint, "10 minutes", dim, ONCE).awaitTermination()
+    bad = quarantine(spark, f"{lake(spark)}.bounded")
+    topic.send(rows(51), junk=2)
+    for query in stream_rollup_bounded(
+        spark, topic.source(), out, "bounded", topic.checkpoint, bad, "10 minutes", dim, 2, ONCE
+    ):
+        query.awaitTermination()
+    assert spark.table(bad).count() == 2
     stored = spark.read.parquet(out).collect()
     got = sorted(str(r.event_minute)[14:16] for r in stored)
     assert got == ["01", "30", "31"] and {r.site_code for r in stored} == {"home"}
-
-
-def test_newest_batch_of_each_stream():
-    labels = ["a-000000000001", "a-000000000010", "b-000000000002", "merged-123456789012", "day-000000000009", "x"]
-    assert jobs._newest_batches(labels) == {"a-000000000010", "b-000000000002"}
+    topic.send([], junk=3)
+    rollup_query, rejects = stream_rollup_bounded(
+        spark, topic.source(), out, "bounded", topic.checkpoint, bad, "10 minutes", dim, 2, ONCE
+    )
+    rollup_query.awaitTermination()
+    with pytest.raises(Exception, match="3 malformed messages, limit 2"):
+        rejects.awaitTermination()
+
+
+@pytest.mark.parametrize("kind", ["raw", "rollup"])
+def test_partitions_stay_few_while_a_stream_runs(spark, monkeypatch, kind):
+    """Sixty micro-batches into one hour, folded by the job itself; the last one replayed at the end."""
+    monkeypatch.setattr(jobs, "FOLD", 4)
+    topic = Topic(spark)
+    sent = [rows(i % 60, 2, device=i) for i in range(60)]
+    for batch in sent:
+        topic.send(batch)
+    if kind == "raw":
+        table = raw_table(spark)
+        start = lambda: stream_raw(spark, topic.source(), table, "s", topic.checkpoint, 0, trigger=ONCE)
+    else:
+        spec = Rollup(f"{lake(spark)}.agg", "minute", STREAM_KEYS)
+        rollups.create_agg(spark, spec)
+        table = spec.table
+        start = lambda: stream_rollup(spark, topic.source(), spec, "s", topic.checkpoint, None, 0, trigger=ONCE)
+    start().awaitTermination()
+    held = [s["load_label"] for s in catalog.partitions(spark, table)]
+    assert len(held) <= 4 * 4 and any(label.startswith("part2-") for label in held)
+    for f in Path(topic.checkpoint, "commits").glob("*59*"):
+        f.unlink()
+    start().awaitTermination()
+    expected = readings(spark, sum(sent, []))
+    if kind == "raw":
+        assert content(spark, table) == rows_of(expected)
+    else:
+        assert rollups.read_agg(spark, spec).agg(F.sum("reading_cnt")).first()[0] == 120
+
+
+def test_rejects_need_a_place(spark):
+    with pytest.raises(ValueError, match="quarantine"):
+        stream_raw(spark, Topic(spark).source(), "t", "raw", "/nowhere")
 
 
 def test_job_keys_are_safe(spark):
-    for key in ("day", "a/b", ""):
+    for key in ("day", "part3", "a/b", ""):
         with pytest.raises(ValueError):
-            stream_raw(spark, Topic(spark).source(), "t", key, "/nowhere")
+            stream_raw(spark, Topic(spark).source(), "t", key, "/nowhere", 0)
 
 
 def test_show_pause_resume_stop(spark):
     topic, table = Topic(spark), raw_table(spark)
-    now = {"processingTime": "0 seconds"}
-    job = StreamJob(lambda: stream_raw(spark, topic.source(), table, "raw", topic.checkpoint, trigger=now))
+    now, bad = {"processingTime": "0 seconds"}, quarantine(spark, table)
+    job = StreamJob(lambda: stream_raw(spark, topic.source(), table, "raw", topic.checkpoint, quarantine=bad, trigger=now), bad)
     assert job.show() == {"state": "NEW"}
     topic.send(rows(1))
     job.resume().processAllAvailable()
     shown = job.show()
     assert shown["state"] == "RUNNING" and shown["error"] is None
+    assert shown["rejects"] == 0 and len(shown["lag"]) == 1
     job.pause()
     assert job.show()["state"] == "PAUSED"
     topic.send(rows(2))
     job.resume().processAllAvailable()
     assert spark.table(table).count() == 6
+    topic.send([], junk=5)
+    job.resume().processAllAvailable()
+    assert job.show()["rejects"] == 5
     topic.send([], junk=101)
     with pytest.raises(Exception, match="101 malformed"):
         job.resume().processAllAvailable()
@@ -179,7 +230,7 @@ def test_pacing_options(spark):
     topic, table = Topic(spark), raw_table(spark)
     for i in range(3):
         topic.send(rows(i))
-    query = stream_raw(spark, topic.source(), table, "raw", topic.checkpoint, trigger=ONCE)
+    query = stream_raw(spark, topic.source(), table, "raw", topic.checkpoint, 0, trigger=ONCE)
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
     assert spark.table(table).agg(F.count("*")).first()[0] == 9

@@ -60,14 +60,20 @@ _DQ = """
 
 _SITE_TOPN = """
         WITH per_device AS (
-          SELECT d.site_code, r.device_id, round(sum(value), 4) AS value_sum
+          SELECT d.site_code, r.device_id, sum(value) AS value_sum
           FROM readings r JOIN device d ON r.device_id = d.device_id
           WHERE metric = 'purchase' GROUP BY ALL)
-        SELECT site_code, CAST(rn AS INTEGER) AS rank, device_id, value_sum
+        SELECT site_code, CAST(rn AS INTEGER) AS rank, device_id, round(value_sum, 4) AS value_sum
         FROM (SELECT *, row_number() OVER (PARTITION BY site_code
                 ORDER BY value_sum DESC NULLS LAST, device_id) AS rn FROM per_device)
         WHERE rn <= 3"""
 
+_TOPN = f"""
+        SELECT device_id, round(total, 4) AS value_sum
+        FROM (SELECT device_id, sum(value) AS total FROM readings
+              WHERE metric = 'view' AND {_RANGE}
+              GROUP BY device_id ORDER BY total DESC NULLS LAST, device_id LIMIT 10)"""
+
 _BODIES = {
     "increment_after_watermark": """
         WITH pending AS (SELECT * FROM readings WHERE event_time > TIMESTAMP '2024-01-11'),
@@ -85,7 +91,13 @@ _BODIES = {
     "json_conform": _GOOD,
     "json_rejects": _REJECTS,
     "json_batch_lines": _GOOD,
+    "json_batch_array": _GOOD,
     "json_load": _GOOD,
+    "json_resend_after_compact": f"""
+        {_GOOD}
+        UNION ALL
+        SELECT event_time, device_id, metric, value FROM readings WHERE event_time < TIMESTAMP '2024-01-02'""",
+    "load_resend_fails": "SELECT * FROM readings",
     "backfill_replaces_day": _days_replaced(_IS_DAY),
     "backfill_empty_day": f"SELECT * FROM readings WHERE NOT ({_IS_DAY})",
     "backfill_range": _days_replaced(
@@ -113,6 +125,19 @@ _BODIES = {
         SELECT date_trunc('day', event_time) AS event_day, metric, {_AGGS},
                round(sum(value) / count(value), 10) AS value_avg
         FROM readings GROUP BY ALL""",
+    "rollup_routed_stale": f"""
+        SELECT date_trunc('day', event_time) AS event_day, metric, count(*) AS reading_cnt, round(sum(v), 4) AS value_sum
+        FROM (SELECT *, CASE WHEN {_IS_DAY} THEN value * 2 ELSE value END AS v FROM readings)
+        GROUP BY ALL""",
+    "rollup_routed_filtered": f"""
+        SELECT date_trunc('day', event_time) AS event_day, device_id, count(*) AS reading_cnt,
+               round(sum(value), 4) AS value_sum
+        FROM readings WHERE metric = 'click' AND device_id < 40 AND {_RANGE} GROUP BY ALL""",
+    "rollup_routed_split": f"""
+        SELECT metric, {_AGGS}, round(sum(value) / count(value), 10) AS value_avg
+        FROM readings
+        WHERE event_time >= TIMESTAMP '2024-01-03 10:30:00' AND event_time < TIMESTAMP '2024-01-28 09:17:00'
+        GROUP BY ALL""",
     "rollup_routed_slice": """
         SELECT date_trunc('hour', event_time) AS event_hour, device_id, count(*) AS reading_cnt,
                round(sum(value), 4) AS value_sum
@@ -124,6 +149,21 @@ _BODIES = {
         FROM (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY updated_at DESC, seq DESC) AS rn
               FROM device_changes)
         WHERE rn = 1 AND op = 0""",
+    "dim_upsert_rejects": """
+        WITH told AS (
+          SELECT *, CASE WHEN seq % 50 = 0 THEN 'device_id missing' WHEN seq % 50 IN (1, 2) THEN '__op invalid'
+                         WHEN seq % 50 = 3 THEN 'site_code too long' END AS reason
+          FROM device_changes)
+        SELECT reason, count(*) AS n FROM told WHERE reason IS NOT NULL GROUP BY reason
+        UNION ALL
+        SELECT 'served', count(*)
+        FROM (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY updated_at DESC, seq DESC) AS rn
+              FROM told WHERE reason IS NULL)
+        WHERE rn = 1 AND op = 0""",
+    "fact_dim_hot": """
+        SELECT event_time, r.hot AS device_id, metric, value, d.site_code
+        FROM (SELECT *, CASE WHEN minute(event_time) % 3 = 0 THEN 1 ELSE device_id END AS hot FROM readings) r
+        JOIN device d ON r.hot = d.device_id""",
     "fact_dim_join": """
         SELECT r.*, d.device_name, d.site_code, d.is_active
         FROM readings r JOIN device d ON r.device_id = d.device_id""",
@@ -151,10 +191,13 @@ _BODIES = {
                max(value) AS value_max
         FROM readings r LEFT JOIN device d ON r.device_id = d.device_id
         WHERE {_RANGE} GROUP BY ALL""",
-    "topn_devices": f"""
-        SELECT device_id, round(sum(value), 4) AS value_sum FROM readings
-        WHERE metric = 'view' AND {_RANGE}
-        GROUP BY device_id ORDER BY value_sum DESC NULLS LAST, device_id LIMIT 10""",
+    "site_groupby_off_border": f"""
+        SELECT site_code, metric, count(*) AS reading_cnt, round(sum(value), 4) AS value_sum,
+               max(value) AS value_max
+        FROM readings r LEFT JOIN device d ON r.device_id = d.device_id
+        WHERE {_RANGE} AND event_time >= TIMESTAMP '2024-01-03 10:30:00' GROUP BY ALL""",
+    "topn_devices": _TOPN,
+    "topn_tiny_values": _TOPN,
     "timeseries_hourly": f"""
         SELECT date_trunc('hour', event_time) AS event_hour, {_AGGS}
         FROM readings WHERE metric = 'click' AND {_RANGE} GROUP BY ALL""",
@@ -163,16 +206,21 @@ _BODIES = {
     "dq_table_report": _DQ,
     "published_after_gates": """
         SELECT date_trunc('day', event_time) AS event_day, device_id, count(*) AS reading_cnt,
-               max(value) AS value_max
+               max(coalesce(value, CASE WHEN minute(event_time) % 2 = 0 THEN 0.0 END)) AS value_max
         FROM readings GROUP BY ALL""",
+    "blocked_by_gates": _rollup("hour").replace("FROM readings", "FROM readings WHERE event_time < TIMESTAMP '2024-01-20'"),
     "stream_raw_readings": _GOOD,
+    "stream_replay_after_compact": _GOOD,
+    "stream_budget_raised": _GOOD,
     "stream_rollup_minute": f"""
         SELECT date_trunc('minute', event_time) AS event_minute, r.device_id, metric, site_code, {_AGGS}
         FROM messages r LEFT JOIN device d ON r.device_id = d.device_id AND d.is_active
         WHERE reason IS NULL GROUP BY ALL""",
     "stream_rollup_windowed": f"""
-        WITH good AS (SELECT * FROM messages WHERE reason IS NULL)
-        SELECT date_trunc('minute', event_time) AS event_minute, device_id, metric, {_AGGS}
+        WITH good AS (
+          SELECT r.*, site_code FROM messages r LEFT JOIN device d ON r.device_id = d.device_id AND d.is_active
+          WHERE reason IS NULL)
+        SELECT date_trunc('minute', event_time) AS event_minute, device_id, metric, site_code, {_AGGS}
         FROM good
         WHERE date_trunc('minute', event_time) + INTERVAL 1 MINUTE
               <= (SELECT max(event_time) FROM good) - INTERVAL 10 MINUTE

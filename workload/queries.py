@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import SparkRuntimeException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline import operators as ops
-from gaugeline.functions import MEASURES, time_range, today, with_avg
+from gaugeline.functions import MEASURES, time_range, with_avg
 from gaugeline.plans import catalog, gates, raw, rollups, watermark
 from gaugeline.plans import dimension as dims
 from gaugeline.plans.ingest import ingest_all, ingest_increment, load_json
@@ -36,8 +37,6 @@ DAY = "2024-01-05"
 DIGITS = {"value_sum": 4, "value_avg": 10, "avg_per_reading": 10}
 NOW = "2024-01-30 23:30:00"
 AT_ONCE = {"availableNow": True}
-# The messages hold malformed ones in proportion, so the error budget is set aside.
-ANY = 2**62
 
 
 def query(fn: Query) -> Query:
@@ -76,6 +75,16 @@ def rows_of(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).select(*READING_COLS)
 
 
+def quarantine(spark: SparkSession, table: str) -> str:
+    create_quarantine(spark, f"{table}_bad")
+    return f"{table}_bad"
+
+
+def budget(spark: SparkSession, sf_dir: str) -> int:
+    """As many malformed messages as there are."""
+    return conform(views.messages(spark, sf_dir))[1].count()
+
+
 # --- sources -----------------------------------------------------------------------------------
 
 
@@ -130,13 +139,38 @@ def json_load(spark, sf_dir):
     folder = f"{shared_root(spark)}/{unique('json_')}"
     sent = views.messages(spark, sf_dir).select("value")
     sent.write.text(f"{folder}/a")
-    sent.repartition(3).write.text(f"{folder}/b")
+    sent.repartition("value").write.text(f"{folder}/b")
     table = raw_table(spark)
     for part in ("a", "b"):
-        load_json(spark, table, f"{folder}/{part}", array=False, max_errors=ANY)
+        load_json(spark, table, f"{folder}/{part}", False, "json", budget(spark, sf_dir), quarantine(spark, table))
+    return rows_of(spark, table)
+
+
+@query
+def json_resend_after_compact(spark, sf_dir):
+    """The same messages again, after the days they went to were compacted."""
+    folder = f"{shared_root(spark)}/{unique('json_')}"
+    views.messages(spark, sf_dir).select("value").write.text(folder)
+    table = raw_table(spark, views.readings(spark, sf_dir).filter("event_time < '2024-01-02'"))
+    spent = budget(spark, sf_dir), quarantine(spark, table)
+    for _ in range(2):
+        load_json(spark, table, folder, False, "json", *spent)
+        raw.compact(spark, table, "2024-01-01", "2024-02-01")
     return rows_of(spark, table)
 
 
+@query
+def json_batch_array(spark, sf_dir):
+    """Files that are one JSON array each."""
+    folder = f"{shared_root(spark)}/{unique('json_')}"
+    sent = views.messages(spark, sf_dir).filter("value LIKE '%}'")
+    arrays = sent.groupBy(F.col("event_id").cast("long") % 64).agg(F.concat_ws(",\n", F.collect_list("value")).alias("all"))
+    whole = arrays.select(F.concat(F.lit("["), "all", F.lit("]")).alias("value"))
+    whole.repartition("value").write.option("maxRecordsPerFile", 1).text(folder)
+    good, _ = conform(read_json_batch(spark, folder, array=True))
+    return good.select(*READING_COLS)
+
+
 # --- loads and table maintenance ---------------------------------------------------------------
 
 
@@ -154,6 +188,20 @@ def increment_resume_no_dup(spark, sf_dir):
     return rows_of(spark, table)
 
 
+@query
+def load_resend_fails(spark, sf_dir):
+    """A load, and the same label again with a row that breaks the schema: nothing has changed."""
+    src = views.readings(spark, sf_dir)
+    table = raw_table(spark, src)
+    torn = src.withColumn("device_id", F.when(F.col("event_time") < "2024-01-20", F.col("device_id")))
+    try:
+        raw.load_batch(spark, table, torn, "first")
+    except SparkRuntimeException as error:
+        if "device_id missing" not in str(error):
+            raise
+    return rows_of(spark, table)
+
+
 @query
 def watermark_advance(spark, sf_dir):
     src = views.readings(spark, sf_dir)
@@ -208,8 +256,9 @@ def retention(spark, sf_dir):
 @query
 def compact_days(spark, sf_dir):
     src = views.readings(spark, sf_dir)
-    table = raw_table(spark, src.filter(F.minute("event_time") < 20), "a")
-    raw.load_batch(spark, table, src.filter(F.minute("event_time") >= 20), "b")
+    table = raw_table(spark)
+    raw.load_batch(spark, table, src.filter(F.minute("event_time") < 20), "a", done=True)
+    raw.load_batch(spark, table, src.filter(F.minute("event_time") >= 20), "b", done=True)
     raw.compact(spark, table, "2024-01-01", "2024-02-01")
     return rows_of(spark, table)
 
@@ -244,12 +293,20 @@ def rollup_avg(spark, sf_dir):
     return with_avg(ops.rollup(views.readings(spark, sf_dir), "hour"))
 
 
-def hourly_table(spark: SparkSession, measures=MEASURES) -> Rollup:
-    spec = Rollup(f"{create_lake(spark)}.agg_hourly", "hour", measures=measures)
+def hourly_table(spark: SparkSession, measures=MEASURES, complete: bool = False) -> Rollup:
+    spec = Rollup(f"{create_lake(spark)}.agg_hourly", "hour", measures=measures, complete=complete)
     rollups.create_agg(spark, spec)
     return spec
 
 
+def refreshed(spark: SparkSession, table: str, spec: Rollup, days=None, **dimension) -> Rollup:
+    """The rollup made from the table, by default for all its days."""
+    rollups.create_agg(spark, spec)
+    days = days or raw.days_of_label(spark, table, "first")
+    rollups.refresh_rollup(spark, spec, raw.readings_of(spark, table), days, source=table, **dimension)
+    return spec
+
+
 @query
 def rollup_merge_partials(spark, sf_dir):
     """Two loads that share every hour, the first of them retried."""
@@ -276,11 +333,48 @@ def mv_hourly_refresh(spark, sf_dir):
 
 @query
 def rollup_routed_daily(spark, sf_dir):
+    table = raw_table(spark, views.readings(spark, sf_dir))
+    spec = refreshed(spark, table, Rollup(f"{table}_hourly", "hour"))
+    return rollups.rollup_query(
+        spark, raw.readings_of(spark, table), [spec], "day", ["metric"], [*MEASURES, "value_avg"],
+        "2024-01-01", "2024-02-01", source=table,
+    )
+
+
+@query
+def rollup_routed_stale(spark, sf_dir):
+    """A rollup that holds the first days only, one of them overwritten since: the rest comes from
+    the readings."""
     src = views.readings(spark, sf_dir)
-    spec = hourly_table(spark)
-    rollups.load_agg(spark, spec, src, "a")
+    table = raw_table(spark, src)
+    spec = refreshed(spark, table, Rollup(f"{table}_hourly", "hour"), [f"2024-01-{d:02d}" for d in range(1, 11)])
+    raw.overwrite_day(spark, table, stale(read_day(src, DAY)), DAY)
+    return rollups.rollup_query(
+        spark, raw.readings_of(spark, table), [spec], "day", ["metric"], ["reading_cnt", "value_sum"],
+        "2024-01-01", "2024-02-01", source=table,
+    )
+
+
+@query
+def rollup_routed_filtered(spark, sf_dir):
+    """One metric, some devices."""
+    table = raw_table(spark, views.readings(spark, sf_dir))
+    spec = refreshed(spark, table, Rollup(f"{table}_hourly", "hour"))
+    return rollups.rollup_query(
+        spark, raw.readings_of(spark, table), [spec], "day", ["device_id"], ["reading_cnt", "value_sum"],
+        "2024-01-03", "2024-01-28", where={"metric": ["click"], "device_id": list(range(40))}, source=table,
+    )
+
+
+@query
+def rollup_routed_split(spark, sf_dir):
+    """Whole days from the daily rollup, the hours at both ends from the hourly one, the rest of
+    them from the readings."""
+    table = raw_table(spark, views.readings(spark, sf_dir))
+    specs = [refreshed(spark, table, Rollup(f"{table}_{grain}", grain, ("metric",))) for grain in ("hour", "day")]
     return rollups.rollup_query(
-        spark, src, [spec], "day", ["metric"], [*MEASURES, "value_avg"], "2024-01-01", "2024-02-01"
+        spark, raw.readings_of(spark, table), specs, None, ["metric"], [*MEASURES, "value_avg"],
+        "2024-01-03 10:30:00", "2024-01-28 09:17:00", source=table,
     )
 
 
@@ -288,8 +382,8 @@ def rollup_routed_daily(spark, sf_dir):
 def rollup_routed_slice(spark, sf_dir):
     """A range off the hour, so that only the minute rollup can answer it."""
     src = views.readings(spark, sf_dir)
-    hourly = hourly_table(spark)
-    minute = Rollup(f"{hourly.table}_minute", "minute")
+    hourly = hourly_table(spark, complete=True)
+    minute = Rollup(f"{hourly.table}_minute", "minute", complete=True)
     rollups.create_agg(spark, minute)
     for spec in (hourly, minute):
         rollups.load_agg(spark, spec, src, "a")
@@ -324,6 +418,26 @@ def dim_upsert_delete(spark, sf_dir):
     return dims.read_dim(spark, table)
 
 
+@query
+def dim_upsert_rejects(spark, sf_dir):
+    """Changes of which some cannot be applied, twice: reasons, and how many devices are served."""
+    seq = F.col("seq")
+    torn = views.device_changes(spark, sf_dir).withColumns(
+        {
+            "device_id": F.when(seq % 50 != 0, F.col("device_id")),
+            "__op": F.when(seq % 50 == 1, 2).when(seq % 50 != 2, F.col("__op")),
+            "site_code": F.when(seq % 50 == 3, F.repeat(F.lit("s"), F.lit(33))).otherwise(F.col("site_code")),
+        }
+    )
+    table = f"{create_lake(spark)}.dim"
+    dims.create_dim(spark, table, CHANGED_DEVICE)
+    bad = quarantine(spark, table)
+    for _ in range(2):
+        dims.upsert(spark, table, torn, order=("updated_at", "seq"), quarantine=bad)
+    reasons = spark.table(bad).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return reasons.unionByName(dims.read_dim(spark, table).agg(F.lit("served").alias("reason"), F.count(F.lit(1)).alias("n")))
+
+
 @query
 def fact_dim_join(spark, sf_dir):
     return ops.with_device(views.readings(spark, sf_dir), views.device(spark, sf_dir))
@@ -340,6 +454,18 @@ def fact_dim_bucketed(spark, sf_dir):
     return joined.select(*READING_COLS, "device_name", "site_code", "is_active")
 
 
+@query
+def fact_dim_hot(spark, sf_dir):
+    """As before, where one device has a third of all rows and the tables have 32 buckets."""
+    hot = F.when(F.minute("event_time") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("device_id"))
+    fact = raw_table(spark, views.readings(spark, sf_dir).withColumn("device_id", hot), buckets=32)
+    dim = f"{fact}_dim"
+    dims.create_dim(spark, dim, buckets=32)
+    dims.upsert(spark, dim, views.device(spark, sf_dir))
+    joined = ops.colocated_join(raw.readings_of(spark, fact), dims.read_dim(spark, dim), buckets=catalog.bucket_count(spark, fact))
+    return joined.select(*READING_COLS, "site_code")
+
+
 def active(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension that does not know every device."""
     return views.device(spark, sf_dir).filter("is_active")
@@ -379,7 +505,7 @@ def site_topn(spark, sf_dir):
 
 def site_table(spark: SparkSession, sf_dir: str) -> Rollup:
     """Readings with their site, folded per day and stored."""
-    spec = Rollup(f"{create_lake(spark)}.agg_site", "day", STREAM_KEYS)
+    spec = Rollup(f"{create_lake(spark)}.agg_site", "day", STREAM_KEYS, complete=True)
     rollups.create_agg(spark, spec)
     rollups.load_agg(spark, spec, views.readings(spark, sf_dir), "a", views.device(spark, sf_dir))
     return spec
@@ -400,6 +526,32 @@ def site_groupby_routed(spark, sf_dir):
     )
 
 
+@query
+def site_groupby_off_border(spark, sf_dir):
+    """From half past ten: the daily rollup with the site gives the whole days, the readings and the
+    dimension the rest of the first."""
+    table = raw_table(spark, views.readings(spark, sf_dir))
+    dim = f"{table}_dim"
+    dims.create_dim(spark, dim)
+    dims.upsert(spark, dim, views.device(spark, sf_dir))
+    device = dims.read_dim(spark, dim)
+    spec = Rollup(f"{table}_site", "day", ("site_code", "metric"))
+    refreshed(spark, table, spec, dim=device, dim_table=dim)
+    return rollups.rollup_query(
+        spark, raw.readings_of(spark, table), [spec], None, ["site_code", "metric"],
+        ["reading_cnt", "value_sum", "value_max"], "2024-01-03 10:30:00", "2024-01-28",
+        source=table, dim=device, dim_table=dim,
+    )
+
+
+@query
+def topn_tiny_values(spark, sf_dir):
+    """Ranks of sums far below one."""
+    tiny = views.readings(spark, sf_dir).withColumn("value", F.col("value") / 1e9)
+    ranked = ops.topn(tiny, "device_id", "view", 10, "2024-01-03", "2024-01-28")
+    return ranked.withColumn("value_sum", F.col("value_sum") * 1e9)
+
+
 @query
 def topn_devices(spark, sf_dir):
     return ops.topn(views.readings(spark, sf_dir), "device_id", "view", 10, "2024-01-03", "2024-01-28")
@@ -431,37 +583,58 @@ def dq_table_report(spark, sf_dir):
     return gates.report(spark, table, NOW).withColumn("observed", F.round("observed", 6))
 
 
+def sound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of which few enough have lost their value."""
+    readings = views.readings(spark, sf_dir)
+    return readings.withColumn("value", F.coalesce("value", F.when(F.minute("event_time") % 2 == 0, 0.0)))
+
+
 @query
 def published_after_gates(spark, sf_dir):
     """A whole run: increments into the raw table, the gates, and only then the rollup."""
-    src = views.readings(spark, sf_dir)
+    src = sound(spark, sf_dir)
     table = raw_table(spark)
     watermark.create_control(spark, f"{table}_control")
     passed = ingest_all(spark, src, table, f"{table}_control", "readings", limit=-(-src.count() // 2))
     spec = hourly_table(spark)
     stored = raw.readings_of(spark, table)
     days = {spec["event_date"] for spec in catalog.partitions(spark, table)}
-    checks = [
-        ops.RowCount(1, today(passed[-1])),
-        ops.NullRatio("value", 0.5, today(passed[-1])),
-        ops.Fresh("event_time", 60, as_of=passed[-1]),
-    ]
-    newest = gates.newest_rows(spark, table, passed[-1])
-    ops.publish(newest, checks, lambda: rollups.refresh_rollup(spark, spec, stored, days), table)
+    gates.publish_if_sound(
+        spark, table, lambda: rollups.refresh_rollup(spark, spec, stored, days, source=table), passed[-1]
+    )
     return rollups.rollup_query(
-        spark, stored, [spec], "day", ["device_id"], ["reading_cnt", "value_max"], "2024-01-01", "2024-02-01"
+        spark, stored, [spec], "day", ["device_id"], ["reading_cnt", "value_max"], "2024-01-01", "2024-02-01", source=table
     )
 
 
+@query
+def blocked_by_gates(spark, sf_dir):
+    """Too many readings of the last day have lost their value: the rollup stays as it was."""
+    src = views.readings(spark, sf_dir)
+    src = src.withColumn("value", F.when(F.col("event_time") < "2024-01-30", F.col("value")))
+    table = raw_table(spark, time_range(src, end="2024-01-20"))
+    spec = refreshed(spark, table, Rollup(f"{table}_hourly", "hour"))
+    raw.load_batch(spark, table, time_range(src, "2024-01-20"), "second")
+    stored = raw.readings_of(spark, table)
+    try:
+        gates.publish_if_sound(
+            spark, table, lambda: rollups.refresh_rollup(spark, spec, stored, raw.days_of_label(spark, table, "second"), source=table), NOW
+        )
+    except ops.DataQualityError:
+        pass
+    return rollups.read_agg(spark, spec).drop(spec.slot)
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
-def topic(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """The messages as a stream, in order of arrival, and a folder for its checkpoint."""
+def topic(spark: SparkSession, sf_dir: str, files_at_once: int = 2) -> tuple[DataFrame, str]:
+    """The messages as a stream, and a folder for its checkpoint. Files hold a fifth of them at most."""
     folder = f"{shared_root(spark)}/{unique('topic_')}"
-    sent = views.messages(spark, sf_dir).repartitionByRange(4, "event_id").sortWithinPartitions("event_id")
-    sent.select("value").write.text(f"{folder}/messages")
-    source = read_stream(spark, "text", {"path": f"{folder}/messages", "maxFilesPerTrigger": "2"})
+    sent = views.messages(spark, sf_dir)
+    ordered = sent.repartitionByRange("event_id").sortWithinPartitions("event_id").select("value")
+    ordered.write.option("maxRecordsPerFile", -(-sent.count() // 5)).text(f"{folder}/messages")
+    source = read_stream(spark, "text", {"path": f"{folder}/messages", "maxFilesPerTrigger": str(files_at_once)})
     return source, f"{folder}/checkpoint"
 
 
@@ -473,7 +646,40 @@ def run(stream) -> None:
 def stream_raw_readings(spark, sf_dir):
     source, checkpoint = topic(spark, sf_dir)
     table = raw_table(spark)
-    run(stream_raw(spark, source, table, "raw", checkpoint, ANY, trigger=AT_ONCE))
+    spent = budget(spark, sf_dir), quarantine(spark, table)
+    run(stream_raw(spark, source, table, "raw", checkpoint, *spent, trigger=AT_ONCE))
+    return rows_of(spark, table)
+
+
+@query
+def stream_replay_after_compact(spark, sf_dir):
+    """The last micro-batch again, as after a crash before its commit, with a compaction in between."""
+    source, checkpoint = topic(spark, sf_dir)
+    table = raw_table(spark)
+    spent = budget(spark, sf_dir), quarantine(spark, table)
+    query = stream_raw(spark, source, table, "raw", checkpoint, *spent, trigger=AT_ONCE)
+    run(query)
+    last = max(p["batchId"] for p in query.recentProgress)
+    raw.compact(spark, table, "2024-01-01", "2024-02-01")
+    catalog.remove_folder(spark, f"{checkpoint}/commits/{last}")
+    run(stream_raw(spark, source, table, "raw", checkpoint, *spent, trigger=AT_ONCE))
+    return rows_of(spark, table)
+
+
+@query
+def stream_budget_raised(spark, sf_dir):
+    """Stopped by the first malformed messages, then started again with a budget for them."""
+    source, checkpoint = topic(spark, sf_dir)
+    table = raw_table(spark)
+    spent = budget(spark, sf_dir), quarantine(spark, table)
+    try:
+        run(stream_raw(spark, source, table, "raw", checkpoint, 0, spent[1], AT_ONCE))
+    except StreamingQueryException as error:
+        if "malformed messages, limit 0" not in str(error):
+            raise
+    if spark.table(table).count() or spark.table(spent[1]).count():
+        raise AssertionError("a batch over the budget left something")
+    run(stream_raw(spark, source, table, "raw", checkpoint, *spent, trigger=AT_ONCE))
     return rows_of(spark, table)
 
 
@@ -483,24 +689,28 @@ def stream_rollup_minute(spark, sf_dir):
     source, checkpoint = topic(spark, sf_dir)
     spec = Rollup(f"{create_lake(spark)}.agg_minute", "minute", STREAM_KEYS)
     rollups.create_agg(spark, spec)
-    run(stream_rollup(spark, source, spec, "minute", checkpoint, active(spark, sf_dir), ANY, trigger=AT_ONCE))
+    spent = budget(spark, sf_dir), quarantine(spark, spec.table)
+    run(stream_rollup(spark, source, spec, "minute", checkpoint, active(spark, sf_dir), *spent, trigger=AT_ONCE))
     compact_stream_rollup(spark, spec)
     return rollups.read_agg(spark, spec).drop(spec.slot)
 
 
 @query
 def stream_rollup_windowed(spark, sf_dir):
-    source, checkpoint = topic(spark, sf_dir)
+    source, checkpoint = topic(spark, sf_dir, files_at_once=1_000_000)
     out = f"{checkpoint}_out"
-    run(stream_rollup_bounded(source, out, checkpoint, "10 minutes", trigger=AT_ONCE))
-    return spark.read.parquet(out).drop("site_code")
+    bad = quarantine(spark, f"{create_lake(spark)}.windowed")
+    for query in stream_rollup_bounded(
+        spark, source, out, "windowed", checkpoint, bad, "10 minutes", active(spark, sf_dir), budget(spark, sf_dir), AT_ONCE
+    ):
+        run(query)
+    return spark.read.parquet(out)
 
 
 @query
 def stream_quarantine(spark, sf_dir):
     source, checkpoint = topic(spark, sf_dir)
     table = raw_table(spark)
-    bad = f"{table}_bad"
-    create_quarantine(spark, bad)
-    run(stream_raw(spark, source, table, "raw", checkpoint, ANY, bad, trigger=AT_ONCE))
+    bad = quarantine(spark, table)
+    run(stream_raw(spark, source, table, "raw", checkpoint, budget(spark, sf_dir), bad, trigger=AT_ONCE))
     return spark.table(bad).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

@@ -79,7 +79,8 @@ def device_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON messages, some malformed: the payload number ``k`` says how.
 
-    0: bad time, 1: text as value, 2: no device, 3: cut off, 4: NULL as value.
+    0: bad time, 1: text as value, 2: no device, 3: cut off, 4: NULL as value, 5: a time without a
+    date, 6: a year alone, 7: parts without their zeros.
     """
     how = F.get_json_object("props", "$.k").cast("int")
     # A generator, so that the number is taken from the text once per row.
@@ -91,7 +92,11 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.concat(F.lit(', "value": '), F.col("value").cast("string"))
     text = F.concat(
         F.lit('{"event_time": "'),
-        F.when(k == 0, F.lit("yesterday")).otherwise(iso),
+        F.when(k == 0, F.lit("yesterday"))
+        .when(k == 5, F.date_format("ts", "'T'HH:mm:ss"))
+        .when(k == 6, F.date_format("ts", "yyyy"))
+        .when(k == 7, F.date_format("ts", "yyyy-M-d H:m:s"))
+        .otherwise(iso),
         F.when(k == 2, F.lit('"')).otherwise(
             F.concat(F.lit('", "device_id": '), F.col("user_id").cast("string"))
         ),
@@ -125,10 +130,10 @@ VIEWS = {
                o_orderkey AS seq, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS op
         FROM orders""",
     "messages": """
-        SELECT CASE WHEN k = 0 THEN NULL ELSE ts END AS event_time,
+        SELECT CASE WHEN k IN (0, 5, 6, 7) THEN NULL ELSE ts END AS event_time,
                CASE WHEN k = 2 THEN NULL ELSE user_id END AS device_id, event_type AS metric,
                CASE WHEN k IN (1, 4) THEN NULL ELSE value END AS value,
-               CASE WHEN k = 0 THEN 'event_time invalid' WHEN k = 2 THEN 'device_id missing'
+               CASE WHEN k IN (0, 5, 6, 7) THEN 'event_time invalid' WHEN k = 2 THEN 'device_id missing'
                     WHEN k = 3 THEN 'not a JSON object' END AS reason
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""",
 }
