@@ -8,8 +8,14 @@ once more than the others, follows from a seed.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import WORD, written
 
@@ -152,16 +158,35 @@ def mixed_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", chars:
     """
     names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     rows = written(df.toDF(*names.values()).withColumn("row", F.monotonically_increasing_id()))
-    body = F.col(names[text])
     chosen = spans(rows, names[doc_id], names[text], names[options.pop("source", "source")], row="row", **options)
     most = F.array_max(F.col("spans.times"))
     copies = chosen.where(F.size("spans") > 0).where(most > 0).select("row", "spans", F.explode(F.sequence(F.lit(1).cast("long"), most)).alias("copy"))
-    whole = rows.join(copies, "row")
-    listed = F.regexp_extract_all(body, F.lit(WORD), F.lit(0))
-    taken = F.filter("spans", lambda s: s["times"] >= F.col("copy"))
-    kept = F.array_join(F.flatten(F.transform(taken, lambda s: F.slice(F.col("_words"), s["from"].cast("int"), s["words"].cast("int")))), " ")
-    cut = whole.withColumn("_all", F.size(taken) == F.size("spans"))
-    cut = cut.withColumn("_words", F.when(~F.col("_all"), listed))
-    cut = cut.withColumn("_kept", F.when(F.col("_all"), body).otherwise(kept))
-    out = [F.col("_kept").alias(c) if c == text else F.length("_kept").cast(df.schema[c].dataType).alias(c) if c == chars else F.col(v).alias(c) for c, v in names.items()]
-    return cut.select(*out)
+    whole = rows.join(copies, "row").drop("row")
+    kept = df.schema.fields
+    schema = T.StructType([T.StructField(names[f.name], f.dataType, f.nullable) for f in kept])
+    at, spans_at, copy_at = whole.columns.index(names[text]), whole.columns.index("spans"), whole.columns.index("copy")
+    chars_at = whole.columns.index(names[chars]) if chars in names else None
+    order = [whole.columns.index(c) for c in schema.names]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = re.compile(WORD).findall
+        for batch in batches:
+            parts = batch.column(spans_at)
+            ends = np.asarray(parts.offsets)
+            first, words, times = (np.asarray(parts.values.field(i)) for i in range(3))
+            copy = np.asarray(batch.column(copy_at))
+            texts = batch.column(at).to_pylist()
+            for i in range(batch.num_rows):
+                own = slice(ends[i], ends[i + 1])
+                taken = times[own] >= copy[i]
+                if not taken.all():
+                    listed = find(texts[i])
+                    begin, stop = first[own][taken] - 1, first[own][taken] - 1 + words[own][taken]
+                    texts[i] = " ".join([w for b, e in zip(begin.tolist(), stop.tolist()) for w in listed[b:e]])
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, columns[at].type)
+            if chars_at is not None:
+                columns[chars_at] = pa.array([len(t) for t in texts], columns[chars_at].type)
+            yield pa.RecordBatch.from_arrays([columns[i] for i in order], schema.names)
+
+    return whole.mapInArrow(cut, schema).toDF(*names)
