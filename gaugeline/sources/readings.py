@@ -37,7 +37,7 @@ def increment_cutoff(
     An ordered limit would gather ``limit`` rows of every partition in one task. Counting rows
     per time bucket and narrowing to the bucket that holds the ``limit``-th row needs only one
     column and partial counts, whatever the limit. Where no more than ``limit`` rows are left, as
-    in steady state, the first count is the only one. A limit of 0 finds nothing.
+    in steady state, one count of all of them is enough. A limit of 0 finds nothing.
     """
     if limit is not None and limit < 0:
         raise ValueError(f"limit {limit} is negative")
@@ -45,13 +45,13 @@ def increment_cutoff(
         return None
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     inside = _above(src, low, ts)
-    if limit is None:
-        newest = inside.agg(F.max(micros)).first()[0]
-        return None if newest is None else _from_micros(newest)
+    told = inside.agg(F.count(F.lit(1)).alias("n"), F.max(micros).alias("newest")).first()
+    if not told["n"]:
+        return None
+    if limit is None or told["n"] <= limit:
+        return _from_micros(told["newest"])
 
     cut = _bucket_of_nth(inside, micros, _WIDTHS[0], limit)
-    if cut is None:
-        return None
 
     left = limit
     for width, finer in zip(_WIDTHS, (*_WIDTHS[1:], None)):

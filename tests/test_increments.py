@@ -55,12 +55,12 @@ def test_cutoff_is_the_nth_oldest(spark, gap, seed):
 
 
 def test_steady_state_takes_one_count(spark, monkeypatch):
-    """Where no more than the limit is left, the first count is the only job before the read."""
+    """Where no more than the limit is left, one count is the only job before the read."""
     src = readings(spark, [(f"2024-01-0{d} 00:00:0{s}", 1, "m", 1.0) for d in (1, 2, 3) for s in range(1, 6)])
     seen = []
     real = source._bucket_of_nth
     monkeypatch.setattr(source, "_bucket_of_nth", lambda df, *a: seen.append(plan_text(df)) or real(df, *a))
-    for low, limit, jobs in (("2024-01-02 00:00:02", 100, 1), ("2024-01-02 00:00:02", 8, 1), ("2024-01-03 00:00:05", 5, 1), ("2024-01-01", 5, 1)):
+    for low, limit, jobs in (("2024-01-02 00:00:02", 100, 0), ("2024-01-02 00:00:02", 8, 0), ("2024-01-03 00:00:05", 5, 0), ("2024-01-01", 5, 1)):
         seen.clear()
         increment_cutoff(src, low, limit)
         assert len(seen) == jobs
