@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 
 from .common import slices
 
+#: States and pre-tokens that an encoder keeps: some 300 MB in all.
+MEMO = 300_000
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -44,32 +46,25 @@ def merge_all(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
-class _State(dict):
-    """Byte -> (next state, tokens given out)."""
-
-    __slots__ = ("prior", "read", "last", "cuts", "live", "left")
-
-    def __init__(self, prior: int, read: bytes, last: tuple, cuts: tuple, live: tuple):
-        self.prior = prior  # last token given out, -1 at the start or where no later token asks for it
-        self.read = read  # bytes since
-        self.last = last  # last token of the encoding of each prefix of them
-        self.cuts = cuts  # bit p of cuts[n]: the encoding of the first n bytes has a cut at p
-        self.live = live  # places at which a token that is still being read may begin
-        self.left: tuple | None = None  # tokens of what was read, given out if the input ends here
-
-
 class Transducer:
     """Encodes one pre-token at a time. ``max_states`` bounds memory: when reached, all states are
     forgotten and made again as needed, which changes nothing in the output."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000, max_pairs: int = 1_000_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = MEMO, max_pairs: int = 300_000):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.max_states, self.max_pairs = max_states, max_pairs
         # A token that the merges don't build from its own bytes never ends an encoding.
         self.built = {token: rank for token, rank in ranks.items() if merge_all(token, ranks) == [rank]}
         self.prefixes = {token[:i] for token in self.built for i in range(len(token) + 1)}
         self.ordered, self.rights, self.lefts = self._edges()
+        # Tokens that go on from a beginning, where these are few.
+        longer: dict[bytes, list[int]] = {}
+        for token, rank in self.built.items():
+            for i in range(1, len(token)):
+                longer.setdefault(token[:i], []).append(rank)
+        self.longer = {begun: tuple(tokens) for begun, tokens in longer.items() if len(tokens) <= 4}
         self.pairs: dict[tuple[int, int], bool] = {}
         self._clear()
 
@@ -92,19 +87,43 @@ class Transducer:
         return ordered, rights, lefts
 
     def _clear(self) -> None:
-        self.states: dict[tuple, _State] = {}
+        # A state is the last token given out (-1 where any would do), the bytes read since, the last
+        # token of the encoding of each prefix of them, and the places at which a token that is
+        # still being read may begin.
+        self.states: list[tuple[int, bytes, tuple, tuple]] = []
+        self.numbers: dict[tuple[int, bytes, tuple], int] = {}
+        # By state and byte: the next state, as its complement if tokens are given out on the way.
+        self.steps: dict[int, int] = {}
+        self.given: dict[int, tuple] = {}
+        self.left: dict[int, tuple] = {}
+        self.places: dict[tuple, tuple] = {}
         if len(self.pairs) > self.max_pairs:
             self.pairs.clear()
-        self.start = self._state(-1, b"", (), (1,), (0,))
+        self._number(-1, b"", (), [0])
 
-    def _state(self, prior: int, read: bytes, last: tuple, cuts: tuple, live: tuple) -> _State:
-        if 0 not in live:
+    def _number(self, prior: int, read: bytes, last: tuple, live: list) -> int:
+        """The state's number. Where no token that is still being read from the first place on could
+        be refused, the token before it is left out, so that more ways lead to one state."""
+        if live[0] or self._all_follow(prior, read):
             prior = -1
-        key = (prior, read, last)
-        found = self.states.get(key)
-        if found is None:
-            found = self.states[key] = _State(prior, read, last, cuts, live)
-        return found
+        number = self.numbers.get((prior, read, last))
+        if number is None:
+            number = self.numbers[prior, read, last] = len(self.states)
+            places = tuple(live)
+            self.states.append((prior, read, last, self.places.setdefault(places, places)))
+        return number
+
+    def _all_follow(self, prior: int, read: bytes) -> bool:
+        longer = self.longer.get(read)
+        if prior < 0 or longer is None:
+            return prior < 0
+        for token in longer:
+            fits = self.pairs.get((prior, token))
+            if fits is None:
+                fits = self.pairs[prior, token] = self._follows(prior, token)
+            if not fits:
+                return False
+        return True
 
     def _follows(self, left: int, right: int) -> bool:
         """Whether the merges keep the border between two tokens."""
@@ -135,35 +154,46 @@ class Transducer:
             end -= len(self.bytes_of[last[end - 1]])
         return tuple(tokens[::-1])
 
-    def _step(self, state: _State, byte: int) -> tuple:
-        read = state.read + bytes((byte,))
-        n = len(read)
-        for at in state.live:
-            token = self.built.get(read[at:])
-            if token is not None:
-                before = state.last[at - 1] if at else state.prior
-                if before < 0:
-                    break
-                fits = self.pairs.get((before, token))
+    def _step(self, number: int, byte: int) -> int:
+        prior, begun, last, open_ = self.states[number]
+        read = begun + bytes((byte,))
+        pairs, sizes, n = self.pairs, self.sizes, len(read)
+        at, live = -1, []
+        for p in open_:
+            part = read[p:]
+            if part not in self.prefixes:
+                continue
+            live.append(p)
+            if at < 0 and part in self.built:
+                token = self.built[part]
+                before = last[p - 1] if p else prior
+                fits = before < 0 or pairs.get((before, token))
                 if fits is None:
-                    fits = self.pairs[before, token] = self._follows(before, token)
+                    fits = pairs[before, token] = self._follows(before, token)
                 if fits:
-                    break
-        last = (*state.last, token)
-        cuts = (*state.cuts, state.cuts[at] | 1 << n)
-        live = (*[p for p in state.live if read[p:] in self.prefixes], n)
-        agreed = cuts[n]
+                    at = p
+        token = self.built[read[at:]]
+        last += (token,)
+        # Bit p: the encodings up to here and up to each live place have a cut at p.
+        agreed = 1 << n | 1
+        while at:
+            agreed |= 1 << at
+            at -= sizes[last[at - 1]]
         for p in live:
-            agreed &= cuts[p]
+            cuts = 1
+            while p:
+                cuts |= 1 << p
+                p -= sizes[last[p - 1]]
+            agreed &= cuts
         base = agreed.bit_length() - 1
-        given = ()
-        prior = state.prior
-        if base:
-            given = self._tokens(last, base)
-            prior, read, last = given[-1], read[base:], last[base:]
-            cuts, live = tuple([c >> base for c in cuts[base:]]), tuple([p - base for p in live])
-        step = state[byte] = (self._state(prior, read, last, cuts, live), given)
-        return step
+        live.append(n)
+        if not base:
+            following = self.steps[number << 8 | byte] = self._number(prior, read, last, live)
+            return following
+        given = self.given[number << 8 | byte] = self._tokens(last, base)
+        following = self._number(given[-1], read[base:], last[base:], [p - base for p in live])
+        following = self.steps[number << 8 | byte] = ~following
+        return following
 
     def encode(self, piece: bytes) -> tuple:
         """Tokens of one pre-token. One that is a token as a whole stays whole."""
@@ -172,17 +202,20 @@ class Transducer:
             return (whole,)
         if len(self.states) > self.max_states:
             self._clear()
-        state, out = self.start, ()
+        state, out, steps = 0, (), self.steps
         for byte in piece:
-            step = state.get(byte)
-            if step is None:
-                step = self._step(state, byte)
-            state, given = step
-            if given:
-                out += given
-        if state.left is None:
-            state.left = self._tokens(state.last, len(state.read))
-        return out + state.left
+            following = steps.get(state << 8 | byte)
+            if following is None:
+                following = self._step(state, byte)
+            if following < 0:
+                out += self.given[state << 8 | byte]
+                following = ~following
+            state = following
+        left = self.left.get(state)
+        if left is None:
+            _, read, last, _ = self.states[state]
+            left = self.left[state] = self._tokens(last, len(read))
+        return out + left
 
 
 def _parts(token: bytes) -> set[bytes]:
@@ -190,13 +223,14 @@ def _parts(token: bytes) -> set[bytes]:
 
 
 class Encoder:
-    """Whole texts. The memo holds the pre-tokens seen of late, at most twice ``max_pieces``."""
+    """Whole texts. The memo holds the pre-tokens seen of late, at most twice ``memo``, and the
+    transducer as many states as ``memo``."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, max_pieces: int = 300_000):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, memo: int = MEMO):
+        self.transducer = Transducer(ranks, memo)
         self.stream = Utf8Stream(self.transducer.bytes_of)
         self.find = regex.compile(pattern).findall
-        self.max_pieces = max_pieces
+        self.max_pieces = memo
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
@@ -285,15 +319,15 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[tuple[str, str, int], Encoder] = {}
 
 
-def encoder_for(data: bytes, pattern: str) -> Encoder:
+def encoder_for(data: bytes, pattern: str, memo: int) -> Encoder:
     """One encoder per process and vocabulary, so that its states serve all tasks of a worker."""
-    key = (hashlib.sha256(data).hexdigest(), pattern)
+    key = (hashlib.sha256(data).hexdigest(), pattern, memo)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(read_ranks(data), pattern)
+        _encoders[key] = Encoder(read_ranks(data), pattern, memo)
         # Tables of many small objects that stay: searching them for cycles again and again is in vain.
         gc.collect()
         gc.freeze()
@@ -308,12 +342,15 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
     with_ids: bool = True,
     with_text: bool = False,
+    memo: int = MEMO,
+    keep: bool = True,
 ) -> DataFrame:
     """``df`` with ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked for, ``token_ids``
     (array of int) and ``decoded`` (string) after its own columns.
 
     Null counts as empty: no tokens, digests of no bytes. Columns of those names are replaced.
-    Rows stay where they are. The driver reads ``rank_file`` and broadcasts its bytes, whose size
+    Rows stay where they are. Workers keep the encoder, with ``memo`` entries of each kind, for
+    their next task, unless ``keep`` is false, where other work follows in the same workers. The driver reads ``rank_file`` and broadcasts its bytes, whose size
     is that of a vocabulary.
     """
     with open(rank_file or public_tokenizers.path(RANK_FILE), "rb") as f:
@@ -325,7 +362,7 @@ def encode(
     schema = T.StructType([*kept.schema.fields, *[T.StructField(n, t) for n, t in added]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_for(data.value, pattern)
+        encoder = encoder_for(data.value, pattern, memo)
         stream = encoder.stream
         for batch in batches:
             for piece in slices(batch, at):
@@ -344,6 +381,8 @@ def encode(
                 new = [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
                 new += [pa.array(ids, pa.list_(pa.int32()))] * with_ids + [pa.array(texts, pa.string())] * with_text
                 yield pa.RecordBatch.from_arrays([*piece.columns, *new], schema.names)
+        if not keep:
+            _encoders.clear()
 
     return kept.mapInArrow(run, schema)
 
