@@ -5,38 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeline.llm import bpe, exact_dedup, language, mixing, near_dedup
-from gaugeline.llm.common import table, written
-from gaugeline.session import configure
+from gaugeline.llm.common import prepared, table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without letters, or of unknown grams, go."""
-    configure(spark)
+    prepared(spark)
     return language.keep_identified(docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts equal up to white space."""
-    configure(spark)
+    prepared(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by similarities of 0.8 or more of their five-word shingles."""
-    configure(spark)
+    prepared(spark)
     return near_dedup.drop_near_copies(docs, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words the mix takes: copy k of a document has those taken k times or more."""
-    configure(spark)
+    prepared(spark)
     return mixing.mixed_rows(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of them and of the text they decode to."""
-    configure(spark)
-    return bpe.encode(docs).select("doc_id", "lang", "source", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256")
+    prepared(spark)
+    return bpe.encode(docs, memo=60_000, keep=False).select("doc_id", "lang", "source", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [

@@ -10,13 +10,21 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_root, unique
+from ..session import configure, shared_root, unique
 
 #: Space and the controls 9 to 13, the only characters that separate words here.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """Session settings of this folder: those of the library, and small Arrow batches, as a row is a
+    whole text. Batches are held on both sides of the pipe."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,7 +46,7 @@ def remainder(doc_id: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts, F.lit(-1))
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each piece has about ``limit`` bytes of text, one row at least.
 
     Bounds the scratch arrays of vectorised code whatever the batch size and text lengths are.

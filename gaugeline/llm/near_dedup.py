@@ -95,7 +95,7 @@ def sketched(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, 3, 2 << 20):
+            for piece in slices(batch, 3, 1 << 19):
                 sets = shingle_sets(piece.column(3))
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays([
@@ -192,8 +192,8 @@ def _sets_of(df: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFr
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
                 sets = shingle_sets(pa.array([unpack.decompress(t) for t in part.column(1).to_pylist()], pa.binary()))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["set", "shingles"])
 

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
 from . import bpe, exact_dedup, language, mixing, near_dedup, ppm, sketches, snapshots, toxicity, url_rules
-from .common import remainder, table
+from .common import prepared, remainder, table
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = remainder("doc_id", 4) == 2
     model = language.learn(docs.where(~out))
@@ -22,17 +21,17 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     return ppm.score(table(spark, sf_dir, "documents"), remainder("doc_id", 10) == 0)
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = remainder("doc_id", 3) == 1
     model = toxicity.learn(docs.where(~out), table(spark, sf_dir, "labels").where(~out))
@@ -40,12 +39,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     return near_dedup.decide(table(spark, sf_dir, "documents"))
 
 
@@ -53,24 +52,24 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 
 
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     listed = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {listed} AS r(host, path, verdict)")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
 def op8_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     return snapshots.render(table(spark, sf_dir, "conversations"))
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     return sketches.compare(table(spark, sf_dir, "documents"))
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
