@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from datetime import timedelta
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -257,3 +258,45 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _folders_in_use(spark: SparkSession, database: str) -> set[str]:
+    """Folders that tables and partitions of the database point to."""
+    used = set()
+    sessions = spark._jsparkSession.sessionState().catalog()
+    for found in spark.catalog.listTables(database):
+        if found.isTemporary:
+            continue
+        name = sessions.qualifyIdentifier(spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(f"{database}.{found.name}"))
+        used.add(table_location(spark, f"{database}.{found.name}"))
+        if partition_columns(spark, f"{database}.{found.name}"):
+            parts = sessions.listPartitions(name, spark._jvm.scala.Option.empty()).iterator()
+            while parts.hasNext():
+                used.add(parts.next().location().toString())
+    return used
+
+
+def clean_staged(spark: SparkSession, database: str, older_than: timedelta) -> list[str]:
+    """Remove what jobs that died, or versions since replaced, left beside the tables; returns it.
+
+    Only folders are removed that no table points to and whose last change is longer ago than
+    ``older_than``, which must exceed the longest job and the longest reader. A swap that a dead
+    driver noted is finished first.
+    """
+    for found in spark.catalog.listTables(database):
+        if not found.isTemporary:
+            finish_swap(spark, f"{database}.{found.name}")
+    used = {path.split("/_staged/")[1].split("/")[0] for path in _folders_in_use(spark, database) if "/_staged/" in path}
+    root = f"{lake_location(spark, f'{database}.any')}/_staged"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(root)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    limit = jvm.java.lang.System.currentTimeMillis() - int(older_than.total_seconds() * 1000)
+    gone = []
+    for status in files.listStatus(target):
+        if status.getPath().getName() not in used and status.getModificationTime() < limit:
+            files.delete(status.getPath(), True)
+            gone.append(status.getPath().getName())
+    return sorted(gone)

@@ -11,8 +11,10 @@ from ..functions.times import as_datetime, as_text
 from ..schemas import BATCH_LIMIT, WATERMARK_FLOOR
 from ..sources.conform import parse, split
 from ..sources.json_batch import read_json_batch
+from ..session import lake_location, unique
 from ..sources.readings import read_increment
 from . import labels
+from .catalog import remove_folder
 from .raw import label_for, load_batch
 from .rejects import check_budget, keep_rejects, need_quarantine
 from .watermark import get_watermark, set_watermark
@@ -76,8 +78,29 @@ def load_json(
     malformed messages fail the load; fewer go to ``quarantine``, without which none is tolerated.
     """
     need_quarantine(max_errors, quarantine)
-    parsed = parse(read_json_batch(spark, path, array))
-    digest = F.xxhash64("payload")
+    staged = f"{lake_location(spark, table)}/_staged/{unique('json_')}"
+    try:
+        return _load_staged(spark, table, read_json_batch(spark, path, array), staged, name, max_errors, quarantine, as_of)
+    finally:
+        remove_folder(spark, staged)
+
+
+def _load_staged(
+    spark: SparkSession,
+    table: str,
+    lines: DataFrame,
+    staged: str,
+    name: str,
+    max_errors: int,
+    quarantine: str | None,
+    as_of: str | datetime | None,
+) -> str:
+    # The text is read and parsed once; only rejects keep theirs.
+    rejected = F.when(F.col("reason").isNotNull(), F.col("payload"))
+    rows = parse(lines).withColumn("digest", F.xxhash64("payload")).withColumn("payload", rejected)
+    rows.write.parquet(staged)
+    parsed = spark.read.schema(rows.schema).parquet(staged)
+    digest = F.col("digest")
     told = parsed.agg(
         F.count_if(F.col("reason").isNotNull()).alias("errors"),
         F.count(F.lit(1)).alias("n"),
@@ -88,7 +111,7 @@ def load_json(
     check_budget(label, told["errors"], max_errors)
     if labels.finished(spark, table, [label]):
         return label
-    good, bad = split(parsed)
+    good, bad = split(parsed.drop("digest"))
     if told["errors"]:
         keep_rejects(spark, quarantine, bad, label)
     load_batch(spark, table, good, label, as_of, done=True)

@@ -1,4 +1,5 @@
 import glob
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -234,3 +235,23 @@ def test_compaction_leaves_open_loads(spark):
     raw.load_batch(spark, table, readings(spark, timed_rows(D1, 6)), "open")
     assert spark.table(table).count() == 16
     assert {s["load_label"] == "open" for s in catalog.partitions(spark, table)} == {True, False}
+
+
+def test_clean_up_spares_what_tables_use(spark, monkeypatch):
+    """Folders of dead jobs and of replaced versions go; what a table or partition points to stays."""
+    table = raw_table(spark)
+    database = table.split(".")[0]
+    raw.backfill(spark, table, two_days(spark), D1, D3)
+    raw.swap_day(spark, table, readings(spark, timed_rows(D1, 3)), D1)
+    raw.load_batch(spark, table, readings(spark, timed_rows(D3, 4)), "l")
+    raw.load_batch(spark, table, readings(spark, timed_rows(D3, 5)), "l")
+    with monkeypatch.context() as m:
+        m.setattr(catalog, "_noted_swap", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            raw.backfill(spark, table, two_days(spark), D1, D3)
+    before = content(spark, table)
+    assert catalog.clean_staged(spark, database, timedelta(hours=1)) == []
+    assert catalog.clean_staged(spark, database, timedelta(seconds=-60))
+    spark.catalog.refreshTable(table)
+    assert content(spark, table) == before and len(before) == 28
+    assert catalog.clean_staged(spark, database, timedelta(seconds=-60)) == []
