@@ -10,11 +10,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.catalog import remove_folder
 from ..session import configure, shared_root, unique
 
 #: Space and the controls 9 to 13, the only characters that separate words here.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+_made: list[str] = []
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -37,10 +39,17 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{unique('llm_')}"
+    _made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Remove what ``written`` has made in this session, once the results that rest on it are stored."""
+    while _made:
+        remove_folder(spark, _made.pop())
+
+
 def remainder(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; -1 for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts, F.lit(-1))

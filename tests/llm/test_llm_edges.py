@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.llm import bpe, exact_dedup, language, mixing, near_dedup, ppm, sketches, snapshots, toxicity, url_rules
+from gaugeline.llm import common
 from gaugeline.llm.common import mixed
 
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
@@ -326,3 +327,50 @@ def test_apportion_takes_the_highest_quotients(spark):
             c, i = max(own, key=lambda o: (o[0] / (2 * quota[o[1]] + 1), -o[1]))
             quota[i] += 1
         assert {i: got[g, i] for i in quota} == quota
+
+
+def test_intermediate_tables_can_be_discarded(spark):
+    kept = common.written(spark.range(5))
+    assert kept.count() == 5
+    path = kept.inputFiles()[0]
+    common.discard(spark)
+    with pytest.raises(Exception, match="(?i)not exist|no such file"):
+        spark.read.parquet(path).count()
+
+
+def test_fingerprints_over_many_stretches(spark, monkeypatch):
+    """Neighbours meet across the cuts of the order, with gaps, repeated ids and nulls among them."""
+    monkeypatch.setattr(sketches, "ROWS", 5)
+    rng = np.random.default_rng(11)
+    ids = [int(x) for x in rng.integers(-50, 5000, 90)] + [77] * 12 + [None] * 2
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 50, int(rng.integers(0, 60))))) for i in ids]
+    got = sketches.compare(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.blake2b(r[1].encode(), digest_size=8).digest()))
+    want = []
+    for (i, t), (_, following) in zip(order, [*order[1:], order[0]]):
+        edited = t[: len(t) - len(t) // 3] + following[: len(t) // 3]
+        want.append(str((i, len(t), hashlib.sha256(edited.encode()).hexdigest())))
+    assert sorted(want) == sorted(str((r["doc_id"], r["n_chars"], r["edited_sha256"])) for r in got)
+
+
+def test_toxic_spans_are_where_the_words_are(spark):
+    rng = np.random.default_rng(12)
+    calm = [f"word{x}" for x in range(300)]
+
+    def text(bad: bool) -> str:
+        words = [calm[x] for x in rng.integers(0, 300, int(rng.integers(5, 80)))]
+        if bad:
+            for at in rng.integers(0, len(words), 2):
+                words[at] = ["Scumbag", "VILE!", "gross-ness"][int(rng.integers(0, 3))]
+        return " ".join(words)
+
+    rows = [(i, text(i % 4 == 0), int(i % 4 == 0)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.learn(frame.where("doc_id % 3 <> 1"), frame.select("doc_id", "toxic"))
+    told = {r["doc_id"]: r for r in toxicity.score(frame.drop("toxic"), model).collect()}
+    for i, whole, bad in rows:
+        if i % 3 == 1:
+            assert told[i]["predicted"] == bad
+            found = {whole[s["begin"] : s["end"]].lower() for s in told[i]["spans"]}
+            assert all(any(w in f for w in ("scumbag", "vile", "gross")) for f in found)
+            assert bool(found) == bool(bad)
