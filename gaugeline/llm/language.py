@@ -8,6 +8,7 @@ language's slice predicts are taken off, and the language with most true hits wi
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,18 +19,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat, slices
+from .common import flat, slices, written
 
 #: Bytes of an n-gram.
 GRAM = 4
 UNDETERMINED = "und"
+#: Parts of a corpus that is judged by its own labels: each is judged by what the others teach.
+FOLDS = 4
+#: A found language with this score, half as many hits again as the next one, outweighs a label.
+CLEAR = 0.6
 _PRIMES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """n-grams of lower-cased letters, words two spaces apart; where each text starts; a mask
-    that is false for those that run over the end of a text."""
-    letters = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}]+", "  ")
+def _letters(texts: pa.Array) -> pa.Array:
+    """Lower-cased letters, words two spaces apart."""
+    return pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}]+", "  ")
+
+
+def _folds(letters: pa.Array, folds: int) -> np.ndarray:
+    """The fold of each text. It hangs on the letters alone, so copies share one."""
+    if folds == 1:
+        return np.zeros(len(letters), np.int32)
+    return np.array([zlib.crc32(x.strip().encode()) % folds for x in letters.to_pylist()], np.int32)
+
+
+def _grams(letters: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """n-grams of what ``_letters`` gives; where each text starts; a mask that is false for those
+    that run over the end of a text."""
     data, starts = flat(pc.binary_join_element_wise("  ", letters, "  ", ""))
     grams = np.zeros(data.size, np.uint32)
     for i in range(GRAM):
@@ -42,11 +58,11 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams, starts, whole
 
 
-def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, gram, n) over all whole texts with a language; counted per task before the shuffle."""
+def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang", folds: int = 1) -> DataFrame:
+    """(fold, lang, gram, n) over all whole texts with a language; counted per task before the shuffle."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+        held: dict[tuple[int, str], list] = {}
 
         def fold(parts: list) -> tuple[np.ndarray, np.ndarray]:
             keys = np.concatenate([p[0] for p in parts])
@@ -57,21 +73,24 @@ def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
             for name in pc.unique(batch.column(1)).to_pylist():
                 own = batch.filter(pc.equal(batch.column(1), name))
                 for piece in slices(own, 0):
-                    grams, _, whole = _grams(piece.column(0))
-                    parts = held.setdefault(name, [])
-                    parts.append(np.unique(grams[whole], return_counts=True))
-                    if len(parts) > 16:
-                        held[name] = [fold(parts)]
-        for name, parts in held.items():
+                    letters = _letters(piece.column(0))
+                    place = _folds(letters, folds)
+                    for k in np.unique(place).tolist():
+                        grams, _, whole = _grams(letters.filter(pa.array(place == k)))
+                        parts = held.setdefault((k, name), [])
+                        parts.append(np.unique(grams[whole], return_counts=True))
+                        if len(parts) > 16:
+                            held[k, name] = [fold(parts)]
+        for (k, name), parts in held.items():
             grams, counts = fold(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * grams.size, pa.string()), pa.array(grams.astype(np.int64)), pa.array(counts)],
-                ["lang", "gram", "n"],
+                [pa.array([k] * grams.size, pa.int32()), pa.array([name] * grams.size, pa.string()), pa.array(grams.astype(np.int64)), pa.array(counts)],
+                ["fold", "lang", "gram", "n"],
             )
 
     taught = df.select(F.col(text).alias("_text"), F.col(lang).alias("_lang")).where("_lang is not null and _text is not null")
-    counted = taught.mapInArrow(partial, "lang string, gram bigint, n bigint")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = taught.mapInArrow(partial, "fold int, lang string, gram bigint, n bigint")
+    return counted.groupBy("fold", "lang", "gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -104,7 +123,17 @@ def learn(
     cover all texts, and what reaches the driver is at most that many grams a language.
     No rows to learn from: no languages, and every prediction is ``und``.
     """
-    counts = gram_counts(df, text, lang)
+    return _filters(gram_counts(df, text, lang).drop("fold"), share, per_language, bits)
+
+
+def learn_apart(df: DataFrame, text: str = "text", lang: str = "lang", folds: int = FOLDS, **options) -> list[Filters]:
+    """The filters for each fold, built as ``learn`` does from the texts of all other folds."""
+    counts = written(gram_counts(df, text, lang, folds))
+    others = [counts.where(F.col("fold") != k).groupBy("lang", "gram").agg(F.sum("n").alias("n")) for k in range(folds)]
+    return [_filters(o, **options) for o in others]
+
+
+def _filters(counts: DataFrame, share: float = 0.25, per_language: int = 50_000, bits: int = 20) -> Filters:
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     rate = counts.join(total, "lang").withColumn("rate", F.col("n") / F.col("total"))
     best = F.max("rate").over(_by("gram"))
@@ -131,17 +160,17 @@ def _by(name: str):
     return Window.partitionBy(name)
 
 
-def judge(texts: pa.Array, model: Filters) -> tuple[list[str], np.ndarray, np.ndarray]:
+def judge(texts: pa.Array, model: Filters, letters: pa.Array | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and coverage of each text.
 
     Score: share of the winner in the corrected hits of the best two. Coverage: corrected hits
-    of the winner a gram.
+    of the winner a gram. ``letters`` of the texts may be given, if already known.
     """
     known = len(model.languages)
     some = np.asarray(pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False))
     if not known or not len(texts):
         return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-    grams, starts, whole = _grams(texts)
+    grams, starts, whole = _grams(_letters(texts) if letters is None else letters)
     bits = int(model.slots.shape[0]).bit_length() - 1
     first, second = _slots_of(grams, bits)
     n = np.add.reduceat(whole, starts[:-1], dtype=np.int64).astype(float)  # padding: no text is empty
@@ -166,13 +195,15 @@ def judge(texts: pa.Array, model: Filters) -> tuple[list[str], np.ndarray, np.nd
     return names, np.where(some, np.clip(score, 0, 1), 0.0), np.clip(covered, 0, 1)
 
 
-def identify(df: DataFrame, model: Filters, text: str = "text") -> DataFrame:
+def identify(df: DataFrame, model: Filters | list[Filters], text: str = "text") -> DataFrame:
     """``df`` with ``lang_pred``, ``lang_score`` and ``lang_coverage`` after its own columns.
 
     A null text, or one without a letter, is ``und`` with score and coverage 0. A text whose
     grams no filter holds gets the language with most taught text, score 0. Ties go to the
     first language by code point. Columns of those names are replaced. Rows stay where they are.
+    A list of filters, from ``learn_apart``, judges each text by those of its fold.
     """
+    models = [model] if isinstance(model, Filters) else model
     added = [("lang_pred", T.StringType()), ("lang_score", T.DoubleType()), ("lang_coverage", T.DoubleType())]
     kept = df.drop(*[name for name, _ in added])
     at = kept.columns.index(text)
@@ -181,10 +212,15 @@ def identify(df: DataFrame, model: Filters, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, at):
-                names, score, covered = judge(piece.column(at), model)
-                yield pa.RecordBatch.from_arrays(
-                    [*piece.columns, pa.array(names, pa.string()), pa.array(score), pa.array(covered)], schema.names
-                )
+                letters = _letters(piece.column(at))
+                place = _folds(letters, len(models))
+                for k in np.unique(place).tolist():
+                    here = pa.array(place == k)
+                    own = piece.filter(here) if len(models) > 1 else piece
+                    names, score, covered = judge(own.column(at), models[k], letters.filter(here))
+                    yield pa.RecordBatch.from_arrays(
+                        [*own.columns, pa.array(names, pa.string()), pa.array(score), pa.array(covered)], schema.names
+                    )
 
     return kept.mapInArrow(run, schema)
 
@@ -192,16 +228,19 @@ def identify(df: DataFrame, model: Filters, text: str = "text") -> DataFrame:
 def keep_identified(df: DataFrame, min_coverage: float = 0.3, text: str = "text", lang: str = "lang") -> DataFrame:
     """Rows with a language; learns from the labelled rows of ``df`` itself.
 
+    Each text is judged by what the labelled texts of the other folds teach, so neither it nor a
+    copy of it (the same letters) vouches for itself; a language needs texts in two folds to be known.
     Goes: a text without a letter, or with less than ``min_coverage`` of its grams typical of
-    the language found. A missing language is filled in. If nothing is labelled, texts with a
-    letter stay.
+    the language found. The found language fills in a missing one, and replaces one that it clearly
+    contradicts (``CLEAR``). Where the other folds have no label at all, texts with a letter stay as they are.
     """
     names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     inner = df.toDF(*names.values())
-    model = learn(inner, names[text], names[lang])
-    if not model.languages:
-        return df.where(F.col(text).rlike(r"\p{L}"))
-    named = identify(inner, model, names[text])
-    good = named.where((F.col("lang_pred") != UNDETERMINED) & (F.col("lang_coverage") >= min_coverage))
-    good = good.withColumn(names[lang], F.coalesce(names[lang], "lang_pred"))
+    models = learn_apart(inner, names[text], names[lang])
+    named = identify(inner, models, names[text])
+    found = F.col("lang_pred") != UNDETERMINED
+    # No language though there are letters: the other folds had nothing to teach.
+    good = named.where(F.when(found, F.col("lang_coverage") >= min_coverage).otherwise(F.col(names[text]).rlike(r"\p{L}")))
+    clear = found & (F.col(names[lang]).isNull() | (F.col("lang_score") >= CLEAR))
+    good = good.withColumn(names[lang], F.when(clear, F.col("lang_pred")).otherwise(F.col(names[lang])))
     return good.select(*[F.col(v).alias(k) for k, v in names.items()])

@@ -50,6 +50,21 @@ def test_language(docs, none):
     assert language.keep_identified(none).count() == 0
 
 
+def test_no_text_vouches_for_itself(spark):
+    """Labelled gibberish goes, also in exact copies, and a clearly wrong label is replaced."""
+    rng = np.random.default_rng(11)
+    letters = list("abcdefghijklmnopqrstuvwxyzбвгджзклмнпрст")
+    gibberish = [" ".join("".join(rng.choice(letters, rng.integers(4, 10))) for _ in range(200)) for _ in range(3)]
+    junk = [(90001, gibberish[0], "en"), (90002, gibberish[1], "en"), (90003, gibberish[1].upper() + "!", "en"), (90004, gibberish[1], None), (90005, gibberish[2], "xx")]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    of_german = docs.where("lang = 'de' and length(text) > 1000").orderBy("doc_id").first()
+    wrong = (90006, of_german["text"] + " und so weiter", "en")
+    frame = docs.unionByName(spark.createDataFrame([*junk, wrong], docs.schema))
+    kept = {r["doc_id"]: r["lang"] for r in language.keep_identified(frame).collect()}
+    assert not {i for i, *_ in junk} & set(kept)
+    assert kept == {90006: "de", **{r["doc_id"]: r["lang"] for r in docs.collect()}}
+
+
 def test_bit_slices_hold_all_languages_of_a_gram(spark):
     frame = spark.createDataFrame([(f"aaaa shared{chr(97 + i)}", f"l{i:02}") for i in range(11)], "text string, lang string")
     model = language.learn(frame, share=0.01)
