@@ -3,7 +3,8 @@
 A source's documents are dealt to shards; a shard's words, one document after the other, are cut
 into blocks of equal size. Blocks are seats: sources get them by highest quotients of their
 targets, shards by highest quotients of their sizes. Which blocks of a shard are taken, or taken
-once more than the others, follows from a seed.
+once more than the others, follows from a seed: scattered ones, or a run of neighbours, which
+leaves whole all documents but those at its two ends.
 """
 
 from __future__ import annotations
@@ -88,12 +89,14 @@ def spans(
     limit: int = 2,
     seed: int = 17,
     row: str | None = None,
+    run: bool = False,
 ) -> DataFrame:
     """id, row, size, source_size, target and spans (array of from, words, times) of each row.
 
     ``row`` is the column of that name, else a number given here. ``spans`` lists the parts of a document, from its first word (1) on, and how often the mix takes each: 0 to ``limit``.
     A text without words has no spans. Null text counts as empty, null source is a source of its
-    own; repeated rows are dealt each. Same rows, same seed: same spans.
+    own; repeated rows are dealt each. Same rows, same seed: same spans. With ``run``, the blocks
+    of a shard that are taken once more than the others are neighbours, from a seeded one on.
     """
     number = F.col(row) if row else F.monotonically_increasing_id()
     sized = written(df.select(
@@ -133,7 +136,19 @@ def spans(
 
     touched = F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(end - 1) div {BLOCK}"))
     none = F.array().cast("array<struct<from:bigint,words:bigint,times:bigint>>")
-    parts = F.when(F.col("size") > 0, F.transform(touched, part)).otherwise(none)
+    if run:
+        lead = F.pmod("turn", F.col("blocks") - F.col("more") + 1) * BLOCK
+        left = F.greatest(F.col("start"), F.least(F.col("end"), lead))
+        right = F.greatest(left, F.least(F.col("end"), lead + F.col("more") * BLOCK))
+        stretches = [(F.col("start"), left, 0), (left, right, 1), (right, F.col("end"), 0)]
+        listed = F.array(*[
+            F.struct((a - F.col("start") + 1).alias("from"), (b - a).alias("words"), (F.col("each") + extra).alias("times"))
+            for a, b, extra in stretches
+        ])
+        touching = F.filter(listed, lambda s: s["words"] > 0)
+    else:
+        touching = F.transform(touched, part)
+    parts = F.when(F.col("size") > 0, touching).otherwise(none)
     return held.select("id", "row", "size", "source_size", "target", parts.alias("spans"))
 
 
@@ -152,13 +167,13 @@ def mixed_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", chars:
     """The mix as rows with the columns of ``df``: copy k of a document, with the words that are
     taken k times or more.
 
-    A copy that has all words is the text as it is; of others, the parts taken are joined by
-    spaces, and ``chars`` counts their code points. A document of which nothing is taken goes, as
-    does one without words.
+    Blocks are taken as runs (see ``spans``). A copy that has all words is the text as it is; one
+    at an end of its shard's run is one stretch of the text with its white space, and ``chars``
+    counts its code points. A document of which nothing is taken goes, as does one without words.
     """
     names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     rows = written(df.toDF(*names.values()).withColumn("row", F.monotonically_increasing_id()))
-    chosen = spans(rows, names[doc_id], names[text], names[options.pop("source", "source")], row="row", **options)
+    chosen = spans(rows, names[doc_id], names[text], names[options.pop("source", "source")], row="row", run=True, **options)
     most = F.array_max(F.col("spans.times"))
     copies = chosen.where(F.size("spans") > 0).where(most > 0).select("row", "spans", F.explode(F.sequence(F.lit(1).cast("long"), most)).alias("copy"))
     whole = rows.join(copies, "row").drop("row")
@@ -169,7 +184,7 @@ def mixed_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", chars:
     order = [whole.columns.index(c) for c in schema.names]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = re.compile(WORD).findall
+        find = re.compile(WORD).finditer
         for batch in batches:
             parts = batch.column(spans_at)
             ends = np.asarray(parts.offsets)
@@ -180,9 +195,9 @@ def mixed_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", chars:
                 own = slice(ends[i], ends[i + 1])
                 taken = times[own] >= copy[i]
                 if not taken.all():
-                    listed = find(texts[i])
-                    begin, stop = first[own][taken] - 1, first[own][taken] - 1 + words[own][taken]
-                    texts[i] = " ".join([w for b, e in zip(begin.tolist(), stop.tolist()) for w in listed[b:e]])
+                    places = [m.span() for m in find(texts[i])]
+                    begin, stop = first[own][taken][0] - 1, (first[own][taken] + words[own][taken])[-1] - 1
+                    texts[i] = texts[i][places[begin][0] if begin else 0 : places[stop - 1][1] if stop < len(places) else None]
             columns = list(batch.columns)
             columns[at] = pa.array(texts, columns[at].type)
             if chars_at is not None:

@@ -329,6 +329,21 @@ def test_mix(docs, none):
     assert mixing.mix(none).count() == 0 and mixing.mixed_rows(none).count() == 0
 
 
+def test_mixed_rows_are_whole_but_for_the_ends_of_a_run(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD", 3000)
+    rows = [(i, f" d{i} one\ttwo\n\n" + "".join(f"w{i}x{j}" + ("\n" if j % 7 == 0 else "  ") for j in range(40 + i % 90)), "en", f"s{i % 3}") for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("n_chars", F.length("text").cast("long"))
+    known = {i: t for i, t, *_ in rows}
+    shards = {k: -(-sum(len(t.split()) for _, t, _, s in rows if s == k) // 3000) for k in ("s0", "s1", "s2")}
+    got = mixing.mixed_rows(docs).collect()
+    assert all(r["text"] in known[r["doc_id"]] and r["n_chars"] == len(r["text"]) for r in got)
+    cut = [r["source"] for r in got if r["text"] != known[r["doc_id"]]]
+    assert all(cut.count(s) <= 2 * n for s, n in shards.items()) and sum(shards.values()) > 3
+    taken = {r["source"]: r["n"] for r in spark.createDataFrame([(r["source"], len(r["text"].split())) for r in got], "source string, n long").groupBy("source").agg(F.sum("n").alias("n")).collect()}
+    for r in mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.max("target").alias("target")).collect():
+        assert abs(taken[r["source"]] - r["target"]) <= 0.02 * r["target"]
+
+
 def test_apportion_takes_the_highest_quotients(spark):
     rng = np.random.default_rng(10)
     claims = [(int(g), int(i), float(c), int(s)) for g, s in ((0, 7), (1, 100), (2, 1)) for i, c in enumerate(rng.integers(0, 90, 40) ** 2)]
