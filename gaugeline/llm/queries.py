@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, mixing, near_dedup, ppm, sketches, snapshots, toxicity, url_rules
+from . import bpe, exact_dedup, language, mixing, near_dedup, packing, ppm, sketches, snapshots, toxicity, url_rules
 from .common import prepared, remainder, table
 
 
@@ -73,9 +73,15 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op4_toxicity, op5_exact_dedup, op6_near_dedup, op7_url_rules, op8_chat_snapshots, op9_fingerprints, op10_source_mix)
+    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op4_toxicity, op5_exact_dedup, op6_near_dedup, op7_url_rules, op8_chat_snapshots, op9_fingerprints, op10_source_mix, op11_packing)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)

@@ -31,7 +31,7 @@ def test_same_as_sql(spark, name):
 
 def test_all_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, len(QUERIES) + 1))
 
 
 def test_language_of_held_out_documents(spark):
