@@ -31,8 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write to the folder that all executors share and read again.
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """Write to the folder that all executors share, in folders ``by`` some columns, and read again.
 
     Cuts the lineage: what is read later survives the loss of any executor, and row numbers
     given before the write stay as they are.
@@ -40,7 +40,7 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{unique('llm_')}"
     _made.append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, mixing, near_dedup, packing, ppm, sketches, snapshots, toxicity, url_rules
+from . import bpe, exact_dedup, language, mixing, near_dedup, packing, phrases, ppm, sketches, snapshots, toxicity, url_rules
 from .common import prepared, remainder, table
 
 
@@ -79,9 +79,14 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    return phrases.collocations(*phrases.mine(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op4_toxicity, op5_exact_dedup, op6_near_dedup, op7_url_rules, op8_chat_snapshots, op9_fingerprints, op10_source_mix, op11_packing)
+    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op4_toxicity, op5_exact_dedup, op6_near_dedup, op7_url_rules, op8_chat_snapshots, op9_fingerprints, op10_source_mix, op11_packing, op12_collocations)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
@@ -202,4 +207,30 @@ ORACLES = {
             WHERE size > 0 GROUP BY p.doc_id)
         SELECT p.doc_id, size::BIGINT AS size, source_size, target, coalesce(taken, 0) AS taken
         FROM p LEFT JOIN g ON g.doc_id = p.doc_id""",
+    "op12_collocations": r"""
+        WITH d AS (
+            SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+        g AS (
+            SELECT lang, 1 AS words, unnest(words) AS phrase FROM w
+            UNION ALL SELECT lang, 2, unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) FROM w
+            UNION ALL SELECT lang, 3, unnest([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)]) FROM w),
+        f AS (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+        c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS parts FROM f WHERE words > 1 AND f >= 10),
+        cuts AS (
+            SELECT lang, phrase, a, k, array_to_string(parts[1:k], ' ') AS first, array_to_string(parts[k + 1:], ' ') AS rest
+            FROM (SELECT *, unnest(range(1, words)) AS k FROM c)),
+        s AS (
+            SELECT cuts.lang, cuts.phrase, a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f))::BIGINT AS score
+            FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = first JOIN f r ON r.lang = cuts.lang AND r.phrase = rest
+            QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1),
+        kept AS (
+            SELECT * FROM s WHERE NOT EXISTS (
+                SELECT 1 FROM c WHERE c.words = 3 AND c.lang = s.lang AND 100 * c.a >= 50 * s.a
+                    AND (c.parts[1] || ' ' || c.parts[2] = s.phrase OR c.parts[2] || ' ' || c.parts[3] = s.phrase)))
+        SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN n ON n.lang = kept.lang QUALIFY rank <= 2000""",
 }
