@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, mixing, near_dedup, packing, phrases, ppm, sketches, snapshots, toxicity, url_rules
+from . import bpe, exact_dedup, language, mixing, near_dedup, packing, phrases, ppm, prefix_trie, sketches, snapshots, toxicity, url_rules
 from .common import prepared, remainder, table
 
 
@@ -84,9 +84,14 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(*phrases.mine(table(spark, sf_dir, "documents")))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared(spark)
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op4_toxicity, op5_exact_dedup, op6_near_dedup, op7_url_rules, op8_chat_snapshots, op9_fingerprints, op10_source_mix, op11_packing, op12_collocations)
+    for f in (op1_language_id, op2_lm_score, op3_byte_bpe, op4_toxicity, op5_exact_dedup, op6_near_dedup, op7_url_rules, op8_chat_snapshots, op9_fingerprints, op10_source_mix, op11_packing, op12_collocations, op13_prefix_trie)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
@@ -233,4 +238,39 @@ ORACLES = {
                     AND (c.parts[1] || ' ' || c.parts[2] = s.phrase OR c.parts[2] || ' ' || c.parts[3] = s.phrase)))
         SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
         FROM kept JOIN n ON n.lang = kept.lang QUALIFY rank <= 2000""",
+    "op13_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p
+            FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT c, list(struct_pack(role := role, text := text) ORDER BY p) AS turns FROM t GROUP BY c),
+        -- crc32, bit by bit
+        bits AS (
+            SELECT c, list_reduce([4294967295::BIGINT] || list_transform(range(len(c::VARCHAR) * 9), lambda i: i), lambda crc, i:
+                CASE WHEN i % 9 = 0 THEN xor(crc, ascii(substr(c::VARCHAR, (i // 9 + 1)::BIGINT, 1))::BIGINT)
+                     WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384::BIGINT) ELSE crc // 2 END) AS crc
+            FROM own),
+        h AS (SELECT c, xor(crc, 4294967295::BIGINT) % 6 AS h, c - c % 100 AS base FROM bits),
+        r AS (
+            SELECT own.c, coalesce(b.turns[1:h.h], []) || coalesce(own.turns[h.h + 1:], []) AS turns
+            FROM own JOIN h ON h.c = own.c LEFT JOIN own b ON b.c = h.base),
+        m AS (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM r),
+        g AS (SELECT c, d, len(turns) AS n, CASE WHEN d = 0 THEN [] ELSE turns[1:d] END AS prefix FROM m),
+        nodes AS (
+            SELECT prefix, d, min(c) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+            FROM g GROUP BY prefix, d),
+        kids AS (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+        f AS (
+            SELECT nodes.*, coalesce(kids.n, 0) AS n_children,
+                   CASE WHEN nodes.d = 0 THEN 0 ELSE (n_convs - 1) * length(nodes.prefix[nodes.d].text) END AS worth
+            FROM nodes LEFT JOIN kids ON kids.prefix = nodes.prefix AND kids.d = nodes.d),
+        up AS (SELECT f.*, unnest(range(0, d + 1)) AS k FROM f),
+        s AS (
+            SELECT CASE WHEN k = 0 THEN [] ELSE prefix[1:k] END AS prefix, k AS d, count(*) FILTER (n_children = 0) AS n_leaves,
+                   sum(worth)::BIGINT AS saved_tokens
+            FROM up GROUP BY ALL)
+        SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+        FROM f JOIN s ON s.prefix = f.prefix AND s.d = f.d
+        LEFT JOIN f q ON f.d > 0 AND q.d = f.d - 1 AND q.prefix = CASE WHEN f.d = 1 THEN [] ELSE f.prefix[1:f.d - 1] END""",
 }
