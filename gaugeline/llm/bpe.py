@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import slices, stretched
 
 #: States and pre-tokens that an encoder keeps: some 300 MB in all.
 MEMO = 300_000
+#: Pre-tokens of more characters are not kept.
+LONG = 128
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -47,8 +49,9 @@ def merge_all(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Transducer:
-    """Encodes one pre-token at a time. ``max_states`` bounds memory: when reached, all states are
-    forgotten and made again as needed, which changes nothing in the output."""
+    """Encodes one pre-token at a time, in time proportional to its length. ``max_states`` bounds memory: when
+    reached, also within a pre-token, all states but the present one are forgotten and made again as
+    needed, which changes nothing in the output."""
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = MEMO, max_pairs: int = 300_000):
         self.ranks = ranks
@@ -200,12 +203,13 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self.states) > self.max_states:
-            self._clear()
-        state, out, steps = 0, (), self.steps
+        state, out, steps = 0, [], self.steps
         for byte in piece:
             following = steps.get(state << 8 | byte)
             if following is None:
+                if len(self.states) > self.max_states:
+                    state = self._forget(state)
+                    steps = self.steps
                 following = self._step(state, byte)
             if following < 0:
                 out += self.given[state << 8 | byte]
@@ -215,7 +219,14 @@ class Transducer:
         if left is None:
             _, read, last, _ = self.states[state]
             left = self.left[state] = self._tokens(last, len(read))
-        return out + left
+        out += left
+        return tuple(out)
+
+    def _forget(self, state: int) -> int:
+        """Forget all states but one, also within a piece; returns the new number of that one."""
+        prior, read, last, places = self.states[state]
+        self._clear()
+        return self._number(prior, read, last, list(places))
 
 
 def _parts(token: bytes) -> set[bytes]:
@@ -224,7 +235,8 @@ def _parts(token: bytes) -> set[bytes]:
 
 class Encoder:
     """Whole texts. The memo holds the pre-tokens seen of late, at most twice ``memo``, and the
-    transducer as many states as ``memo``."""
+    transducer as many states as ``memo``; long pre-tokens are not kept. Long texts are split in
+    stretches, which suits patterns like the public one (see ``stretched``)."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, memo: int = MEMO):
         self.transducer = Transducer(ranks, memo)
@@ -236,14 +248,18 @@ class Encoder:
 
     def encode(self, text: str) -> list[int]:
         pieces, out = self.pieces, []
-        for piece in self.find(text):
-            tokens = pieces.get(piece)
-            if tokens is None:
-                if len(pieces) >= self.max_pieces:
-                    self.older, self.pieces = pieces, {}
-                    pieces = self.pieces
-                tokens = pieces[piece] = self.older.get(piece) or self.transducer.encode(piece.encode())
-            out += tokens
+        for part in stretched(text):
+            for piece in self.find(part):
+                tokens = pieces.get(piece)
+                if tokens is None:
+                    if len(piece) > LONG:
+                        out += self.transducer.encode(piece.encode())
+                        continue
+                    if len(pieces) >= self.max_pieces:
+                        self.older, self.pieces = pieces, {}
+                        pieces = self.pieces
+                    tokens = pieces[piece] = self.older.get(piece) or self.transducer.encode(piece.encode())
+                out += tokens
         return out
 
 
@@ -348,7 +364,8 @@ def encode(
     """``df`` with ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked for, ``token_ids``
     (array of int) and ``decoded`` (string) after its own columns.
 
-    Null counts as empty: no tokens, digests of no bytes. Columns of those names are replaced.
+    Null counts as empty: no tokens, digests of no bytes. Texts and words of any length take time in
+    proportion to it; the encoder's memory doesn't grow with them. Columns of those names are replaced.
     Rows stay where they are. Workers keep the encoder, with ``memo`` entries of each kind, for
     their next task, unless ``keep`` is false, where other work follows in the same workers. The driver reads ``rank_file`` and broadcasts its bytes, whose size
     is that of a vocabulary.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,6 +71,22 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator
         start = stop
 
 
+_BREAK = re.compile(r"(?<=\S)(?=\s)")
+
+
+def stretched(text: str, limit: int = 1 << 20) -> Iterator[str]:
+    """A text in parts of at least ``limit`` characters, cut where white space follows another character.
+
+    Splitting by ``public_tokenizers.PATTERN`` gives the same pieces for the parts as for the whole: none
+    spans such a place, and none is chosen by what stands before it.
+    """
+    start = 0
+    while len(text) - start > limit and (cut := _BREAK.search(text, start + limit)):
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column in one array, and where each text starts (plus the end)."""
     texts = pc.fill_null(texts, "" if not pa.types.is_binary(texts.type) else b"")

@@ -10,7 +10,6 @@ merged in a second step of bounded groups.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, written
+from .common import slices, stretched, written
 
 LENGTH, WINDOWS = 1024, 128
 #: Tasks whose leftovers are merged together: at most so many times one sequence.
@@ -29,7 +28,6 @@ TASKS = 256
 VOCABULARY = "byte_bpe_50k.json"
 #: Bytes of text that the tokenizer gets at once, where the text has a place to cut.
 STRETCH = 1 << 20
-_BREAK = re.compile(r"(?<=\S)(?=\s)")
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -56,15 +54,10 @@ def tokenizer(vocabulary: str) -> Callable[[str], list[int]]:
 def ids_of(text: str, encode: Callable[[str], list[int]], end: int, stretch: int = STRETCH) -> np.ndarray:
     """Ids of the whole text, then ``end``.
 
-    A long text is given to the tokenizer in stretches, cut where white space follows another
-    character: no token spans that place, and none is chosen by what stands before it.
+    A long text is given to the tokenizer in stretches.
     """
-    parts, start = [], 0
-    while len(text) - start > stretch and (cut := _BREAK.search(text, start + stretch)):
-        parts.append(np.array(encode(text[start : cut.start()]), "<u4"))
-        start = cut.start()
-    parts.append(np.array([*encode(text[start:]), end], "<u4"))
-    return np.concatenate(parts)
+    parts = [np.array(encode(part), "<u4") for part in stretched(text, stretch)]
+    return np.concatenate([*parts, np.array([end], "<u4")])
 
 
 class Packer:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from gaugeline.llm import bpe, exact_dedup, language, mixing, near_dedup, ppm, sketches, snapshots, toxicity, url_rules
@@ -109,6 +112,31 @@ def test_bpe_with_few_states():
         assert list(machine.encode(piece)) == want
 
 
+@pytest.mark.parametrize("letters, memo", [("abcdefghijklmnopqrstuvwxyz", bpe.MEMO), ("a", bpe.MEMO), ("漢é", bpe.MEMO), ("abcdefghijklmnopqrstuvwxyz", 20_000)])
+def test_bpe_of_one_word_of_a_megabyte(letters, memo):
+    """Linear time, and states bounded within the word."""
+    rng = np.random.default_rng(5)
+    word = "".join(rng.choice(list(letters), 1_000_000 // len(letters[0].encode()))) if len(letters) > 1 else letters * 1_000_000
+    with open(public_tokenizers.path(bpe.RANK_FILE), "rb") as f:
+        ranks = bpe.read_ranks(f.read())
+    library = tiktoken.Encoding("multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder = bpe.Encoder(ranks, memo=memo)
+    began = time.perf_counter()
+    got = encoder.encode(word)
+    assert time.perf_counter() - began < 20
+    assert got == library.encode_ordinary(word)
+    assert len(encoder.transducer.states) <= memo + 1 and not encoder.pieces
+
+
+def test_bpe_of_long_texts_in_stretches():
+    text = ("it's 12 x\u00a0\n\n  words, 漢字! " * 60_000) + " \t end"
+    assert "".join(common.stretched(text, 1000)) == text
+    with open(public_tokenizers.path(bpe.RANK_FILE), "rb") as f:
+        ranks = bpe.read_ranks(f.read())
+    library = tiktoken.Encoding("multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert bpe.Encoder(ranks).encode(text) == library.encode_ordinary(text)
+
+
 def test_utf8_stream_in_any_pieces():
     stream = bpe.Utf8Stream({i: bytes([i]) for i in range(256)}, max_steps=7)
     rng = np.random.default_rng(4)
