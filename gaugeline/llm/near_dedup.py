@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,10 +82,15 @@ def densified(table: np.ndarray) -> np.ndarray:
     return out
 
 
+def _tag(doc_id: str, text: str) -> Column:
+    """128 bits for id and text, by which rows are found again."""
+    return F.struct(F.xxhash64(doc_id, text).alias("x"), F.xxhash64(F.lit(1), doc_id, text).alias("y"))
+
+
 def sketched(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """id, tag (hash of id and text), row, n (size of the shingle set), set (digest of it), registers."""
     slim = df.select(
-        F.col(doc_id).alias("id"), F.xxhash64(doc_id, text).alias("tag"),
+        F.col(doc_id).alias("id"), _tag(doc_id, text).alias("tag"),
         F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"),
     )
     schema = T.StructType([
@@ -125,7 +130,7 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("set", "n", "registers").mapInArrow(run, "key bigint, set binary, n bigint")
 
 
-def _alike(percent: int, a: str = "n", b: str = "m") -> F.Column:
+def _alike(percent: int, a: str = "n", b: str = "m") -> Column:
     """Sizes that two sets of the similarity asked for can have."""
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
@@ -180,7 +185,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _sets_of(df: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """set, shingles (all hashes) of the classes in ``wanted`` (tag, set). Texts travel compressed."""
-    slim = df.select(F.xxhash64(doc_id, text).alias("tag"), F.col(text).alias("text"))
+    slim = df.select(_tag(doc_id, text).alias("tag"), F.col(text).alias("text"))
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
@@ -197,38 +202,75 @@ def _sets_of(df: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFr
                 sets = shingle_sets(pa.array([unpack.decompress(t) for t in part.column(1).to_pylist()], pa.binary()))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["set", "shingles"])
 
-    packed = slim.mapInArrow(squeeze, "tag bigint, packed binary")
+    packed = slim.mapInArrow(squeeze, T.StructType([slim.schema["tag"], T.StructField("packed", T.BinaryType())]))
     return packed.join(wanted, "tag").select("set", "packed").mapInArrow(shingle, "set binary, shingles binary").dropDuplicates(["set"])
 
 
-def _first_common(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of ``members`` (set, component) in different components that can be linked.
-
-    The shingles of a set are ordered by how many members have them, rare ones first. Two sets that
-    are similar enough share a shingle so early that what follows it can still hold their common
-    part; the first one they share is such. Rare shingles come first, so few pairs are proposed.
-    """
+def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """centre, set, component, n, m (sizes of the set and of the centre's), size, shingle: each shingle that
+    only one of the two has, ``size`` in all, of each row of ``members`` (centre, set, component)."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, component, data in zip(*[c.to_pylist() for c in batch.columns]):
-                shingles = np.frombuffer(data, np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([name] * shingles.size, pa.binary()), pa.array([component] * shingles.size, pa.binary()),
-                    pa.array(np.full(shingles.size, shingles.size)), pa.array(shingles),
-                ], ["set", "component", "n", "shingle"])
-
-    rows = sets.join(members, "set").select("set", "component", "shingles")
-    rows = written(rows.mapInArrow(spread, "set binary, component binary, n bigint, shingle bigint"))
-    often = rows.groupBy("shingle").agg(F.count("*").alias("often"))
-    order = Window.partitionBy("set").orderBy("often", "shingle")
-    placed = rows.join(often, "shingle").withColumn("place", F.row_number().over(order))
-    early = placed.where("often > 1").where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-    a = early.select("shingle", F.col("set").alias("a"), F.col("component").alias("ca"), "n", F.col("place").alias("i"))
-    b = early.select("shingle", F.col("set").alias("b"), F.col("component").alias("cb"), F.col("n").alias("m"), F.col("place").alias("j"))
-    common = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
-    can = _alike(percent) & (1 + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= common)
-    return a.join(b, "shingle").where((F.col("ca") < F.col("cb")) & can).select("a", "b").distinct()
+            for i in range(0, batch.num_rows, 16):
+                part = batch.slice(i, 16)
+                pairs = [[np.frombuffer(d, np.uint64) for d in c.to_pylist()] for c in part.columns[3:]]
+                apart = [np.setxor1d(x, c, assume_unique=True) for x, c in zip(*pairs)]
+                size = np.array([d.size for d in apart])
+                own = pa.array(np.repeat(np.arange(part.num_rows), size))
+                counts = [pa.array(np.repeat([x.size for x in side], size), pa.int64()) for side in pairs]
+                if len(own):
+                    yield pa.RecordBatch.from_arrays(
+                        [*[part.column(k).take(own) for k in range(3)], *counts, pa.array(np.repeat(size, size)), pa.array(np.concatenate(apart).view(np.int64))],
+                        ["centre", "set", "component", "n", "m", "size", "shingle"],
+                    )
+
+    whole = members.join(sets.withColumnRenamed("shingles", "own"), "set")
+    whole = whole.join(sets.select(F.col("set").alias("centre"), F.col("shingles").alias("other")), "centre")
+    schema = "centre binary, set binary, component binary, n bigint, m bigint, size bigint, shingle bigint"
+    return whole.select("centre", "set", "component", "own", "other").mapInArrow(spread, schema)
+
+
+def _first_common(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components that can be linked, among ``members`` (centre, set,
+    component) with one centre, all of which were compared with the centre.
+
+    What a template puts into all members would make all of them candidates of each other. So sets are
+    told by their differences from the centre. Two sets x, y are as alike as asked if and only if
+    2 * (differences they share) * (100 + percent) >= w(x) + w(y), with w = (100 + percent) * differences -
+    (100 - percent) * size. The centre has the least w, so a pair that need share none is linked through
+    the centre. All others share differences, the more the further they are from the centre. The
+    differences of a set are ordered by how many members have them, rare ones first; the first one that
+    two such sets share comes so early that what follows it can still hold all they have to share.
+    """
+    most, less = 100 + percent, 100 - percent
+    rows = written(_differences(members, sets))
+    often = rows.groupBy("centre", "shingle").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("centre", "set").orderBy("often", "shingle")
+    placed = rows.join(often, ["centre", "shingle"]).withColumn("place", F.row_number().over(order)).where("often > 1")
+    placed = placed.withColumn("w", F.col("size") * most - F.col("n") * less)
+    # Linked with the centre or not. Two that are, are in one component.
+    far = F.col("w") > F.col("m") * less
+    # Shared differences, at least, whatever the other set is: as sizes have to be alike, and by the
+    # least w that the other can have, one linked with the centre or one that isn't.
+    alike = F.ceil(F.col("size") - F.col("n") * less / percent)
+
+    def early(other_is_far: bool) -> Column:
+        least = F.col("m") * (less if other_is_far else -less)
+        needed = F.greatest(alike, F.ceil((F.col("w") + least) / (2 * most)), F.lit(1))
+        return F.col("place") <= F.col("size") - needed + 1
+
+    def side(where: Column, name: str) -> DataFrame:
+        return placed.where(where).select("centre", "shingle", F.col("set").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("component", "n", "size", "place", "w")])
+
+    def found(a: DataFrame, b: DataFrame, once: Column) -> DataFrame:
+        rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+        can = ((1 + rest) * 2 * most >= F.col("w_a") + F.col("w_b")) & _alike(percent, "n_a", "n_b")
+        return a.join(b, ["centre", "shingle"]).where(once & (F.col("component_a") != F.col("component_b")) & can).select("a", "b")
+
+    both_far = found(side(far & early(True), "a"), side(far & early(True), "b"), F.col("a") < F.col("b"))
+    one_far = found(side(far & early(False), "a"), side(~far & early(True), "b"), F.lit(True))
+    return both_far.unionByName(one_far).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -264,8 +306,9 @@ def decide(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     exactly one; a null id comes last.
 
     Equal sets are one class. Of each bucket of a band, the class that shares most buckets is
-    compared with the others. Where that leaves a bucket in several components, all its classes
-    are searched for links by their rare shingles, so that none is lost whatever a bucket's size.
+    compared with the others. Where that leaves a bucket in several components, its classes are
+    searched for links by how they differ from that one, rare differences first, so that none is lost
+    whatever a bucket's size, and the text that all share proposes none.
     """
     return _decided(df, doc_id, text, percent).drop("tag")
 
@@ -290,8 +333,10 @@ def _decided(df: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     links = written(_linked(_possible(star, classes, percent), sets, percent))
     near = components(links)
     told = shared.join(near.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
-    split = told.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-    open_ = told.join(split.select("key"), "key", "left_semi").select("set", "component").distinct()
+    split = told.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("held")).where("x != y")
+    # Two sets alone in a bucket have been compared.
+    open_ = told.join(split.where("held > 2").select("key"), "key", "left_semi").join(centre.select("key", F.col("centre.set").alias("centre")), "key")
+    open_ = open_.select("centre", "set", "component").where("centre != set").distinct()
     others = written(_linked(_possible(_first_common(sets, open_, percent), classes, percent), sets, percent))
     near = components(links.unionByName(others))
     whole = classes.select("set", "first").join(near.withColumnRenamed("node", "set"), "set", "left")
@@ -312,7 +357,7 @@ def drop_near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     without shingles. Of repeated rows with one id and text, one stays."""
     names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     inner = df.toDF(*names.values())
-    key = F.xxhash64(names[doc_id], names[text])
+    key = _tag(names[doc_id], names[text])
     stays = _decided(inner, names[doc_id], names[text], percent).where("kept")
     whole = inner.withColumn("_tag", key).join(stays.select(F.col("tag").alias("_tag")).distinct(), "_tag", "left_semi")
     once = whole.dropDuplicates(["_tag"])

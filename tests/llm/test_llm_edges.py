@@ -213,6 +213,35 @@ def test_near_dedup(docs, none):
     assert near_dedup.decide(none).count() == 0 and near_dedup.drop_near_copies(none).count() == 0
 
 
+def _of_one_template(n, size, changes):
+    rng = np.random.default_rng(n)
+    out = []
+    for i in range(n):
+        words = [f"w{j}" for j in range(size)]
+        for at in rng.choice(size, changes, replace=False):
+            words[at] = f"x{i}y{at}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_pairs_of_one_template_grow_with_its_documents(spark, monkeypatch):
+    """Documents near the threshold of each other, none linked: what is proposed beyond the centre doesn't
+    grow with the square of the group."""
+    proposed = []
+    found = near_dedup._first_common
+
+    def counted(*args):
+        pairs = found(*args).cache()
+        proposed.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_first_common", counted)
+    for n in (300, 600, 1200):
+        rows = near_dedup.decide(spark.createDataFrame(_of_one_template(n, 100, 2), "doc_id int, text string")).collect()
+        assert len(rows) == n
+    assert proposed[2] <= 4 * max(proposed[0], 300), proposed
+
+
 def test_near_dedup_loses_no_link(spark):
     """Families of texts with more and more words changed, so that many pairs are near the limit."""
     rng = np.random.default_rng(7)
