@@ -41,6 +41,8 @@ def written(df: DataFrame, *by: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{unique('llm_')}"
     _made.append(path)
+    # A few folders are written side by side, without sorting rows by folder first.
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "8")
     df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
