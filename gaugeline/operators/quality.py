@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.times import moment
@@ -110,16 +112,17 @@ def run_gates(df: DataFrame, gates: Sequence[Gate]) -> DataFrame:
     All gates share one pass. Their predicates sit in conditional aggregates, since a common
     filter would hide rows from the gates that have none.
     """
-    stats: list[Column] = []
-    names: list[list[str]] = []
-    for i, gate in enumerate(gates):
-        columns = gate.stats()
-        names.append([f"g{i}_{j}" for j in range(len(columns))])
-        stats += [c.alias(n) for c, n in zip(columns, names[-1])]
-    totals = df.agg(*stats)
+    return _report(df.agg(*_stats(gates)), gates)
+
+
+def _stats(gates: Sequence[Gate]) -> list[Column]:
+    return [c.alias(f"g{i}_{j}") for i, gate in enumerate(gates) for j, c in enumerate(gate.stats())]
+
+
+def _report(totals: DataFrame, gates: Sequence[Gate]) -> DataFrame:
     rows = []
-    for gate, own in zip(gates, names):
-        observed = gate.observed(*[F.col(n) for n in own])
+    for i, gate in enumerate(gates):
+        observed = gate.observed(*[F.col(f"g{i}_{j}") for j in range(len(gate.stats()))])
         rows.append(
             F.struct(
                 F.lit(gate.name).alias("gate"),
@@ -131,9 +134,41 @@ def run_gates(df: DataFrame, gates: Sequence[Gate]) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
+def figures(seen: Observation, df: DataFrame, stats: Sequence[Column]) -> dict[str, object]:
+    """What ``seen`` has observed in the job that ran ``df``.
+
+    Where no row is left behind a shuffle, adaptive execution drops the plan that has observed them, and
+    Spark hands out a row without fields that Python cannot read. Then ``stats`` are computed.
+    """
+    try:
+        told = seen.get
+    except Py4JJavaError:
+        told = {}
+    return told or df.agg(*stats).first().asDict()
+
+
+def in_flight(df: DataFrame, gates: Sequence[Gate], table: str = "table") -> tuple[DataFrame, Callable[[], dict[str, float | int]]]:
+    """``df``, measured by whatever job runs it, and ``enforce`` for what that job has seen, to be
+    called once it has ended. The rows are read once, by that job."""
+    seen = Observation(f"gates_{id(gates)}_{time.monotonic_ns()}")
+    measured = df.observe(seen, *_stats(gates))
+
+    def enforce_seen() -> dict[str, float | int]:
+        told = figures(seen, df, _stats(gates))
+        types = df.agg(*_stats(gates)).schema.fields
+        totals = df.sparkSession.range(1).select(*[F.lit(told[f.name]).cast(f.dataType).alias(f.name) for f in types])
+        return _judged(_report(totals, gates), gates, table)
+
+    return measured, enforce_seen
+
+
 def enforce(df: DataFrame, gates: Sequence[Gate], table: str = "table") -> dict[str, float | int]:
     """Observed value per gate; raises with every failed gate, its value and its limit."""
-    report = {r["gate"]: r for r in run_gates(df, gates).collect()}
+    return _judged(run_gates(df, gates), gates, table)
+
+
+def _judged(told: DataFrame, gates: Sequence[Gate], table: str) -> dict[str, float | int]:
+    report = {r["gate"]: r for r in told.collect()}
     failed = [r for r in report.values() if not r["passed"]]
     if failed:
         told = "; ".join(

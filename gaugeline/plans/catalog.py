@@ -7,7 +7,7 @@ dies half-way leaves the table as it was.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import timedelta
 from urllib.parse import unquote
@@ -111,7 +111,7 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def load_label(
-    spark: SparkSession, table: str, df: DataFrame, label: str, layout: Layout
+    spark: SparkSession, table: str, df: DataFrame, label: str, layout: Layout, check: Callable[[], None] | None = None
 ) -> None:
     """Idempotent load, all of it or nothing: what an earlier attempt wrote under ``label`` is
     replaced, and stays if this attempt fails.
@@ -120,15 +120,28 @@ def load_label(
     together, after the files. The overwrite is dynamic (a table option), so it also clears files
     that a dead attempt left without a catalog entry. Otherwise they are written beside the table,
     and the label's partitions then point to them.
+
+    ``check`` runs once the rows are written beside the table, and before readers see any; if it raises,
+    they are removed and the table is as it was. It can look at what the write itself has observed.
     """
     finish_swap(spark, table)
     rows = df.withColumn("load_label", F.lit(label))
     held = partitions(spark, table, load_label=label)
-    if not held:
+    if not held and check is None:
         write(rows, table, layout, overwrite=True)
         return
     before = [partition_location(spark, table, spec) for spec in held]
     root, new = stage(spark, table, rows, layout)
+    if check is not None:
+        try:
+            check()
+        except BaseException:
+            remove_folder(spark, root)
+            raise
+    if not held:
+        add_partitions(spark, table, new, root)
+        spark.catalog.refreshTable(table)
+        return
     steps = [("drop", s) for s in held if s not in new]
     steps += [("move" if s in held else "add", s) for s in new]
     _noted_swap(spark, table, root, steps)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from typing import TypeVar
 
@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import moment, today
-from ..operators.quality import Fresh, Gate, NullRatio, RowCount, publish, run_gates
+from ..operators.quality import Fresh, Gate, NullRatio, RowCount, in_flight, publish, run_gates
 from . import catalog
-from .raw import readings_of
+from .raw import load_batch, readings_of
 
 T = TypeVar("T")
 
@@ -56,3 +56,15 @@ def publish_if_sound(
 ) -> T:
     """Run ``action``, such as a rollup refresh, only if all daily gates pass; else raise."""
     return publish(newest_rows(spark, table, as_of), daily_gates(as_of), action, table)
+
+
+def load_if_sound(
+    spark: SparkSession, table: str, df: DataFrame, label: str, gates: Sequence[Gate], as_of: str | datetime | None = None
+) -> None:
+    """Load a batch whose own rows pass ``gates``; else raise, with the table as it was.
+
+    The gates are measured while the rows are written beside the table, so the source is read once
+    and what is published is what was measured.
+    """
+    measured, enforce_seen = in_flight(df, gates, table)
+    load_batch(spark, table, measured, label, as_of, check=enforce_seen)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,15 +108,16 @@ def load_batch(
     as_of: str | datetime | None = None,
     gather: bool = True,
     done: bool = False,
+    check: Callable[[], None] | None = None,
 ) -> None:
     """Append ``df``. A second load under the same label replaces the first, all of it or nothing.
 
-    ``done`` finishes the label: the same label again changes nothing, also after its rows were
+    ``check`` may refuse the load once it is written and before it is seen. ``done`` finishes the label: the same label again changes nothing, also after its rows were
     compacted or backfilled.
     """
     if labels.finished(spark, table, [label]):
         return
-    catalog.load_label(spark, table, _prepared(df, as_of), label, _layout(spark, table, gather))
+    catalog.load_label(spark, table, _prepared(df, as_of), label, _layout(spark, table, gather), check)
     if done:
         labels.finish(spark, table, label)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,5 +32,7 @@ def create_quarantine(spark: SparkSession, table: str) -> None:
     )
 
 
-def keep_rejects(spark: SparkSession, table: str, bad: DataFrame, label: str) -> None:
-    catalog.load_label(spark, table, bad, label, catalog.Layout({"reason": F.col("reason")}))
+def keep_rejects(
+    spark: SparkSession, table: str, bad: DataFrame, label: str, check: Callable[[], None] | None = None
+) -> None:
+    catalog.load_label(spark, table, bad, label, catalog.Layout({"reason": F.col("reason")}), check)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
@@ -91,14 +91,15 @@ def load_agg(
     label: str,
     dim: DataFrame | None = None,
     done: bool = False,
+    check: Callable[[], None] | None = None,
 ) -> None:
     """Add a batch of new readings to the rollup. The same label twice counts once; with ``done``
     it is finished, and the label again changes nothing. ``dim`` supplies keys that the readings
-    lack, such as the site."""
+    lack, such as the site. ``check`` may refuse the load once it is written and before it is seen."""
     if labels.finished(spark, spec.table, [label]):
         return
     rolled = _rolled(readings, spec, dim)
-    catalog.load_label(spark, spec.table, rolled, label, _layout(spark, spec))
+    catalog.load_label(spark, spec.table, rolled, label, _layout(spark, spec), check)
     if done:
         labels.finish(spark, spec.table, label)
 

@@ -1,6 +1,6 @@
 from ..plans.rejects import ErrorBudgetExceeded, create_quarantine
 from .control import StreamJob
-from .jobs import compact_stream_rollup, stream_raw, stream_rollup
+from .jobs import compact_stream_rollup, rollup_batches, stream_dim, stream_raw, stream_rollup
 from .windowed import stream_rollup_bounded
 
 __all__ = [
@@ -8,6 +8,8 @@ __all__ = [
     "StreamJob",
     "compact_stream_rollup",
     "create_quarantine",
+    "rollup_batches",
+    "stream_dim",
     "stream_raw",
     "stream_rollup",
     "stream_rollup_bounded",

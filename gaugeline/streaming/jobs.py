@@ -11,18 +11,24 @@ Batch ids start again at 0 with a new checkpoint; a new checkpoint needs a new `
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.dimension import sound_changes
+from ..operators.quality import figures
+
 from ..plans import labels
+from ..plans.dimension import pinned, upsert
 from ..plans.labels import batch_label
 from ..plans.raw import fold_raw, load_batch
 from ..plans.rejects import check_budget, keep_rejects, need_quarantine
 from ..plans.rollups import Rollup, compact_agg, fold_agg, load_agg
-from ..schemas import LABEL_CHARS
+from ..schemas import DEVICE_CHANGE, LABEL_CHARS, STREAM_READING
+from ..session import unique
 from ..sources.conform import parse, split
 
 # Pacing and tolerance of the continuous load.
@@ -39,18 +45,27 @@ FOLD = 16
 _RESERVED = re.compile(r"merged|day|part\d+")
 
 
-def _run(
+Batch = Callable[[DataFrame, int], None]
+#: Loads the good rows of a micro-batch under its label; what it is given last must run before they are seen.
+Load = Callable[[DataFrame, str, Callable[[], None]], None]
+
+
+def _batches(
     spark: SparkSession,
-    messages: DataFrame,
     table: str,
-    load: Callable[[DataFrame, str], None],
+    load: Load,
     fold: Callable[[], None],
     job_key: str,
-    checkpoint: str,
     max_errors: int,
     quarantine: str | None,
-    trigger: Mapping[str, object],
-) -> StreamingQuery:
+    schema: T.StructType = STREAM_READING,
+) -> Batch:
+    """What a job does with a micro-batch.
+
+    The messages are read once: the job that writes the good rows beside the table counts the malformed ones as they
+    pass. Then the batch is published, or dropped if there are too many. Only a batch that has
+    some is read again, for their text.
+    """
     if _RESERVED.fullmatch(job_key) or not re.fullmatch(f"[{LABEL_CHARS}]+", job_key):
         raise ValueError(f"job key {job_key!r}: use letters, digits, _ and -, and not merged, day or part")
     need_quarantine(max_errors, quarantine)
@@ -59,25 +74,27 @@ def _run(
         label = batch_label(job_key, batch_id)
         if batch_id:
             labels.finish(spark, table, job_key, batch_id - 1)
-        # Read by the count and by the writes. Its size is bounded by the source's row limit, and
-        # only rejects keep their text.
-        rejected = F.when(F.col("reason").isNotNull(), F.col("payload"))
-        parsed = parse(batch).withColumn("payload", rejected).persist()
-        try:
-            good, bad = split(parsed)
-            errors = bad.count()
-            check_budget(label, errors, max_errors)
-            if errors:
-                keep_rejects(spark, quarantine, bad, label)
-            load(good, label)
-        finally:
-            parsed.unpersist()
+        seen = Observation(unique("batch_"))
+        malformed = F.count_if(F.col("reason").isNotNull()).alias("errors")
+        parsed = parse(batch, schema).observe(seen, malformed)
+
+        def check() -> None:
+            told = figures(seen, parse(batch, schema), [malformed])
+            check_budget(label, told["errors"], max_errors)
+            if told["errors"]:
+                keep_rejects(spark, quarantine, split(parse(batch, schema))[1], label)
+
+        load(split(parsed)[0], label, check)
         if batch_id and batch_id % FOLD == 0:
             fold()
 
+    return one_batch
+
+
+def _start(messages: DataFrame, batches: Batch, job_key: str, checkpoint: str, trigger: Mapping[str, object]) -> StreamingQuery:
     return (
         messages.writeStream.queryName(job_key)
-        .foreachBatch(one_batch)
+        .foreachBatch(batches)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -96,13 +113,34 @@ def stream_raw(
 ) -> StreamingQuery:
     """Append the stream's readings to a raw table of its own."""
 
-    def load(good: DataFrame, label: str) -> None:
-        load_batch(spark, table, good.drop("site_code"), label)
+    def load(good: DataFrame, label: str, check: Callable[[], None]) -> None:
+        load_batch(spark, table, good.drop("site_code"), label, check=check)
 
     def fold() -> None:
         fold_raw(spark, table, FOLD)
 
-    return _run(spark, messages, table, load, fold, job_key, checkpoint, max_errors, quarantine, trigger)
+    batches = _batches(spark, table, load, fold, job_key, max_errors, quarantine)
+    return _start(messages, batches, job_key, checkpoint, trigger)
+
+
+def rollup_batches(
+    spark: SparkSession,
+    spec: Rollup,
+    job_key: str,
+    dim: DataFrame | str | None = None,
+    max_errors: int = MAX_ERRORS,
+    quarantine: str | None = None,
+) -> Batch:
+    """What ``stream_rollup`` does with each micro-batch, for a stream started elsewhere."""
+
+    def load(good: DataFrame, label: str, check: Callable[[], None]) -> None:
+        sites = pinned(spark, dim, f"{spec.table}_dim_of", job_key, label) if isinstance(dim, str) else dim
+        load_agg(spark, spec, good, label, sites, False, check)
+
+    def fold() -> None:
+        fold_agg(spark, spec, FOLD)
+
+    return _batches(spark, spec.table, load, fold, job_key, max_errors, quarantine)
 
 
 def stream_rollup(
@@ -111,21 +149,57 @@ def stream_rollup(
     spec: Rollup,
     job_key: str,
     checkpoint: str,
-    dim: DataFrame | None = None,
+    dim: DataFrame | str | None = None,
     max_errors: int = MAX_ERRORS,
     quarantine: str | None = None,
     trigger: Mapping[str, object] = EVERY,
 ) -> StreamingQuery:
-    """Fold the stream into a rollup as it arrives. ``dim`` supplies the site of readings that
-    carry none."""
+    """Fold the stream into a rollup as it arrives. ``dim`` supplies the site of readings that carry none.
 
-    def load(good: DataFrame, label: str) -> None:
-        load_agg(spark, spec, good, label, dim)
+    As the name of a dimension table, it is followed: each micro-batch takes the version that is
+    there when it begins, which is noted under its label, so that the same micro-batch run again
+    gives the same rows. As a DataFrame, it is what it was at the start.
+    """
+    batches = rollup_batches(spark, spec, job_key, dim, max_errors, quarantine)
+    return _start(messages, batches, job_key, checkpoint, trigger)
 
-    def fold() -> None:
-        fold_agg(spark, spec, FOLD)
 
-    return _run(spark, messages, spec.table, load, fold, job_key, checkpoint, max_errors, quarantine, trigger)
+def stream_dim(
+    spark: SparkSession,
+    messages: DataFrame,
+    table: str,
+    job_key: str,
+    checkpoint: str,
+    order: Sequence[str] = ("updated_at",),
+    schema: T.StructType = DEVICE_CHANGE,
+    max_errors: int = MAX_ERRORS,
+    quarantine: str | None = None,
+    trigger: Mapping[str, object] = EVERY,
+) -> StreamingQuery:
+    """Keep the dimension current from its change feed: JSON messages of ``schema``, each a row and ``__op``.
+
+    Of a device the change that is last by ``order`` counts, in whatever order and how often changes
+    come: the table keeps deleted devices, and a change older than what is stored is passed over. A
+    micro-batch that runs again changes nothing. Malformed changes go to ``quarantine``.
+    """
+    need_quarantine(max_errors, quarantine)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        label = batch_label(job_key, batch_id)
+        parsed = parse(batch, schema).persist()
+        try:
+            good, bad = split(parsed)
+            sound, unsound = sound_changes(good)
+            rejects = bad.unionByName(unsound)
+            errors = rejects.count()
+            check_budget(label, errors, max_errors)
+            if errors:
+                keep_rejects(spark, quarantine, rejects, label)
+            upsert(spark, table, sound, order=order)
+        finally:
+            parsed.unpersist()
+
+    return _start(messages, one_batch, job_key, checkpoint, trigger)
 
 
 def stream_rejects(
@@ -140,10 +214,19 @@ def stream_rejects(
     """Keep the stream's malformed messages, and fail beyond the budget; for a job that reads the
     same messages but cannot set them aside itself."""
 
-    def nothing(*args: object) -> None:
-        pass
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        label = batch_label(job_key, batch_id)
+        bad = split(parse(batch))[1]
+        seen = Observation(unique("batch_"))
+        counted = F.count(F.lit(1)).alias("errors")
 
-    return _run(spark, messages, quarantine, nothing, nothing, job_key, checkpoint, max_errors, quarantine, trigger)
+        def check() -> None:
+            check_budget(label, figures(seen, bad, [counted])["errors"], max_errors)
+
+        keep_rejects(spark, quarantine, bad.observe(seen, counted), label, check)
+
+    need_quarantine(max_errors, quarantine)
+    return _start(messages, one_batch, job_key, checkpoint, trigger)
 
 
 def compact_stream_rollup(

@@ -148,3 +148,30 @@ def test_changes_that_cannot_be_applied(spark):
         dims.upsert(spark, table, batch, order=ORDER, quarantine=bad)
         assert spark.table(table).count() == 2
     assert sorted(r.reason for r in spark.table(bad).collect()) == ["__op invalid"] * 2 + ["device_id missing", "site_code too long"]
+
+
+def test_rejects_that_come_in_pairs_are_all_kept(spark):
+    lake_ = lake(spark)
+    table, bad = f"{lake_}.dim", f"{lake_}.bad"
+    dims.create_dim(spark, table, spark.createDataFrame([], STATE).drop("__op").schema)
+    create_quarantine(spark, bad)
+    for name in ("aaa", "bbb"):
+        batch = changes(spark, [(None, name, T1, 1, 0)] * 2)
+        dims.upsert(spark, table, batch, order=ORDER, quarantine=bad)
+    assert spark.table(bad).count() == 4
+
+
+def test_a_load_keeps_the_version_it_began_with(spark):
+    table = f"{lake(spark)}.dim"
+    dims.create_dim(spark, table)
+    one = spark.createDataFrame([(1, "d", "s1", 1.0, 2.0, True, None)], DEVICE)
+    dims.upsert(spark, table, one.withColumn("updated_at", F.lit(T1).cast("timestamp")))
+    notes = f"{table}_of"
+
+    def site(label, job="j"):
+        return dims.pinned(spark, table, notes, job, label).first().site_code
+
+    assert site("j-1") == "s1"
+    dims.upsert(spark, table, one.withColumns({"site_code": F.lit("s2"), "updated_at": F.lit(T2).cast("timestamp")}))
+    assert site("j-1") == "s1" and site("k-1", "k") == "s2"
+    assert site("j-2") == "s2" and spark.table(notes).count() == 2

@@ -160,6 +160,19 @@ _BODIES = {
         FROM (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY updated_at DESC, seq DESC) AS rn
               FROM told WHERE reason IS NULL)
         WHERE rn = 1 AND op = 0""",
+    "dim_stream_upsert": """
+        SELECT device_id, site_code, updated_at, seq
+        FROM (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY updated_at DESC, seq DESC) AS rn
+              FROM device_changes)
+        WHERE rn = 1 AND op = 0
+        UNION ALL SELECT count(*), 'rejects', NULL, NULL FROM device_changes WHERE seq % 50 = 0""",
+    "load_gated": """
+        SELECT event_time, device_id, metric, coalesce(value, 0) AS value FROM readings
+        WHERE event_time >= TIMESTAMP '2024-01-01' AND event_time < TIMESTAMP '2024-01-05'""",
+    "ingested_at_filled": """
+        SELECT CASE WHEN event_time < TIMESTAMP '2024-01-10' THEN 'early' ELSE 'late' END AS load_label, count(*) AS n,
+               0::BIGINT AS missing, count(*) FILTER (event_time >= TIMESTAMP '2024-01-10') AS as_given
+        FROM readings WHERE event_time >= TIMESTAMP '2024-01-01' GROUP BY ALL""",
     "fact_dim_hot": """
         SELECT event_time, r.hot AS device_id, metric, value, d.site_code
         FROM (SELECT *, CASE WHEN minute(event_time) % 3 = 0 THEN 1 ELSE device_id END AS hot FROM readings) r
@@ -216,6 +229,16 @@ _BODIES = {
         SELECT date_trunc('minute', event_time) AS event_minute, r.device_id, metric, site_code, {_AGGS}
         FROM messages r LEFT JOIN device d ON r.device_id = d.device_id AND d.is_active
         WHERE reason IS NULL GROUP BY ALL""",
+    "stream_rollup_versioned": f"""
+        WITH numbered AS (
+            SELECT event_id % 3 AS part, CASE WHEN k IN (0, 2, 3, 5, 6, 7) THEN NULL ELSE ts END AS event_time, user_id AS device_id, event_type AS metric,
+                   CASE WHEN k IN (1, 4) THEN NULL ELSE value END AS value
+            FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)),
+        placed AS (
+            SELECT r.*, CASE WHEN r.device_id % (part + 1) = 0 THEN d.site_code || '-' || part ELSE d.site_code END AS site_code
+            FROM numbered r LEFT JOIN device d ON r.device_id = d.device_id WHERE event_time IS NOT NULL)
+        SELECT date_trunc('minute', event_time) AS event_minute, device_id, metric, site_code, {_AGGS}
+        FROM placed GROUP BY ALL""",
     "stream_rollup_windowed": f"""
         WITH good AS (
           SELECT r.*, site_code FROM messages r LEFT JOIN device d ON r.device_id = d.device_id AND d.is_active

@@ -22,6 +22,8 @@ from gaugeline.sources import conform, read_day, read_increment, read_json_batch
 from gaugeline.streaming import (
     compact_stream_rollup,
     create_quarantine,
+    rollup_batches,
+    stream_dim,
     stream_raw,
     stream_rollup,
     stream_rollup_bounded,
@@ -438,6 +440,30 @@ def dim_upsert_rejects(spark, sf_dir):
     return reasons.unionByName(dims.read_dim(spark, table).agg(F.lit("served").alias("reason"), F.count(F.lit(1)).alias("n")))
 
 
+@query
+def dim_stream_upsert(spark, sf_dir):
+    """The change feed as a stream, newest changes first and a part of them twice, some malformed."""
+    folder = f"{shared_root(spark)}/{unique('feed_')}"
+    changes = views.device_changes(spark, sf_dir)
+    table = f"{create_lake(spark)}.dim"
+    dims.create_dim(spark, table, CHANGED_DEVICE)
+    bad = quarantine(spark, table)
+    schema = T.StructType([*CHANGED_DEVICE.fields, T.StructField("__op", T.IntegerType(), False)])
+    newer, older = changes.filter("updated_at >= timestamp '1995-01-01'"), changes.filter("updated_at < timestamp '1995-01-01'")
+    torn = changes.filter("seq % 50 = 0").withColumn("device_id", F.lit(None).cast("long"))
+    errors = torn.count()
+    for part in (newer, older.unionByName(torn), newer):
+        # Files of a part come at once, so that it is a micro-batch of its own.
+        part.select(F.to_json(F.struct(*changes.columns)).alias("value")).write.mode("append").text(f"{folder}/messages")
+        feed = read_stream(spark, "text", {"path": f"{folder}/messages", "maxFilesPerTrigger": "1000000"})
+        stream = stream_dim(
+            spark, feed, table, "feed", f"{folder}/checkpoint", ("updated_at", "seq"), schema, errors, bad, AT_ONCE
+        )
+        run(stream)
+    rejects = spark.table(bad).agg(F.lit("rejects").alias("site_code"), F.count(F.lit(1)).alias("device_id"))
+    return dims.read_dim(spark, table).unionByName(rejects, allowMissingColumns=True)
+
+
 @query
 def fact_dim_join(spark, sf_dir):
     return ops.with_device(views.readings(spark, sf_dir), views.device(spark, sf_dir))
@@ -607,6 +633,39 @@ def published_after_gates(spark, sf_dir):
     )
 
 
+@query
+def load_gated(spark, sf_dir):
+    """Loads whose own rows are measured while they are written: days with too many lost values, or with
+    none that are new enough, leave nothing."""
+    src = views.readings(spark, sf_dir)
+    lost = F.col("event_time") >= "2024-01-10"
+    src = src.withColumn("value", F.when(~lost | (F.minute("event_time") % 2 == 0), F.coalesce("value", F.lit(0.0))))
+    table = raw_table(spark)
+    checks = [ops.RowCount(1), ops.NullRatio("value", 0.05), ops.Fresh("event_time", 24 * 60, "2024-01-20")]
+    for first, last in (("2024-01-01", "2024-01-05"), ("2024-01-12", "2024-01-20"), ("2024-02-10", "2024-02-11")):
+        part = time_range(src, first, last)
+        kept = [checks[:2], checks, checks][("2024-01-01", "2024-01-12", "2024-02-10").index(first)]
+        try:
+            gates.load_if_sound(spark, table, part, f"from-{first}", kept)
+        except ops.DataQualityError:
+            if raw.days_of_label(spark, table, f"from-{first}"):
+                raise AssertionError("a refused load left something") from None
+    return rows_of(spark, table)
+
+
+@query
+def ingested_at_filled(spark, sf_dir):
+    """Rows of two loads by label, and how many of them have no load time or another one than was given."""
+    src = views.readings(spark, sf_dir)
+    table = raw_table(spark)
+    for label, first, last in (("early", "2024-01-01", "2024-01-10"), ("late", "2024-01-10", None)):
+        raw.load_batch(spark, table, time_range(src, first, last), label, "2024-02-03 04:05:06" if label == "late" else None)
+    given = F.col("ingested_at") == F.lit("2024-02-03 04:05:06").cast("timestamp")
+    return spark.table(table).groupBy("load_label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("ingested_at").isNull()).alias("missing"), F.count_if(given).alias("as_given")
+    )
+
+
 @query
 def blocked_by_gates(spark, sf_dir):
     """Too many readings of the last day have lost their value: the rollup stays as it was."""
@@ -695,6 +754,49 @@ def stream_rollup_minute(spark, sf_dir):
     return rollups.read_agg(spark, spec).drop(spec.slot)
 
 
+@query
+def stream_rollup_versioned(spark, sf_dir):
+    """The dimension changes between micro-batches, and again before the second one is replayed: its
+    rows have the sites of the version it began with, the third's those of the newest."""
+    folder = f"{shared_root(spark)}/{unique('topic_')}"
+    spec = Rollup(f"{create_lake(spark)}.agg_minute", "minute", STREAM_KEYS)
+    rollups.create_agg(spark, spec)
+    dim = f"{spec.table}_dim"
+    dims.create_dim(spark, dim, CHANGED_DEVICE)
+    devices = views.device(spark, sf_dir).select("device_id", "site_code")
+
+    def moved(version: int) -> None:
+        site = F.when(F.col("device_id") % (version + 1) == 0, F.concat("site_code", F.lit(f"-{version}"))).otherwise(F.col("site_code"))
+        stamp = F.lit(f"2024-01-0{version + 1}").cast("timestamp")
+        dims.upsert(spark, dim, devices.select("device_id", site.alias("site_code"), stamp.alias("updated_at"), F.lit(version).cast("long").alias("seq")))
+
+    batches = rollup_batches(spark, spec, "minute", dim, budget(spark, sf_dir), quarantine(spark, spec.table))
+    deaths = ["after the load of micro-batch 1"]
+
+    def dying(batch: DataFrame, batch_id: int) -> None:
+        batches(batch, batch_id)
+        if batch_id == 1 and deaths:
+            raise RuntimeError(deaths.pop())
+
+    def go_on() -> None:
+        source = read_stream(spark, "text", {"path": f"{folder}/messages", "maxFilesPerTrigger": "1000000"})
+        stream = source.writeStream.foreachBatch(dying).option("checkpointLocation", f"{folder}/checkpoint").trigger(**AT_ONCE)
+        run(stream.start())
+
+    sent = views.messages(spark, sf_dir)
+    for part in range(3):
+        moved(part)
+        sent.filter(F.col("event_id") % 3 == part).select("value").write.mode("append").text(f"{folder}/messages")
+        try:
+            go_on()
+        except StreamingQueryException as error:
+            if "after the load" not in str(error):
+                raise
+            moved(2)
+            go_on()
+    return rollups.read_agg(spark, spec).drop(spec.slot)
+
+
 @query
 def stream_rollup_windowed(spark, sf_dir):
     source, checkpoint = topic(spark, sf_dir, files_at_once=1_000_000)
