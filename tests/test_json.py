@@ -123,3 +123,35 @@ def test_jdbc_options():
 def test_stream_source_yields_text(spark):
     source = read_stream(spark, "text", {"path": files("a\n")})
     assert source.isStreaming and source.dtypes == [("value", "string")]
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key, value in zip(before, ("700", "1")):
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_an_array_is_read_in_splits(spark, tiny_splits):
+    """Braces and quotes in texts, inner objects, and splits anywhere."""
+    odd = ['}{"', "a\\", '\\"}', "{{", "}", "\n]", "[{", "é}漢", ""]
+    records = [{"n": i, "t": odd[i % len(odd)] * (i % 4), "o": {"p": {"q": [i, {}]}} if i % 3 else None} for i in range(400)]
+    for indent in (None, 3):
+        df = read_json_batch(spark, files(json.dumps(records, indent=indent, ensure_ascii=False), "[]", " [ ] ", ""), array=True)
+        assert df.rdd.getNumPartitions() > 1
+        got = sorted((json.loads(r.value) for r in df.collect()), key=lambda r: r["n"])
+        assert got == records
+
+
+def test_what_is_no_object_is_passed_on(spark):
+    got = [r.value for r in read_json_batch(spark, files('[1, {"a": 2}, null , {"b": 3}, 4, 5]', "[7]"), array=True).collect()]
+    assert sorted(got) == sorted(["1", '{"a": 2}', "null", '{"b": 3}', "4, 5", "7"])
+
+
+@pytest.mark.parametrize("torn", ['[{"a": 1}', '[{"a": 1},{"b"', '[{"a": "x} y', '[{"a": {"b": 1}', '[{"a": 1}{"b": 2}]', '[{"a": 1}] x', '{"a": 1}]', '[{"a": 1}]]{', "7"])
+def test_a_torn_array_raises(spark, torn):
+    with pytest.raises(Exception, match="JSON array"):
+        read_json_batch(spark, files(torn, json.dumps(RECORDS)), array=True).collect()
