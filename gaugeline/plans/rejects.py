@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import catalog
+from .labels import batch_label
 
 
 class ErrorBudgetExceeded(RuntimeError):
@@ -36,3 +37,10 @@ def keep_rejects(
     spark: SparkSession, table: str, bad: DataFrame, label: str, check: Callable[[], None] | None = None
 ) -> None:
     catalog.load_label(spark, table, bad, label, catalog.Layout({"reason": F.col("reason")}), check)
+
+
+def expire_rejects(spark: SparkSession, table: str, job_key: str, before_batch: int) -> list[str]:
+    """Drop what the micro-batches of a stream before a number have set aside; returns their labels."""
+    old = [s for s in catalog.partitions(spark, table) if batch_label(job_key, 0) <= s["load_label"] < batch_label(job_key, before_batch)]
+    catalog.drop_partitions(spark, table, old)
+    return sorted(s["load_label"] for s in old)

@@ -15,6 +15,7 @@ from ..functions.measures import MEASURES, merge_exprs, partial_exprs
 from ..functions.times import GRAINS, as_datetime, bucket, bucket_name, time_range
 from ..operators.joins import enrich, enriched_rollup
 from ..operators.rollup import DEVICE_KEYS, merge_partials, presummed, rollup
+from ..schemas import LIVE_DAYS
 from ..session import unique
 from . import catalog, labels
 from .catalog import Layout, Spec
@@ -273,6 +274,16 @@ def fold_agg(spark: SparkSession, spec: Rollup, fan: int) -> None:
         _merge(spark, spec, old, f"{FOLDED}{kind + 1}-")
 
 
+def expire_agg(spark: SparkSession, spec: Rollup, as_of: str | date | datetime, keep: int = LIVE_DAYS) -> list[str]:
+    """Drop the days, or the hours of days, that are ``keep`` or more days older than ``as_of``; returns
+    their keys. The catalog alone is asked."""
+    catalog.finish_swap(spark, spec.table)
+    last = (as_datetime(as_of).date() - timedelta(days=keep)).isoformat()
+    old = [s for s in catalog.partitions(spark, spec.table) if s[spec.slot][: len(last)] <= last]
+    catalog.drop_partitions(spark, spec.table, old)
+    return sorted({s[spec.slot] for s in old})
+
+
 def partials_between(
     spark: SparkSession, spec: Rollup, start: str | date | datetime, end: str | date | datetime
 ) -> DataFrame:

@@ -83,3 +83,22 @@ def test_the_shared_folder_is_the_cluster_s(spark):
 def test_hot_metric_reaches_the_shuffle_presummed(spark):
     df = readings(spark, [("2024-01-01 00:00:00", 1, "m", 1.0)]).groupBy("device_id").agg(F.sum("value"))
     assert "partial_sum" in plan(df)
+
+
+def test_a_device_is_found_without_buckets(spark):
+    """Row groups hold all times of a while, and a range of devices that says nothing."""
+    table = raw_table(spark)
+    spark.conf.set("parquet.block.size", "60000")
+    try:
+        rows = spark.range(60_000).select(
+            F.timestamp_seconds(1_704_070_800 + F.col("id")).alias("event_time"),
+            F.xxhash64("id").alias("device_id"), F.lit("m").alias("metric"), F.rand(1).alias("value"),
+        )
+        raw.load_batch(spark, table, rows.coalesce(1), "l")
+    finally:
+        spark.conf.unset("parquet.block.size")
+    wanted = spark.range(1).select(F.xxhash64(F.lit(31_000).cast("long")).alias("d")).first().d
+    found = spark.table(table).filter(F.col("device_id") == wanted)
+    assert [r.device_id for r in found.collect()] == [wanted]
+    leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert 0 < leaf.metrics().apply("numOutputRows").value() < 20_000

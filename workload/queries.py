@@ -20,6 +20,8 @@ from gaugeline.schemas import READING_COLS, WATERMARK_FLOOR
 from gaugeline.session import configure, create_lake, shared_root, unique
 from gaugeline.sources import conform, read_day, read_increment, read_json_batch, read_stream
 from gaugeline.streaming import (
+    History,
+    StreamJob,
     compact_stream_rollup,
     create_quarantine,
     rollup_batches,
@@ -257,6 +259,23 @@ def retention(spark, sf_dir):
     return rows_of(spark, table)
 
 
+@query
+def rollup_retention(spark, sf_dir):
+    """Minute partials of the newest days, by the catalog alone."""
+    spec = Rollup(f"{create_lake(spark)}.agg_minute", "minute")
+    rollups.create_agg(spark, spec)
+    rollups.load_agg(spark, spec, views.readings(spark, sf_dir), "first")
+    rollups.expire_agg(spark, spec, as_of="2024-02-05", keep=20)
+    return rollups.read_agg(spark, spec).drop(spec.slot)
+
+
+@query
+def device_lookup(spark, sf_dir):
+    """Key filter on a table without buckets, where Bloom filters of row groups leave most unread."""
+    table = raw_table(spark, views.readings(spark, sf_dir))
+    return spark.table(table).filter("device_id = 7").select(*READING_COLS)
+
+
 @query
 def compact_days(spark, sf_dir):
     src = views.readings(spark, sf_dir)
@@ -811,6 +830,34 @@ def stream_rollup_windowed(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query
+def stream_history(spark, sf_dir):
+    """The history of a stream that is paused after its first files and resumed: all messages, no micro-batch
+    above the row limit, none missing, two runs."""
+    source, checkpoint = topic(spark, sf_dir)
+    table = raw_table(spark)
+    spent = budget(spark, sf_dir), quarantine(spark, table)
+    history = History(spark, f"{table}_history")
+    spark.streams.addListener(history)
+    try:
+        job = StreamJob(lambda: stream_raw(spark, source, table, "raw", checkpoint, *spent, trigger={"processingTime": "0 seconds"}))
+        stream = job.resume()
+        while stream.isActive and not stream.lastProgress:
+            stream.awaitTermination(1)
+        job.pause()
+        history.settle(stream)
+        stream = stream_raw(spark, source, table, "raw", checkpoint, *spent, trigger=AT_ONCE)
+        run(stream)
+        history.settle(stream)
+    finally:
+        spark.streams.removeListener(history)
+    limit = 2 * -(-views.messages(spark, sf_dir).count() // 5)
+    return history.read().agg(
+        F.sum("input_rows").alias("n"), F.count_if(F.col("input_rows") > limit).alias("over_limit"),
+        (F.max("batch_id") + 1 - F.count(F.lit(1))).alias("missing"), (F.count_distinct("run_id") <= 2).alias("two_runs"),
+    )
+
+
 @query
 def stream_quarantine(spark, sf_dir):
     source, checkpoint = topic(spark, sf_dir)
