@@ -109,7 +109,7 @@ _BODIES = {
         SELECT date_trunc('minute', event_time) AS event_minute, device_id, metric, {_AGGS}
         FROM readings WHERE event_time >= TIMESTAMP '2024-01-17' GROUP BY ALL""",
     "device_lookup": "SELECT * FROM readings WHERE device_id = 7",
-    "stream_history": "SELECT count(*) AS n, 0::BIGINT AS over_limit, 0::BIGINT AS missing, true AS two_runs FROM messages",
+    "stream_history": "SELECT count(*) AS n, 0::BIGINT AS over_limit, 0::BIGINT AS missing, true AS two_runs FROM messages WHERE reason IS NULL",
     "compact_days": "SELECT * FROM readings",
     "device_history": f"SELECT * FROM readings WHERE device_id = 7 AND {_RANGE}",
     "rollup_minute": _rollup("minute"),
