@@ -186,14 +186,22 @@ _NO_FILES = "none"
 def versions(
     spark: SparkSession, source: str, first: str, last: str, dim_table: str | None = None
 ) -> dict[str, str]:
-    """A version of each day of the table from ``first`` to ``last`` that has files: a digest of
-    their names, which are never used twice, and of the dimension's folder."""
+    """A version of each day of the table from ``first`` to ``last`` that has rows: a digest of its
+    files' names, which are never used twice, and of the dimension's folder.
+
+    The names are folded by day where the files are read, no column of them is; the driver gets a row a day.
+    """
     days = F.col("event_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    by_day: dict[str, list[str]] = {}
-    for name in spark.table(source).filter(days).inputFiles():
-        by_day.setdefault(re.search(r"/event_date=([\d-]+)/", name)[1], []).append(name.rsplit("/", 1)[-1])
+    files = spark.table(source).filter(days).groupBy("event_date", F.col("_metadata.file_name").alias("file")).agg(F.lit(1))
+    folded = files.groupBy(F.col("event_date").cast("string").alias("day")).agg(
+        F.count("file").alias("n"),
+        F.sum(F.xxhash64("file").cast("decimal(20,0)")).alias("total"),
+        F.bit_xor(F.xxhash64("file", F.lit(1))).alias("both"),
+    )
     beside = catalog.table_location(spark, dim_table) if dim_table else ""
-    return {day: hashlib.md5("\n".join([*sorted(names), beside]).encode()).hexdigest() for day, names in by_day.items()}
+    return {
+        r["day"]: hashlib.md5(f"{r['n']} {r['total']} {r['both']} {beside}".encode()).hexdigest() for r in folded.collect()
+    }
 
 
 def _noted(spec: Rollup) -> str:

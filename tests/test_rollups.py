@@ -165,6 +165,22 @@ def test_stale_days_are_answered_by_the_readings(spark, some):
         rollups.rollup_query(spark, some, [], "day", ["site_code"], ["value_sum"], "2024-01-01", "2024-01-05")
 
 
+def test_versions_are_folded_by_day_without_reading_columns(spark, some):
+    """One row a day whatever the number of files; another file or another dimension is another version."""
+    table = raw_table(spark)
+    raw.load_batch(spark, table, some, "l")
+    first = rollups.versions(spark, table, "2024-01-01", "2024-01-03")
+    assert sorted(first) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert rollups.versions(spark, table, "2024-01-01", "2024-01-03") == first
+    raw.load_batch(spark, table, some.filter("to_date(event_time) = '2024-01-02'").limit(1), "more")
+    now = rollups.versions(spark, table, "2024-01-01", "2024-01-03")
+    assert {day for day in first if first[day] != now[day]} == {"2024-01-02"}
+    # The same label again has the same rows in other files.
+    raw.load_batch(spark, table, some, "l")
+    assert all(v != now[day] for day, v in rollups.versions(spark, table, "2024-01-01", "2024-01-03").items())
+    assert rollups.versions(spark, table, "2025-01-01", "2025-01-03") == {}
+
+
 def test_routed_answers_equal_the_readings(spark, some):
     specs = [replace(agg(spark, grain), complete=True) for grain in ("hour", "day", "minute")]
     for spec in specs:
