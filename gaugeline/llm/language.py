@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,9 @@ UNDETERMINED = "und"
 FOLDS = 4
 #: A found language with this score, half as many hits again as the next one, outweighs a label.
 CLEAR = 0.6
+#: Slots of a filter for each gram of the language that has most; bytes of a filter at most.
+ROOM, MODEL_BYTES = 64, 32 << 20
+_BLOCK = 16
 _PRIMES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -108,22 +111,18 @@ def _slots_of(grams: np.ndarray, bits: int) -> list[np.ndarray]:
 
 
 def learn(
-    df: DataFrame,
-    text: str = "text",
-    lang: str = "lang",
-    share: float = 0.25,
-    per_language: int = 50_000,
-    bits: int = 20,
+    df: DataFrame, text: str = "text", lang: str = "lang", share: float = 0.25, model_bytes: int = MODEL_BYTES
 ) -> Filters:
     """Build the filters from all rows with a text and a language.
 
     A gram goes to a language if its rate there is at least ``share`` of its highest rate in any
-    language, so that foreign passages don't teach; of those, a language's filter holds its
-    ``per_language`` most frequent (ties by value). That is the size of the model: the counts
-    cover all texts, and what reaches the driver is at most that many grams a language.
-    No rows to learn from: no languages, and every prediction is ``und``.
+    language, so that foreign passages don't teach. All such grams are in the filter. It has ``ROOM``
+    slots for each gram of the language that has most, and ``model_bytes`` at most (one byte a slot for
+    each eight languages): a model that is then fuller than planned has more false positives, which
+    are known from its filling and taken off. Bits are set in Spark; the driver gets the filled slots in
+    blocks. No rows to learn from: no languages, and every prediction is ``und``.
     """
-    return _filters(gram_counts(df, text, lang).drop("fold"), share, per_language, bits)
+    return _filters(written(gram_counts(df, text, lang).drop("fold")), share, model_bytes)
 
 
 def learn_apart(df: DataFrame, text: str = "text", lang: str = "lang", folds: int = FOLDS, **options) -> list[Filters]:
@@ -133,31 +132,52 @@ def learn_apart(df: DataFrame, text: str = "text", lang: str = "lang", folds: in
     return [_filters(o, **options) for o in others]
 
 
-def _filters(counts: DataFrame, share: float = 0.25, per_language: int = 50_000, bits: int = 20) -> Filters:
+def _filters(counts: DataFrame, share: float = 0.25, model_bytes: int = MODEL_BYTES) -> Filters:
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     rate = counts.join(total, "lang").withColumn("rate", F.col("n") / F.col("total"))
-    best = F.max("rate").over(_by("gram"))
+    best = F.max("rate").over(Window.partitionBy("gram"))
     typical = rate.withColumn("best", best).where(F.col("rate") >= share * F.col("best"))
-    rank = F.row_number().over(_by("lang").orderBy(F.desc("n"), "gram"))
-    chosen = typical.withColumn("rank", rank).where(F.col("rank") <= per_language)
-    rows = chosen.groupBy("lang").agg(F.collect_list("gram").alias("grams"), F.max("total").alias("total")).collect()
+    typical = written(typical.select("lang", "gram", "total"))
+    rows = typical.groupBy("lang").agg(F.count("gram").alias("grams"), F.max("total").alias("total")).collect()
     rows.sort(key=lambda r: r["lang"])
+    if not rows:
+        return Filters((), np.zeros((1 << _BLOCK, 1), np.uint8), np.zeros(0), UNDETERMINED)
     size = (len(rows) + 7) // 8
-    slots = np.zeros((1 << bits, max(1, size)), np.uint8)
+    wished = max(ROOM * max(r["grams"] for r in rows), 1 << _BLOCK)
+    bits = max(_BLOCK, min((wished - 1).bit_length(), (model_bytes // size).bit_length() - 1))
+    slots = _set_bits(typical, [r["lang"] for r in rows], bits, size)
     wrong = np.zeros(len(rows))
-    for i, row in enumerate(rows):
-        for at in _slots_of(np.array(row["grams"], np.uint32), bits):
-            slots[at, i // 8] |= np.uint8(1 << i % 8)
+    for i in range(len(rows)):
         filled = np.count_nonzero(slots[:, i // 8] & (1 << i % 8)) / (1 << bits)
         wrong[i] = filled ** len(_PRIMES)
-    fallback = max(rows, key=lambda r: r["total"])["lang"] if rows else UNDETERMINED
+    fallback = max(rows, key=lambda r: r["total"])["lang"]
     return Filters(tuple(r["lang"] for r in rows), slots, wrong, fallback)
 
 
-def _by(name: str):
-    from pyspark.sql import Window
+def _set_bits(typical: DataFrame, languages: list[str], bits: int, size: int) -> np.ndarray:
+    """The slots: bits of a slot are joined before they meet, and a block of slots is one value."""
 
-    return Window.partitionBy(name)
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            which = np.asarray(pc.index_in(batch.column(0), value_set=pa.array(languages, pa.string())), np.int32)
+            for at in _slots_of(np.asarray(batch.column(1)).astype(np.uint32), bits):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(which // 8), pa.array(at.astype(np.int64)), pa.array(np.int32(1) << which % 8)], ["byte", "slot", "mask"]
+                )
+
+    def block(rows: pa.Table) -> pa.Table:
+        held = np.zeros(1 << _BLOCK, np.uint8)
+        at = np.asarray(rows["slot"])
+        held[at & ((1 << _BLOCK) - 1)] = np.asarray(rows["mask"]).astype(np.uint8)
+        return pa.table({"byte": rows["byte"][:1], "block": pa.array([int(at[0]) >> _BLOCK], pa.int64()), "held": pa.array([held.tobytes()])})
+
+    filled = typical.select("lang", "gram").mapInArrow(spread, "byte int, slot bigint, mask int")
+    filled = filled.groupBy("byte", "slot").agg(F.bit_or("mask").alias("mask"))
+    blocks = filled.groupBy("byte", F.shiftright("slot", _BLOCK)).applyInArrow(block, "byte int, block bigint, held binary")
+    slots = np.zeros((1 << bits, size), np.uint8)
+    for row in blocks.collect():
+        slots[row["block"] << _BLOCK : (row["block"] + 1) << _BLOCK, row["byte"]] = np.frombuffer(row["held"], np.uint8)
+    return slots
 
 
 def judge(texts: pa.Array, model: Filters, letters: pa.Array | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -201,23 +221,26 @@ def identify(df: DataFrame, model: Filters | list[Filters], text: str = "text")
     A null text, or one without a letter, is ``und`` with score and coverage 0. A text whose
     grams no filter holds gets the language with most taught text, score 0. Ties go to the
     first language by code point. Columns of those names are replaced. Rows stay where they are.
-    A list of filters, from ``learn_apart``, judges each text by those of its fold.
+    A list of filters, from ``learn_apart``, judges each text by those of its fold. Filters are
+    broadcast; ``model_bytes`` bounds each.
     """
     models = [model] if isinstance(model, Filters) else model
     added = [("lang_pred", T.StringType()), ("lang_score", T.DoubleType()), ("lang_coverage", T.DoubleType())]
     kept = df.drop(*[name for name, _ in added])
     at = kept.columns.index(text)
     schema = T.StructType([*kept.schema.fields, *[T.StructField(n, t) for n, t in added]])
+    sent = df.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sent.value
         for batch in batches:
             for piece in slices(batch, at):
                 letters = _letters(piece.column(at))
-                place = _folds(letters, len(models))
+                place = _folds(letters, len(held))
                 for k in np.unique(place).tolist():
                     here = pa.array(place == k)
-                    own = piece.filter(here) if len(models) > 1 else piece
-                    names, score, covered = judge(own.column(at), models[k], letters.filter(here))
+                    own = piece.filter(here) if len(held) > 1 else piece
+                    names, score, covered = judge(own.column(at), held[k], letters.filter(here))
                     yield pa.RecordBatch.from_arrays(
                         [*own.columns, pa.array(names, pa.string()), pa.array(score), pa.array(covered)], schema.names
                     )

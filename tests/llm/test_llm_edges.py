@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import time
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -76,6 +78,48 @@ def test_bit_slices_hold_all_languages_of_a_gram(spark):
     assert all(r["lang"] == r["lang_pred"] for r in got)
 
 
+def test_filter_hits_against_exact_sets(spark):
+    """Slots say what exact sets of grams say, but for the false positives that their filling predicts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.learn(docs.where("doc_id % 2 = 0"))
+    rows = [r for r in docs.collect() if r["text"]]
+
+    def grams(text):
+        data = ("  " + re.sub(r"[\W\d_]+", "  ", text.lower()) + "  ").encode()
+        return [data[i : i + 4] for i in range(len(data) - 3)]
+
+    taught = {}
+    for r in rows:
+        if r["lang"] and r["doc_id"] % 2 == 0:
+            taught.setdefault(r["lang"], Counter()).update(grams(r["text"]))
+    rate = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in taught.items()}
+    typical = {k: {g for g, x in c.items() if x >= 0.25 * max(o.get(g, 0) for o in rate.values())} for k, c in rate.items()}
+    assert model.languages == tuple(sorted(typical))
+    assert max(model.wrong) < 0.01
+    for r in rows:
+        own = grams(r["text"])
+        codes = np.array([int.from_bytes(g, "big") for g in own], np.uint32)
+        first, second = language._slots_of(codes, int(model.slots.shape[0]).bit_length() - 1)
+        for i, name in enumerate(model.languages):
+            held = (model.slots[first, i // 8] & model.slots[second, i // 8]) >> (i % 8) & 1
+            exact = np.array([g in typical[name] for g in own])
+            assert held[exact].all()
+            assert held[~exact].sum() <= 5 + 3 * model.wrong[i] * len(own)
+
+
+def test_language_filter_holds_all_grams(spark):
+    """More distinct grams than any former limit, in a model of the size asked for, and in one too small."""
+    rng = np.random.default_rng(3)
+    letters = [chr(c) for c in range(0x4E00, 0x9000)]
+    many = [("zh", "".join(rng.choice(letters, 4000))) for _ in range(25)]
+    frame = spark.createDataFrame([*many, ("en", "all work and no play makes a dull day " * 20)], "lang string, text string")
+    for options, least in (({}, 0.99), ({"model_bytes": 1 << 18}, 0.0)):
+        model = language.learn(frame, **options)
+        got = language.identify(frame, model).collect()
+        assert all(r["lang"] == r["lang_pred"] and r["lang_coverage"] >= least for r in got if options == {} or r["lang"] == "en")
+        assert model.slots.nbytes <= options.get("model_bytes", language.MODEL_BYTES)
+
+
 def test_language_model(docs, none):
     rows = ppm.score(docs, F.col("doc_id") == 6).collect()
     assert len(rows) == len(ROWS)

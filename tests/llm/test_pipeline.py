@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -51,27 +52,40 @@ def _grams(text):
     return [data[i : i + 4] for i in range(len(data) - 3)]
 
 
+def _fold(text):
+    return zlib.crc32(re.sub(r"[\W\d_]+", "  ", (text or "").lower()).strip().encode()) % 4
+
+
 def test_language_id(stages):
+    """Each text is judged by the exact grams of the labelled texts of the three other folds."""
     before, after = stages[0], stages[1]
-    taught = defaultdict(Counter)
-    for r in before:
-        if r["lang"] and r["text"]:
-            taught[r["lang"]].update(_grams(r["text"]))
-    rate = {l: {g: n / sum(c.values()) for g, n in c.items()} for l, c in taught.items()}
-    best = Counter()
-    for c in rate.values():
-        for g, x in c.items():
-            best[g] = max(best[g], x)
-    typical = {l: {g for g, x in c.items() if x >= 0.25 * best[g]} for l, c in rate.items()}
-    stay = Counter()
+    typical = []
+    for fold in range(4):
+        taught = defaultdict(Counter)
+        for r in before:
+            if r["lang"] and r["text"] is not None and _fold(r["text"]) != fold:
+                taught[r["lang"]].update(_grams(r["text"]))
+        rate = {l: {g: n / sum(c.values()) for g, n in c.items()} for l, c in taught.items()}
+        best = Counter()
+        for c in rate.values():
+            for g, x in c.items():
+                best[g] = max(best[g], x)
+        typical.append({l: {g for g, x in c.items() if x >= 0.25 * best[g]} for l, c in rate.items()})
+    stay, langs = Counter(), {}
     for r in before:
         grams = _grams(r["text"])
-        share = max(sum(g in t for g in grams) for t in typical.values()) / max(1, len(grams))
-        if re.search(r"[^\W\d_]", r["text"] or "") and share >= 0.3:
+        hits = sorted(((sum(g in t for g in grams), l) for l, t in typical[_fold(r["text"])].items()), reverse=True)
+        if re.search(r"[^\W\d_]", r["text"] or "") and hits[0][0] / max(1, len(grams)) >= 0.3:
             stay[r["doc_id"]] += 1
+            score = hits[0][0] / (hits[0][0] + hits[1][0])
+            if r["lang"] is None or score > 0.65:
+                langs[r["doc_id"]] = hits[0][1]
+            elif score < 0.55:
+                langs[r["doc_id"]] = r["lang"]
     assert Counter(r["doc_id"] for r in after) == stay
     assert not {r["doc_id"] for r in after} & {i for i, *_ in JUNK}
-    assert all(r["lang"] for r in after)
+    assert all(r["lang"] and r["lang"] == langs.get(r["doc_id"], r["lang"]) for r in after)
+    assert len(langs) > 0.9 * len(stay)
 
 
 def test_exact_dedup(stages):
