@@ -16,14 +16,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices
 
-#: Bounds of the sample of labelled documents that the classifier is fitted on.
-TOXIC_SAMPLE, CLEAN_SAMPLE = 1_500, 3_000
+#: Bounds of the sample of labelled documents that the classifier is fitted on: documents, bytes of all
+#: their texts, and bytes of the longest text that is taken.
+TOXIC_SAMPLE, CLEAN_SAMPLE = 1_000, 2_000
+TOXIC_BYTES, CLEAN_BYTES, LONGEST = 3 << 20, 6 << 20, 64 << 10
 #: Documents at or above this score are predicted toxic; spans are tokens at or above the other.
 THRESHOLD, SPAN = 0.7, 0.5
 _PREFIXES = range(3, 9)
@@ -129,18 +131,15 @@ def cues(toxic: list[list[str]], clean: list[list[str]], share: float = 0.01, le
     return {f for f, n in held.items() if (n / len(toxic)) >= ratio * (against[f] + 0.5) / (len(clean) + 1)}
 
 
-def _train(texts: list[list[str]], tags: list[np.ndarray], rounds: int = 120, rate: float = 0.5, decay: float = 1e-4) -> Model:
-    """Weights that make the tags likely: full-batch gradient steps, scaled per weight (Adagrad)."""
-    names: dict[str, int] = {}
-    at, which = [], []
-    token = 0
-    for words in texts:
-        for word in words:
-            for f in features(word):
-                at.append(token)
-                which.append(names.setdefault(f, len(names)))
-            token += 1
-    at, which = np.array(at), np.array(which)
+def _train(texts: list[list[str]], tags: list[np.ndarray], rounds: int = 80, rate: float = 0.5, decay: float = 1e-4, least: int = 3) -> Model:
+    """Weights that make the tags likely: full-batch gradient steps, scaled per weight (Adagrad).
+    Features of fewer than ``least`` texts have none. No text is empty."""
+    places: dict[str, int] = {}
+    token = np.array([places.setdefault(w, len(places)) for words in texts for w in words])
+    held = Counter(f for words in texts for f in {f for w in set(words) for f in features(w)})
+    names = {f: i for i, f in enumerate(f for f, n in held.items() if n >= least)}
+    pairs_ = [(i, names[f]) for i, w in enumerate(places) for f in features(w) if f in names]
+    word, which = np.array(pairs_, np.int64).reshape(-1, 2).T
     gold = np.concatenate(tags).astype(float)
     starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     head = np.zeros(gold.size, bool)
@@ -149,7 +148,7 @@ def _train(texts: list[list[str]], tags: list[np.ndarray], rounds: int = 120, ra
     theta, bias, moves = np.zeros(len(names)), -2.0, np.zeros((2, 2))
     seen = [np.zeros(len(names)), 0.0, np.zeros((2, 2))]
     for _ in range(rounds):
-        evidence = np.bincount(at, theta[which], gold.size) + bias
+        evidence = np.bincount(word, theta[which], len(places))[token] + bias
         p = marginals(evidence, starts, moves)
         wrong = gold - p
         # Expected pairs of tags: by the forward message of one step on the marginals.
@@ -163,7 +162,7 @@ def _train(texts: list[list[str]], tags: list[np.ndarray], rounds: int = 120, ra
         pairs[0, 0], pairs[1, 0] = (1 - prior).sum() - pairs[0, 1], prior.sum() - pairs[1, 1]
         real = np.array([[((1 - before) * (1 - gold)).sum(), ((1 - before) * gold).sum()], [(before * (1 - gold)).sum(), (before * gold).sum()]])
         slopes = [
-            np.bincount(which, wrong[at], len(names)) - decay * len(texts) * theta,
+            np.bincount(which, np.bincount(token, wrong, len(places))[word], len(names)) - decay * len(texts) * theta,
             wrong.sum(),
             np.clip(real - pairs, -1e6, 1e6) - 0.01 * len(texts) * moves,
         ]
@@ -218,18 +217,27 @@ def _signals(p: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
-    """Weighted logistic regression with a small ridge, by Newton steps."""
+    """Weighted logistic regression with a small ridge, by Newton steps that never raise the loss."""
     design = np.column_stack([np.ones(len(x)), x])
     beta = np.zeros(design.shape[1])
     ridge = np.diag([1e-3] + [1e-2] * x.shape[1]) * weight.sum() / 100
-    for _ in range(50):
+
+    def loss(at: np.ndarray) -> float:
+        z = design @ at
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + at @ ridge @ at / 2)
+
+    now = loss(beta)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         slope = design.T @ (weight * (y - p)) - ridge @ beta
         curve = (design * (weight * p * (1 - p))[:, None]).T @ design + ridge
         move = np.linalg.solve(curve, slope)
-        beta += np.clip(move, -2, 2)
+        # Where classes are apart, whole steps would go too far and miss the least loss.
+        while (ahead := loss(beta + move)) > now and np.abs(move).max() > 1e-8:
+            move = move / 2
         if np.abs(move).max() < 1e-8:
             break
+        beta, now = beta + move, ahead
     return tuple(float(b) for b in beta)
 
 
@@ -246,10 +254,18 @@ def learn(
     toxic: str = "toxic",
     toxic_sample: int = TOXIC_SAMPLE,
     clean_sample: int = CLEAN_SAMPLE,
+    toxic_bytes: int = TOXIC_BYTES,
+    clean_bytes: int = CLEAN_BYTES,
+    longest: int = LONGEST,
 ) -> Model:
-    """Fit on at most ``toxic_sample`` and ``clean_sample`` documents with a label, chosen by the
-    hash of their ids. Null labels are left out, a document labelled twice is toxic if once, and
-    of documents with equal text one is used. Without toxic or clean ones, all scores are near 0.
+    """Fit on whole texts of a sample of labelled documents: the first ``toxic_sample`` and
+    ``clean_sample`` ones by the hash of their ids, as far as their texts have ``toxic_bytes`` and
+    ``clean_bytes`` together; of these, documents of more than ``longest`` bytes are not used. So the
+    same rows give the same sample, and the driver holds a bounded one whatever the texts are.
+
+    Null labels are left out, a document labelled twice is toxic if once, of rows with one id the
+    smallest text counts, and of documents with equal text one. Without toxic or clean ones, all
+    scores are near 0.
     """
     marked = labels.where(F.col(toxic).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id"))
     marked = marked.agg((F.max(toxic) > 0).alias("_toxic"))
@@ -257,45 +273,35 @@ def learn(
     sizes = {r["_toxic"]: r["count"] for r in held.groupBy("_toxic").count().collect()}
     if len(sizes) < 2:
         return Model()
-    place = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1_000_003)) / 1_000_003
-    bounds = {True: toxic_sample, False: clean_sample}
+    held = held.withColumn("_at", F.xxhash64("_id", F.lit(5)))
     parts = [
-        held.where((F.col("_toxic") == kind) & (place < 0.95 * bound / sizes[kind])).limit(bound)
-        for kind, bound in bounds.items()
+        held.where(F.col("_toxic") == kind).orderBy("_at", "_id").limit(bound)
+        for kind, bound in ((True, toxic_sample), (False, clean_sample))
     ]
     chosen = parts[0].unionByName(parts[1]).collect()
-    named = df.sparkSession.createDataFrame(chosen, marked.schema)
+    named = df.sparkSession.createDataFrame(chosen, held.schema)
     texts = df.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = texts.join(F.broadcast(named), "_id").select("_id", "_text", "_toxic").collect()
+    texts = texts.where(F.octet_length("_text") <= longest).join(F.broadcast(named), "_id")
+    texts = texts.groupBy("_toxic", "_at", "_id").agg(F.min("_text").alias("_text"))
+    so_far = F.sum(F.octet_length("_text")).over(Window.partitionBy("_toxic").orderBy("_at", "_id"))
+    allowed = F.when(F.col("_toxic"), toxic_bytes).otherwise(clean_bytes)
+    rows = texts.withColumn("_bytes", so_far).where(F.col("_bytes") <= allowed).collect()
     once = {r["_text"]: r["_toxic"] for r in sorted(rows, key=lambda r: (r["_toxic"], str(r["_id"])))}
     return fit([(_WORD.findall(lowered(t)), y) for t, y in sorted(once.items())], sizes[True] / sum(sizes.values()))
 
 
-def fit(documents: list[tuple[list[str], bool]], share: float, around: int = 20) -> Model:
+def fit(documents: list[tuple[list[str], bool]], share: float) -> Model:
     """Field from two of three documents, document score from the third. ``share``: of toxic ones."""
-    first = [d for i, d in enumerate(documents) if i % 3 != 2]
+    first = [d for i, d in enumerate(documents) if i % 3 != 2 and d[0]]
     second = [d for i, d in enumerate(documents) if i % 3 == 2]
     toxic, clean = [w for w, y in first if y], [w for w, y in first if not y]
     if not toxic or not clean:
         return Model()
     found = cues(toxic, clean)
     cue = {w: any(f in found for f in features(w)) for words in toxic for w in set(words)}
-    texts, tags = [], []
-    for words in toxic:
-        tag = np.array([cue[w] for w in words], bool)
-        near = np.convolve(tag, np.ones(2 * around + 1), "same")[: tag.size] > 0 if tag.size else tag
-        kept = np.flatnonzero(near) if near.any() else np.arange(0)
-        if kept.size:
-            texts.append([words[i] for i in kept])
-            tags.append(tag[kept])
-    for i, words in enumerate(clean):
-        # A stretch that moves with the document, and every word that looks like a cue.
-        begin = (i * 7919) % max(1, len(words) - 2 * around)
-        kept = [*words[begin : begin + 2 * around], *[w for w in words if any(f in found for f in features(w))]]
-        if kept:
-            texts.append(kept)
-            tags.append(np.zeros(len(kept), bool))
-    if not texts or not any(t.any() for t in tags):
+    texts = [*toxic, *clean]
+    tags = [np.array([cue[w] for w in words], bool) for words in toxic] + [np.zeros(len(words), bool) for words in clean]
+    if not any(t.any() for t in tags):
         return Model()
     model = _train(texts, tags)
     p, starts = Scorer(model).tags([w for w, _ in second])
