@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from .common import flat, mixed, placed_words
 
-#: Cells of a fingerprint, a third in each part; words after which a line is cut into paragraphs.
-CELLS, WORDS = 24, 8
+#: Cells of a fingerprint, a third in each part; a line is cut after one of so many words, on average,
+#: and after so many at the latest.
+CELLS, WORDS, MOST = 24, 8, 32
 #: At most so many stretches of the order of documents, one task each; of about so many rows.
 STRETCHES, ROWS = 4096, 1000
 _PARTS = 3
@@ -31,8 +32,10 @@ _PARTS = 3
 def paragraphs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit digests of the paragraphs of all texts, and where each text's begin (plus the end).
 
-    A paragraph is a line, or each ``WORDS`` words of a longer one; white space inside does not
-    count, lines without words are none. The second of two equal paragraphs has another digest.
+    A paragraph is a stretch of a line that ends after a word whose hash is a multiple of ``WORDS``,
+    after ``MOST`` words, or with the line. So the words themselves say where, and the cuts meet again
+    after a word that was put in. White space inside does not count, lines without words are none.
+    The second of two equal paragraphs has another digest.
     """
     data, starts = flat(pa.array(texts, pa.large_string()))
     hashes, before, heads = placed_words(data, starts)
@@ -42,10 +45,11 @@ def paragraphs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     text = np.repeat(np.arange(len(texts)), np.diff(before))
     new = np.ones(hashes.size, bool)
     new[1:] = (line[1:] != line[:-1]) | (text[1:] != text[:-1])
+    new[1:] |= hashes[:-1] % np.uint64(WORDS) == 0
     at = np.arange(hashes.size)
-    since = at - np.maximum.accumulate(np.where(new, at, 0))
-    begin = np.flatnonzero(since % WORDS == 0)
-    digests = mixed(np.add.reduceat(mixed(hashes + (since % WORDS).astype(np.uint64)), begin))
+    since = (at - np.maximum.accumulate(np.where(new, at, 0))) % MOST
+    begin = np.flatnonzero(since == 0)
+    digests = mixed(np.add.reduceat(mixed(hashes + since.astype(np.uint64)), begin))
     owner = text[begin]
     order = np.lexsort((digests, owner))
     same = np.zeros(order.size, bool)

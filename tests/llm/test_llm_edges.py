@@ -505,3 +505,44 @@ def test_toxic_spans_are_where_the_words_are(spark):
             found = {whole[s["begin"] : s["end"]].lower() for s in told[i]["spans"]}
             assert all(any(w in f for w in ("scumbag", "vile", "gross")) for f in found)
             assert bool(found) == bool(bad)
+
+
+def test_an_inserted_word_leaves_most_paragraphs_alike():
+    """Cuts follow the words, so they meet again after the place of a change; equal words are cut at the latest after 32."""
+    rng = np.random.default_rng(4)
+    words = [f"w{x}" for x in rng.integers(0, 5000, 2000)]
+    changed = [*words[:700], "new", *words[700:1400], *words[1401:]]
+    digests, starts = sketches.paragraphs([" ".join(words), "\t".join(changed), "same " * 1000])
+    near = sketches.likeness(digests, starts, np.array([0]), np.array([1]))[0]
+    assert 0.95 < near < 1
+    assert np.diff(starts)[2] in (-(-1000 // 32), 1000)
+
+
+def test_toxicity_sample_is_bounded_and_the_same_each_time(spark, monkeypatch):
+    """By documents, by bytes and by the longest text; ids on several rows count once."""
+    rows = [(i, f"calm words number {i} " * (i % 7 + 1) + ("vile scum " if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(300)]
+    rows += [(3, "vile scum again", 1)] * 50 + [(6, "vile " * 60000, 1)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(7)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda documents, share: seen.append((documents, share)))
+    bounds = {"toxic_sample": 40, "clean_sample": 90, "toxic_bytes": 2000, "clean_bytes": 100_000, "longest": 1000}
+    for _ in range(2):
+        toxicity.learn(frame, frame.select("doc_id", "toxic"), **bounds)
+    assert seen[0] == seen[1]
+    bad, good = ([" ".join(w) for w, y in seen[0][0] if y == kind] for kind in (True, False))
+    assert 0 < len(bad) <= 40 and sum(map(len, bad)) <= 2000 and max(map(len, bad)) <= 1000
+    assert len(good) == 90
+
+
+def test_calibration_finds_the_least_loss_where_classes_are_apart():
+    rng = np.random.default_rng(8)
+    y = np.repeat([0.0, 1.0], [400, 300])
+    x = np.column_stack([np.where(y > 0, 4, -4) + rng.normal(0, 0.3, 700), y + rng.random(700), 5 + rng.random(700)])
+    weight = np.where(y > 0, 0.2, 1.3)
+    beta = np.array(toxicity._logistic(x, y, weight))
+    design = np.column_stack([np.ones(700), x])
+    ridge = np.array([1e-3, 1e-2, 1e-2, 1e-2]) * weight.sum() / 100
+    loss = lambda b: (weight * (np.logaddexp(0, design @ b) - y * (design @ b))).sum() + (ridge * b * b).sum() / 2
+    assert all(loss(beta) <= loss(beta + step) for step in rng.normal(0, 1, (200, 4)) * rng.choice([1e-3, 0.1, 3], (200, 1)))
+    p = 1 / (1 + np.exp(-design @ beta))
+    assert p[y > 0].min() > 0.7 > p[y == 0].max()
