@@ -15,19 +15,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from .common import flat, mixed, placed_words
+from .common import flat, mixed, placed_words, slices, written
 
 #: Cells of a fingerprint, a third in each part; a line is cut after one of so many words, on average,
 #: and after so many at the latest.
 CELLS, WORDS, MOST = 24, 8, 32
-#: At most so many stretches of the order of documents, one task each; of about so many rows.
-STRETCHES, ROWS = 4096, 1000
+#: The order of documents is cut into ranges, one task each: of about so many rows while there are fewer
+#: ranges than shuffle partitions, of at most about so many bytes of text however many that makes.
+ROWS, RANGE = 1000, 256 << 20
 _PARTS = 3
 
+_RESULT = pa.schema([
+    ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
+    ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+])
+#: Rows of a range, and (``side`` given) its first and last text.
+_MADE = pa.schema([*_RESULT, ("part", pa.int64()), ("side", pa.string()), ("packed", pa.binary())])
+
 
 def paragraphs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit digests of the paragraphs of all texts, and where each text's begin (plus the end).
@@ -173,89 +181,71 @@ def compare(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     last; rows with one id by their texts; after the last comes the first. Null counts as empty. Equal texts
     have equal fingerprints. A single row is next to itself; an empty table gives no rows.
 
-    The order is cut into stretches at quantiles of the ids, at most ``STRETCHES``. A row goes to
-    its own, and the first row of a stretch also to the one before, so texts are shuffled once.
+    Rows are ranged by id, text and place, so that a null id, one id or one text may have any share of them.
+    Neighbours in a range are compared where they meet; the last row of a range meets the first of the
+    next one in a join, so text is shuffled once, and two texts a range once more.
     """
     slim = df.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ids = slim.select("id")
-    rows = ids.count()
-    n = max(1, min(STRETCHES, rows // ROWS))
-    asked = [i / n for i in range(1, n)]
-    found = ids.select(F.percentile_approx("id", asked, max(10_000, 20 * n))).first()[0] if asked else []
-    splits = np.unique(np.array(found or [], np.int64))
-
-    def stretch(values: pa.Array) -> np.ndarray:
-        at = np.searchsorted(splits, np.asarray(values.fill_null(0), np.int64), side="right")
-        return np.where(np.asarray(values.is_null()), -1, at)
-
-    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, values = stretch(batch.column(0)), np.asarray(batch.column(0).fill_null(0), np.int64)
-            own = np.unique(at)
-            yield pa.RecordBatch.from_pydict({"stretch": own, "top": np.array([values[at == s].max() for s in own], np.int64)})
-
-    # One row for each stretch that has any: the largest id in it.
-    largest = ids.mapInArrow(tops, "stretch bigint, top bigint").groupBy("stretch").agg(F.max("top").alias("top")).orderBy("stretch").collect()
-    known = [r["stretch"] for r in largest]
-    # A stretch's first row comes after the last one of the stretch above; that of the top one, after
-    # the last row of all.
-    above = {s: known[(i + 1) % len(known)] for i, s in enumerate(known)}
-    first = {r["stretch"]: r["top"] for r in largest}
-    guests = {s: (None if s < 0 else first[s]) for s in known}
-    schema = T.StructType([
-        T.StructField("stretch", T.LongType()), T.StructField("guest", T.BooleanType()), T.StructField("id", T.LongType()),
-        T.StructField("tie", T.BinaryType()), T.StructField("packed", T.BinaryType()),
-    ])
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
+    rows, size = slim.select(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n = max(1, min(rows // ROWS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), size // RANGE)
+    made = written(_ranged(slim, n).mapInArrow(_neighbours, from_arrow_schema(_MADE)))
+    ends = made.where("side is not null").select("part", "side", "doc_id", "packed")
+    first, last = ends.where("side = 'first'"), ends.where("side = 'last'")
+    # One number a range.
+    follows = first.select("part", F.lead("part").over(Window.orderBy("part")).alias("next"), F.min("part").over(Window.partitionBy()).alias("top"))
+    follows = follows.select("part", F.coalesce("next", "top").alias("next"))
+    met = last.join(follows, "part").join(first.select(F.col("part").alias("next"), F.col("packed").alias("following")), "next")
+    across = met.select("doc_id", "packed", "following").mapInArrow(_across, from_arrow_schema(_RESULT))
+    return made.where("side is null").select(*_RESULT.names).unionByName(across)
+
+
+def _ranged(slim: DataFrame, n: int) -> DataFrame:
+    """part, id, packed (the compressed text) in the order of documents, in ``n`` ranges."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                piece = batch.slice(i, 512)
-                at = stretch(piece.column(0))
-                own = piece.column(0).to_pylist()
+            for piece in slices(batch, 1):
                 raw = [t.encode() for t in piece.column(1).to_pylist()]
-                packed = [pack.compress(t) for t in raw]
                 ties = [hashlib.blake2b(t, digest_size=8).digest() for t in raw]
-                also = [j for j, (s, v) in enumerate(zip(at, own)) if v == guests[s]]
-                every = [*range(len(own)), *also]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([*at.tolist(), *[above[int(at[j])] for j in also]], pa.int64()),
-                    pa.array([False] * len(own) + [True] * len(also)),
-                    pa.array([own[j] for j in every], pa.int64()), pa.array([ties[j] for j in every], pa.binary()),
-                    pa.array([packed[j] for j in every], pa.binary()),
-                ], schema.names)
-
-    out = T.StructType([
-        T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()),
-        T.StructField("fingerprint", T.StringType()), T.StructField("edited_fingerprint", T.StringType()),
-        T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType()),
-    ])
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        ids_, texts, size, current, closed = [], [], 0, None, False
-
-        def flush() -> pa.RecordBatch:
-            made = _compared(ids_, texts)
-            return pa.RecordBatch.from_arrays([pa.array(made[c], k) for c, k in zip(out.names, kinds)], out.names)
-
-        for batch in batches:
-            for where, guest, own, packed in zip(*[batch.column(c).to_pylist() for c in (0, 1, 2, 4)]):
-                if where != current:
-                    ids_, texts, size, current, closed = [], [], 0, where, False
-                if closed:
-                    continue  # further rows with the id of the first one
-                text_ = unpack.decompress(packed).decode()
-                ids_.append(own)
-                texts.append(text_)
-                size += len(text_) + 64
-                closed = guest
-                if len(texts) > 1 and (guest or size > 1 << 20):
-                    yield flush()
-                    ids_, texts, size = ids_[-1:], texts[-1:], len(texts[-1]) + 64
-
-    dealt = slim.mapInArrow(deal, schema).repartition("stretch")
-    ordered = dealt.sortWithinPartitions("stretch", "guest", F.col("id").desc_nulls_last(), "tie")
-    return ordered.mapInArrow(run, out)
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(ties, pa.binary()), pa.array([press.compress(t) for t in raw], pa.binary())], ["id", "tie", "packed"])
+
+    order = [F.col("id").desc_nulls_last(), F.col("tie"), F.col("place")]
+    packed = slim.mapInArrow(pack, "id bigint, tie binary, packed binary").withColumn("place", F.monotonically_increasing_id())
+    ranged = packed.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id().cast("long"))
+    return ranged.sortWithinPartitions(*order).select("part", "id", "packed")
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows for all documents of a range but the last, then its first and last text."""
+    unpack = zstandard.ZstdDecompressor()
+    ids, texts, size = [], [], 0
+    first = last = None
+    for batch in batches:
+        for row in zip(*[batch.column(c).to_pylist() for c in range(3)]):
+            first, last = first or row, row
+            ids.append(row[1])
+            texts.append(unpack.decompress(row[2]).decode())
+            size += len(texts[-1]) + 64
+            if len(texts) > 1 and size > 1 << 20:
+                yield _rows(_compared(ids, texts), _MADE)
+                ids, texts, size = ids[-1:], texts[-1:], len(texts[-1]) + 64
+    if len(texts) > 1:
+        yield _rows(_compared(ids, texts), _MADE)
+    if first:
+        ends = {"doc_id": [first[1], last[1]], "part": [first[0]] * 2, "side": ["first", "last"], "packed": [first[2], last[2]]}
+        yield _rows(ends, _MADE)
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The row of a range's last document, which the next range's first one follows."""
+    unpack = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for own, *packed in zip(*[batch.column(c).to_pylist() for c in range(3)]):
+            yield _rows(_compared([own], [unpack.decompress(t).decode() for t in packed]), _RESULT)
+
+
+def _rows(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
+    """A batch of the schema; a column not given is null."""
+    n = len(columns["doc_id"])
+    return pa.RecordBatch.from_arrays([pa.array(columns.get(f.name, [None] * n), f.type) for f in schema], schema=schema)
