@@ -138,22 +138,25 @@ ORACLES = {
         SELECT page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict
         FROM p LEFT JOIN m ON m.host = p.host AND m.path = p.path AND m.place = 1""",
     "op8_chat_snapshots": r"""
-        WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+        WITH t AS (
+            SELECT DISTINCT conv_id, 0 AS alone, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+            UNION ALL SELECT NULL, row_number() OVER (), turn, role, text FROM conversations WHERE conv_id IS NULL),
         c AS (
-            SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn, role, text) AS said
-            FROM t GROUP BY conv_id),
+            SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS said
+            FROM t GROUP BY conv_id, alone),
         kept AS (
             SELECT min(conv_id) AS conv_id, count(*) AS copies, said FROM c
             WHERE NOT EXISTS (SELECT 1 FROM c AS d WHERE d.said[1] = c.said[1] AND len(d.said) > len(c.said)
                               AND d.said[1:len(c.said)] = c.said)
             GROUP BY said)
-        SELECT conv_id, len(said) AS n_turns, copies,
-               list_aggregate(list_transform(said, lambda s: '<|im_start|>'
+        -- Parts of a thousand turns.
+        SELECT conv_id, part, len(said) AS n_turns, copies,
+               list_aggregate(list_transform(said[part * 1000 + 1 : part * 1000 + 1000], lambda s: '<|im_start|>'
                    || replace(replace(coalesce(s.role, 'unknown'), '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>')
                    || chr(10)
                    || replace(replace(coalesce(s.text, ''), '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>')
                    || '<|im_end|>' || chr(10)), 'string_agg', '') AS chat
-        FROM kept""",
+        FROM kept, LATERAL (SELECT unnest(range(0, (len(said) + 999) // 1000)) AS part)""",
     "op10_source_mix": rf"""
         WITH d AS (
             SELECT doc_id, source, coalesce('s' || source, 'n') AS key,

@@ -391,7 +391,7 @@ def test_snapshots(spark):
         (None, 0, None, "x"), (6, None, "user", ""), (7, 0, "user", "hi "),
     ]
     turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumns({"p": F.lit(1), "conv": F.lit(2)})
-    got = {r["conv_id"]: tuple(r)[1:] for r in snapshots.render(turns).collect()}
+    got = {r["conv_id"]: tuple(r)[2:] for r in snapshots.render(turns).collect()}
     say = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
     assert got == {
         4: (3, 1, say("user", "hi") + say("assistant", "yo") + say("unknown", "")),
@@ -403,6 +403,29 @@ def test_snapshots(spark):
     assert [(r["conv_id"], r["copies"]) for r in copies] == [(2, 2)]
 
 
+def test_snapshots_of_turns_without_an_id(spark):
+    """Each is a conversation of its own: collapsed into longer ones, counted with equal ones."""
+    rows = [(None, 0, "user", "hi"), (None, 7, "user", "hi"), (None, 1, "user", "alone"), (None, 1, "user", "alone"), (None, 0, None, None),
+            (1, 0, "user", "hi"), (1, 1, "user", "more"), (2, 0, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = sorted((str(r["conv_id"]), r["part"], r["n_turns"], r["copies"], "alone" in r["chat"]) for r in snapshots.render(turns).collect())
+    assert got == [("1", 0, 2, 1, False), ("2", 0, 1, 2, False), ("None", 0, 1, 2, True)]
+    kept = {(r["conv"], r["turns"], r["copies"]) for r in snapshots.maximal(turns).collect()}
+    assert kept == {(1, 2, 1), (2, 1, 2), (None, 1, 2)}
+
+
+def test_snapshots_of_one_conversation_with_a_third_of_all_rows(spark):
+    """It comes in parts that follow each other, over several ranges of rows; its snapshots go."""
+    long = [(9, i, "user", f"t{i}") for i in range(700)]
+    rows = long + [(1, i, "user", f"t{i}") for i in range(699)] + [(i + 10, 0, "user", f"own {i}") for i in range(700)] + long[:50]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    got = snapshots.render(turns, part_turns=100).collect()
+    whole = sorted((r["part"], r["chat"]) for r in got if r["conv_id"] == 9)
+    assert [p for p, _ in whole] == list(range(7))
+    assert "".join(c for _, c in whole) == "".join(f"<|im_start|>user\nt{i}<|im_end|>\n" for i in range(700))
+    assert {r["conv_id"] for r in got} == {9, *range(10, 710)} and {r["n_turns"] for r in got if r["conv_id"] == 9} == {700}
+
+
 def test_fingerprints(docs, none, spark):
     rows = sketches.compare(docs).collect()
     assert len(rows) == len(ROWS)
@@ -473,8 +496,8 @@ def test_fingerprints_over_many_stretches(spark, monkeypatch):
     """Neighbours meet across the cuts of the order, with gaps, repeated ids and nulls among them."""
     monkeypatch.setattr(sketches, "ROWS", 5)
     rng = np.random.default_rng(11)
-    ids = [int(x) for x in rng.integers(-50, 5000, 90)] + [77] * 12 + [None] * 2
-    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 50, int(rng.integers(0, 60))))) for i in ids]
+    ids = [int(x) for x in rng.integers(-50, 5000, 90)] + [77] * 40 + [None] * 40
+    rows = [(None, "the same text")] * 30 + [(i, " ".join(f"w{x}" for x in rng.integers(0, 50, int(rng.integers(0, 60))))) for i in ids]
     got = sketches.compare(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.blake2b(r[1].encode(), digest_size=8).digest()))
     want = []
